@@ -46,14 +46,20 @@ def _count(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(rest)
 
 
-def line_fails(line: Column) -> Column:
-    """Punctuation, navigation and boilerplate rules for one line that has a word."""
+def has_notice(low: Column) -> Column:
+    return reduce(or_, [F.contains(low, F.lit(x)) for x in BOILERPLATE])
+
+
+def line_fails(line: Column, notice: Column) -> Column:
+    """Punctuation, navigation and boilerplate rules for one line that has a word.
+
+    notice: whether the whole text holds any of the notices; only then are its lines searched.
+    """
     symbols = _count(line, SYMBOLS) * 10 > F.length(line)
     shouts = F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit(""))) >= 6
     closed = F.substring(F.rtrim(line, F.lit(SPACE_CHARS)), -1, 1).isin(list(CLOSING))
     navigation = ~closed & (F.size(words(line)) < NAVIGATION_WORDS)
-    notice = reduce(or_, [F.contains(F.lower(line), F.lit(x)) for x in BOILERPLATE])
-    return symbols | shouts | navigation | notice
+    return symbols | shouts | navigation | (notice & has_notice(F.lower(line)))
 
 
 def repeat_words(df: DataFrame, word_col: str, out: str) -> DataFrame:
@@ -87,13 +93,14 @@ def judge(docs: DataFrame, text: str = "text", max_lost: int = MAX_LOST) -> Data
     df = df.withColumn("_lines", F.split("_t", "\n"))
     df = df.withColumn("_full", F.filter("_lines", lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))))
     df = df.withColumn("n_dup_lines", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long"))
-    df = df.withColumn("_good", F.filter("_full", lambda x: ~line_fails(x)))
+    df = df.withColumn("_low", F.lower("_t")).withColumn("_notice", has_notice(F.col("_low"))).drop("_low")
+    df = df.withColumn("_good", F.filter("_full", lambda x: ~line_fails(x, F.col("_notice"))))
     df = df.withColumn("clean_text", F.array_join("_good", "\n"))
     all_chars = F.length(F.array_join("_full", "\n"))
     df = df.withColumn("n_lines_removed", (F.size("_full") - F.size("_good")).cast("long"))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_SHARE * F.col("n_words")))
     df = df.withColumn("kept", ~F.col("base_failed") & (100 * (all_chars - F.length("clean_text")) <= max_lost * all_chars))
-    return df.drop("_t", "_lines", "_full", "_good")
+    return df.drop("_t", "_lines", "_full", "_good", "_notice")
 
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
