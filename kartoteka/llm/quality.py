@@ -40,26 +40,22 @@ CLOSING = ".!?:;,)\"'»”…"
 
 def _count(text: Column, chars: str) -> Column:
     """How many characters of text are among chars."""
-    rest = text
-    for c in chars:
-        rest = F.replace(rest, F.lit(c), F.lit(""))
+    rest = F.aggregate(F.array(*map(F.lit, chars)), text, lambda left, c: F.replace(left, c, F.lit("")))
     return F.length(text) - F.length(rest)
 
 
-def has_notice(low: Column) -> Column:
-    return reduce(or_, [F.contains(low, F.lit(x)) for x in BOILERPLATE])
+def has_notice(text: Column) -> Column:
+    # One element and a lambda: lower() runs once, and no generated method grows with the list.
+    return F.exists(F.array(F.lower(text)), lambda x: reduce(or_, [F.contains(x, F.lit(p)) for p in BOILERPLATE]))
 
 
-def line_fails(line: Column, notice: Column) -> Column:
-    """Punctuation, navigation and boilerplate rules for one line that has a word.
-
-    notice: whether the whole text holds any of the notices; only then are its lines searched.
-    """
+def line_fails(line: Column) -> Column:
+    """Punctuation and navigation rules for one line that has a word."""
     symbols = _count(line, SYMBOLS) * 10 > F.length(line)
     shouts = F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit(""))) >= 6
     closed = F.substring(F.rtrim(line, F.lit(SPACE_CHARS)), -1, 1).isin(list(CLOSING))
     navigation = ~closed & (F.size(words(line)) < NAVIGATION_WORDS)
-    return symbols | shouts | navigation | (notice & has_notice(F.lower(line)))
+    return symbols | shouts | navigation
 
 
 def repeat_words(df: DataFrame, word_col: str, out: str) -> DataFrame:
@@ -93,14 +89,15 @@ def judge(docs: DataFrame, text: str = "text", max_lost: int = MAX_LOST) -> Data
     df = df.withColumn("_lines", F.split("_t", "\n"))
     df = df.withColumn("_full", F.filter("_lines", lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))))
     df = df.withColumn("n_dup_lines", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long"))
-    df = df.withColumn("_low", F.lower("_t")).withColumn("_notice", has_notice(F.col("_low"))).drop("_low")
-    df = df.withColumn("_good", F.filter("_full", lambda x: ~line_fails(x, F.col("_notice"))))
+    # Lines are searched for notices only where the text has one. The test stands outside of the lambda, where it runs once.
+    good = F.filter("_full", lambda x: ~line_fails(x))
+    df = df.withColumn("_good", F.when(has_notice(F.col("_t")), F.filter(good, lambda x: ~has_notice(x))).otherwise(good))
     df = df.withColumn("clean_text", F.array_join("_good", "\n"))
     all_chars = F.length(F.array_join("_full", "\n"))
     df = df.withColumn("n_lines_removed", (F.size("_full") - F.size("_good")).cast("long"))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_SHARE * F.col("n_words")))
     df = df.withColumn("kept", ~F.col("base_failed") & (100 * (all_chars - F.length("clean_text")) <= max_lost * all_chars))
-    return df.drop("_t", "_lines", "_full", "_good", "_notice")
+    return df.drop("_t", "_lines", "_full", "_good")
 
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
