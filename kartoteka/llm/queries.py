@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import quality
+from kartoteka.llm import mixing, quality, secrets
 from kartoteka.llm.common import read
 
 
+def op1_secret_ledger(spark, sf_dir):
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
+def op2_poisson_mix(spark, sf_dir):
+    return mixing.report(read(spark, sf_dir, "documents"))
+
+
 def op7_line_quality(spark, sf_dir):
     return quality.report(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_secret_ledger": op1_secret_ledger,
+    "op2_poisson_mix": op2_poisson_mix,
     "op7_line_quality": op7_line_quality,
 }
 ORACLES = {
+    "op2_poisson_mix": mixing.ORACLE_SQL,
     "op7_line_quality": quality.ORACLE_SQL,
 }
