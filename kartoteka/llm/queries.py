@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import mixing, quality, secrets
+from kartoteka.llm import decontaminate, mixing, quality, secrets
 from kartoteka.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op2_poisson_mix(spark, sf_dir):
     return mixing.report(read(spark, sf_dir, "documents"))
 
 
+def op6_suffix_decontamination(spark, sf_dir):
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_line_quality(spark, sf_dir):
     return quality.report(read(spark, sf_dir, "documents"))
 
@@ -21,9 +25,11 @@ def op7_line_quality(spark, sf_dir):
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_poisson_mix": op2_poisson_mix,
+    "op6_suffix_decontamination": op6_suffix_decontamination,
     "op7_line_quality": op7_line_quality,
 }
 ORACLES = {
     "op2_poisson_mix": mixing.ORACLE_SQL,
+    "op6_suffix_decontamination": decontaminate.ORACLE_SQL,
     "op7_line_quality": quality.ORACLE_SQL,
 }
