@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import decontaminate, mixing, quality, secrets
+from kartoteka.llm import decontaminate, jaccard, mixing, quality, secrets
 from kartoteka.llm.common import read
 
 
@@ -22,11 +22,16 @@ def op7_line_quality(spark, sf_dir):
     return quality.report(read(spark, sf_dir, "documents"))
 
 
+def op10_chosen_path_join(spark, sf_dir):
+    return jaccard.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_poisson_mix": op2_poisson_mix,
     "op6_suffix_decontamination": op6_suffix_decontamination,
     "op7_line_quality": op7_line_quality,
+    "op10_chosen_path_join": op10_chosen_path_join,
 }
 ORACLES = {
     "op2_poisson_mix": mixing.ORACLE_SQL,
