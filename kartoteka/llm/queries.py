@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import decontaminate, jaccard, mixing, quality, secrets
+from kartoteka.llm import decontaminate, jaccard, mixing, pii, quality, secrets
 from kartoteka.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op2_poisson_mix(spark, sf_dir):
     return mixing.report(read(spark, sf_dir, "documents"))
 
 
+def op4_surrogates(spark, sf_dir):
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
 def op6_suffix_decontamination(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -29,6 +33,7 @@ def op10_chosen_path_join(spark, sf_dir):
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_poisson_mix": op2_poisson_mix,
+    "op4_surrogates": op4_surrogates,
     "op6_suffix_decontamination": op6_suffix_decontamination,
     "op7_line_quality": op7_line_quality,
     "op10_chosen_path_join": op10_chosen_path_join,
