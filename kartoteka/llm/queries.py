@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import decontaminate, jaccard, mixing, pii, quality, secrets
+from kartoteka.llm import decontaminate, jaccard, langid, mixing, pii, quality, secrets
 from kartoteka.llm.common import read
 
 
@@ -26,6 +26,10 @@ def op7_line_quality(spark, sf_dir):
     return quality.report(read(spark, sf_dir, "documents"))
 
 
+def op9_byte_gru(spark, sf_dir):
+    return langid.report(read(spark, sf_dir, "documents"))
+
+
 def op10_chosen_path_join(spark, sf_dir):
     return jaccard.report(read(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op4_surrogates": op4_surrogates,
     "op6_suffix_decontamination": op6_suffix_decontamination,
     "op7_line_quality": op7_line_quality,
+    "op9_byte_gru": op9_byte_gru,
     "op10_chosen_path_join": op10_chosen_path_join,
 }
 ORACLES = {
