@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import decontaminate, jaccard, langid, mixing, pii, quality, secrets
+from kartoteka.llm import decontaminate, jaccard, langid, mixing, pii, quality, secrets, toxicity
 from kartoteka.llm.common import read
 
 
@@ -26,6 +26,10 @@ def op7_line_quality(spark, sf_dir):
     return quality.report(read(spark, sf_dir, "documents"))
 
 
+def op8_string_kernel_toxicity(spark, sf_dir):
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_byte_gru(spark, sf_dir):
     return langid.report(read(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op4_surrogates": op4_surrogates,
     "op6_suffix_decontamination": op6_suffix_decontamination,
     "op7_line_quality": op7_line_quality,
+    "op8_string_kernel_toxicity": op8_string_kernel_toxicity,
     "op9_byte_gru": op9_byte_gru,
     "op10_chosen_path_join": op10_chosen_path_join,
 }
