@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import decontaminate, jaccard, langid, mixing, pii, quality, secrets, toxicity
+from kartoteka.llm import decontaminate, jaccard, langid, mixing, pii, quality, secrets, toxicity, urls
 from kartoteka.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op2_poisson_mix(spark, sf_dir):
     return mixing.report(read(spark, sf_dir, "documents"))
 
 
+def op3_link_trust(spark, sf_dir):
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
 def op4_surrogates(spark, sf_dir):
     return pii.report(read(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op10_chosen_path_join(spark, sf_dir):
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_poisson_mix": op2_poisson_mix,
+    "op3_link_trust": op3_link_trust,
     "op4_surrogates": op4_surrogates,
     "op6_suffix_decontamination": op6_suffix_decontamination,
     "op7_line_quality": op7_line_quality,
@@ -50,6 +55,7 @@ QUERIES = {
 }
 ORACLES = {
     "op2_poisson_mix": mixing.ORACLE_SQL,
+    "op3_link_trust": urls.ORACLE_SQL,
     "op6_suffix_decontamination": decontaminate.ORACLE_SQL,
     "op7_line_quality": quality.ORACLE_SQL,
 }
