@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import decontaminate, jaccard, langid, mixing, pii, quality, secrets, toxicity, urls
+from kartoteka.llm import decontaminate, jaccard, langid, maxent, mixing, pii, quality, secrets, toxicity, urls
 from kartoteka.llm.common import read
 
 
@@ -22,6 +22,10 @@ def op4_surrogates(spark, sf_dir):
     return pii.report(read(spark, sf_dir, "documents"))
 
 
+def op5_hashed_maxent(spark, sf_dir):
+    return maxent.report(read(spark, sf_dir, "documents"))
+
+
 def op6_suffix_decontamination(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op2_poisson_mix": op2_poisson_mix,
     "op3_link_trust": op3_link_trust,
     "op4_surrogates": op4_surrogates,
+    "op5_hashed_maxent": op5_hashed_maxent,
     "op6_suffix_decontamination": op6_suffix_decontamination,
     "op7_line_quality": op7_line_quality,
     "op8_string_kernel_toxicity": op8_string_kernel_toxicity,

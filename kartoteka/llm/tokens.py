@@ -60,6 +60,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[np.n
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer."""
+    x = np.atleast_1d(x)  # arrays wrap around without a warning
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xFF51AFD7ED558CCD)
     x = x ^ (x >> np.uint64(33))
