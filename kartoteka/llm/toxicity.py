@@ -10,7 +10,7 @@ over subsequences is a table of weights by letter triple, so scoring adds up tab
 text. The units of a text are pooled (the three highest values, hits, length) by a logistic model.
 
 Learned on a bounded sample of labelled rows: at most TRAIN_TOXIC and TRAIN_CLEAN documents, those whose hashed ids
-come first. Scoring reads all texts whole.
+come first, and of their clean units at most MINED. Scoring reads all texts whole.
 
 Defined cases: null and empty texts get the score of a text without units; without labels of both kinds the score
 is the share of toxic labels (0 if there are none); several labels of one id count by the highest, null ones not at
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from kartoteka.llm import tokens
 from kartoteka.llm.common import bucket
 
-TRAIN_TOXIC, TRAIN_CLEAN = 1500, 4500
-LANDMARKS, CLEAN_LANDMARKS, NEGATIVES = 160, 60, 20000
+TRAIN_TOXIC, TRAIN_CLEAN = 1000, 2500
+LANDMARKS, CLEAN_LANDMARKS, NEGATIVES, MINED = 160, 60, 8000, 200000
 #: Rounds in which the hardest clean units join the negatives.
 MINING = 3
 GAP, LAMBDA, SHORT, LONG = 3, 0.6, 6, 24
@@ -71,7 +71,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     full = np.flatnonzero(size)
     edge, size, text = edge[full], size[full], text[full]
     if not len(full):
-        return np.zeros(0, np.int64), np.zeros(1, np.int64), text
+        return np.zeros(0, np.int32), np.zeros(1, np.int64), text
     fresh = np.ones(len(full), bool)
     fresh[1:] = ~((size[1:] == 1) & (size[:-1] == 1) & (text[1:] == text[:-1]))
     begin = np.flatnonzero(fresh)
@@ -84,7 +84,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     size = np.minimum(LONG, whole - begin)
     edge = edge + begin
     heads = np.r_[0, np.cumsum(size + 1)]
-    out = np.full(heads[-1], START, np.int64)
+    out = np.full(heads[-1], START, np.int32)
     place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     out[np.repeat(heads[:-1], size) + 1 + place] = code[at[np.repeat(edge, size) + place]]
     return out, heads, text
@@ -116,12 +116,12 @@ def decide(flat: np.ndarray, heads: np.ndarray, table: np.ndarray, bias: float)
     return np.add.reduceat(total, heads[:-1]) / _norm(np.diff(heads)) + bias
 
 
-def _pack(words: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    return np.array([c for w in words for c in w], np.int64), np.r_[0, np.cumsum([len(w) for w in words])]
+def _pack(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(words), np.uint8).astype(np.int32), np.r_[0, np.cumsum([len(w) for w in words], dtype=np.int64)]
 
 
-def kernel(words: list[tuple], landmarks: list[tuple]) -> np.ndarray:
-    """Subsequence kernel between units (tuples of letters with START) and landmarks."""
+def kernel(words: list[bytes], landmarks: list[bytes]) -> np.ndarray:
+    """Subsequence kernel between units (a byte for each letter, START first) and landmarks."""
     l_flat, l_heads = _pack(landmarks)
     owner = np.repeat(np.arange(len(landmarks)), np.diff(l_heads))
     parts = [(owner[at], triple, weight) for at, triple, weight in _triples(l_flat, l_heads)]
@@ -133,7 +133,7 @@ def kernel(words: list[tuple], landmarks: list[tuple]) -> np.ndarray:
         np.add.at(phi, (index[triple], who), weight)
     phi[-1] = 0
     phi /= _norm(np.diff(l_heads))[None, :]
-    out = np.zeros((len(words), len(landmarks)))
+    out = np.zeros((len(words), len(landmarks)), np.float32)
     for a in range(0, len(words), 2000):
         flat, heads = _pack(words[a : a + 2000])
         total = np.zeros((len(flat), len(landmarks)), np.float32)
@@ -143,22 +143,43 @@ def kernel(words: list[tuple], landmarks: list[tuple]) -> np.ndarray:
     return out
 
 
-def _varied(word: tuple, r: np.random.Generator) -> tuple:
+def _varied(word: bytes, r: np.random.Generator) -> bytes:
     """A unit with a letter put in or doubled."""
     at = int(r.integers(2, len(word) + 1))
     more = int(r.integers(0, 26)) if r.random() < 0.5 else word[at - 1]
-    return (*word[:at], more, *word[at:])
+    return word[:at] + bytes([more]) + word[at:]
+
+
+def count_units(texts: list[str | None], y: np.ndarray) -> tuple[Counter, Counter]:
+    """In how many toxic and how many clean texts each unit is."""
+    bad, good = Counter(), Counter()
+    for row, _, data, offsets in tokens.slices(pa.array(texts, pa.string()), 1 << 20):
+        flat, heads, text = units(data, offsets)
+        raw = flat.astype(np.uint8)
+        h = tokens.hashes(raw, heads[:-1], heads[1:])
+        order = np.lexsort((text, h))
+        once = order[np.r_[True, (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])]] if len(h) else order
+        _, at, which = np.unique(h[once], return_index=True, return_inverse=True)
+        toxic = np.bincount(which, y[row + text[once]], len(at))
+        for u, n, all_ in zip(once[at], toxic, np.bincount(which, minlength=len(at)), strict=True):
+            w = raw[heads[u] : heads[u + 1]].tobytes()
+            if n:
+                bad[w] += int(n)
+            if all_ > n:
+                good[w] += int(all_ - n)
+    return bad, good
 
 
 def _hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, rounds: int = 30) -> np.ndarray:
     """Weights (last: bias) of a squared-hinge machine in the primal, by Newton steps on the active set."""
-    x = np.c_[z, np.ones(len(z))]
+    x = np.c_[z, np.ones(len(z))].astype(np.float32)
     ridge = np.eye(x.shape[1]) / c
     ridge[-1, -1] = 1e-6
     w, active = np.zeros(x.shape[1]), np.ones(len(y), bool)
     for turn in range(rounds):
-        a = x[active] * weight[active, None]
-        fresh = np.linalg.solve(ridge + a.T @ x[active], a.T @ y[active])
+        own = x[active]
+        a = own * weight[active, None].astype(np.float32)
+        fresh = np.linalg.solve(ridge + (a.T @ own).astype(float), a.T @ y[active])
         w = 0.5 * w + 0.5 * fresh if turn else fresh
         now = y * (x @ w) < 1
         if (now == active).all():
@@ -193,7 +214,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndar
     return w, mean, scale
 
 
-def as_table(marks: list[tuple], alpha: np.ndarray) -> np.ndarray:
+def as_table(marks: list[bytes], alpha: np.ndarray) -> np.ndarray:
     """A machine over landmarks as one table over letter triples."""
     flat, heads = _pack(marks)
     owner = np.repeat(np.arange(len(marks)), np.diff(heads))
@@ -209,14 +230,7 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 5) -> dict:
     if not len(y) or y.min() == y.max():
         return {"share": float(y.mean()) if len(y) else 0.0}
     r = np.random.default_rng(seed)
-    data, offsets = tokens.buffers(pa.array(texts, pa.string()))
-    flat, heads, text = units(data, offsets)
-    words = [tuple(flat[a:b].tolist()) for a, b in zip(heads[:-1], heads[1:], strict=True)]
-    bad, good, seen = Counter(), Counter(), set()
-    for w, t in zip(words, text.tolist(), strict=True):
-        if (w, t) not in seen:
-            seen.add((w, t))
-            (bad if y[t] else good)[w] += 1
+    bad, good = count_units(texts, y)
     share = y.mean()
     telling = {}  # log-likelihood ratio against a unit that comes as often in either kind
     for w, n in bad.items():
@@ -233,15 +247,16 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 5) -> dict:
     common = [w for w in common if w not in known]
     clean = common if len(common) <= NEGATIVES else [common[i] for i in sorted(r.choice(len(common), NEGATIVES, replace=False))]
     more = [_varied(w, r) for w in picked for _ in range(3)]
-    k = kernel(marks, marks)
+    k = kernel(marks, marks).astype(float)
     values, vectors = np.linalg.eigh((k + k.T) / 2)
     ok = values > 1e-5 * values.max()
     white = vectors[:, ok] / np.sqrt(values[ok])
+    white = white.astype(np.float32)
     positive = kernel(picked + more, marks) @ white
     negative = kernel(clean, marks) @ white
     count = np.array([bad[w] for w in picked], float)
     share = np.sqrt(np.r_[count, np.repeat(count, 3) / 2])
-    pool_flat, pool_heads = _pack(common)
+    mined = common if len(common) <= MINED else common[: MINED // 2] + [common[i] for i in sorted(r.choice(np.arange(MINED // 2, len(common)), MINED // 2, replace=False))]
     used, taken = set(clean), list(clean)
     for turn in range(MINING + 1):
         n_pos, n_neg = len(positive), len(negative)
@@ -250,24 +265,28 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 5) -> dict:
         w = _hinge(np.r_[positive, negative], np.r_[np.ones(n_pos), -np.ones(n_neg)], weight)
         table = as_table(marks, white @ w[:-1])
         if turn < MINING:  # clean units that come too near join the negatives
-            found = decide(pool_flat, pool_heads, table, float(w[-1]))
-            near = [common[i] for i in np.argsort(-found, kind="stable")[:NEGATIVES] if found[i] > -0.7 and common[i] not in used]
+            found = np.concatenate([decide(*_pack(mined[i : i + 20000]), table, float(w[-1])) for i in range(0, len(mined), 20000)])
+            near = [mined[i] for i in np.argsort(-found, kind="stable")[:NEGATIVES] if found[i] > -0.7 and mined[i] not in used]
             used.update(near)
             taken += near
             negative = np.r_[negative, kernel(near, marks) @ white] if near else negative
     model = {"table": table, "bias": float(w[-1])}
-    x = pool(decide(flat, heads, table, model["bias"]), text, len(texts))
-    model["logit"] = _logistic(x, y)
+    pooled = [_features(model, data, offsets) for _, _, data, offsets in tokens.slices(pa.array(texts, pa.string()), 1 << 20)]
+    model["logit"] = _logistic(np.concatenate(pooled), y)
     return model
 
 
+def _features(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    flat, heads, text = units(data, offsets)
+    return pool(decide(flat, heads, model["table"], model["bias"]), text, len(offsets) - 1)
+
+
 def probabilities(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     if "table" not in model:
         return np.full(n, model["share"])
-    flat, heads, text = units(data, offsets)
     w, mean, scale = model["logit"]
-    x = pool(decide(flat, heads, model["table"], model["bias"]), text, n)
+    x = _features(model, data, offsets)
     return 1 / (1 + np.exp(-(((x - mean) / scale) @ w[:-1] + w[-1])))
 
 
@@ -287,7 +306,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row, end, data, offsets in tokens.slices(batch.column("text")):
+            for row, end, data, offsets in tokens.slices(batch.column("text"), 2 << 20):
                 p = probabilities(shared.value, data, offsets)
                 yield pa.record_batch([batch.column("doc_id").slice(row, end - row), pa.array(p, pa.float64())], ["doc_id", "score"])
 

@@ -13,11 +13,11 @@ SCHEMA = "doc_id long, text string, lang string, score int"
 def letters(t):
     data, offsets = tokens.buffers(pa.array([t]))
     flat, heads, _ = x.units(data, offsets)
-    return [tuple(flat[a:b].tolist()) for a, b in zip(heads[:-1], heads[1:])]
+    return [bytes(flat[a:b].tolist()) for a, b in zip(heads[:-1], heads[1:])]
 
 
 def word(t):
-    return (x.START, *[ord(c) - 97 for c in t])
+    return bytes([x.START, *[ord(c) - 97 for c in t]])
 
 
 def test_units():
