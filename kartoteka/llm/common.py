@@ -51,3 +51,11 @@ def ascii_lower(c: Column) -> Column:
 def bucket(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % n
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df as it is, computed once per row: a filter on one of its columns is not rewritten in terms of what lies below.
+
+    The optimizer would put the whole of a costly expression into such a filter, once for every mention.
+    """
+    return df.select(F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("_x")).select("_x.*")

@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kartoteka.llm.common import words
+from kartoteka.llm.common import settled, words
 
 # Phrases of notices and page furniture, in lower case.
 BOILERPLATE = (
@@ -97,7 +97,7 @@ def judge(docs: DataFrame, text: str = "text", max_lost: int = MAX_LOST) -> Data
     df = df.withColumn("n_lines_removed", (F.size("_full") - F.size("_good")).cast("long"))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_SHARE * F.col("n_words")))
     df = df.withColumn("kept", ~F.col("base_failed") & (100 * (all_chars - F.length("clean_text")) <= max_lost * all_chars))
-    return df.drop("_t", "_lines", "_full", "_good")
+    return settled(df.drop("_t", "_lines", "_full", "_good"))
 
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:

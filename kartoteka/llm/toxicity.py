@@ -30,7 +30,7 @@ from kartoteka.llm import tokens
 from kartoteka.llm.common import bucket
 
 TRAIN_TOXIC, TRAIN_CLEAN = 1000, 2500
-LANDMARKS, CLEAN_LANDMARKS, NEGATIVES, MINED = 160, 60, 8000, 200000
+LANDMARKS, CLEAN_LANDMARKS, NEGATIVES, MINED = 160, 60, 14000, 200000
 #: Rounds in which the hardest clean units join the negatives.
 MINING = 3
 GAP, LAMBDA, SHORT, LONG = 3, 0.6, 6, 24
