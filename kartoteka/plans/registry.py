@@ -1,13 +1,10 @@
-"""Queries of the catalog operators over the test tables, and DuckDB SQL for each."""
+"""Where queries register themselves, each with DuckDB SQL where that can express it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from kartoteka.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,19 +22,4 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-@query(
-    "a01_coverage",
-    """select count(*)::bigint as n, count_if(quality is not null)::bigint as labelled, count_if(quality = 1)::bigint as good,
-       count_if(toxic = 1)::bigint as toxic, count_if(n_chars >= 1000)::bigint as long_texts
-       from documents left join labels using (doc_id)""",
-)
-def coverage(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    j = d.join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return j.agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("quality").isNotNull()).alias("labelled"),
-        F.count_if(F.col("quality") == 1).alias("good"),
-        F.count_if(F.col("toxic") == 1).alias("toxic"),
-        F.count_if(F.col("n_chars") >= 1000).alias("long_texts"),
-    )
+from kartoteka.plans import relational, resolution, scalars  # noqa: E402, F401  they register their queries
