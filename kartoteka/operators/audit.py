@@ -28,3 +28,10 @@ def fill_rates(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, filled, n) by one pass over the table."""
     counts = df.agg(F.count("*").alias("n"), *[F.count(c).alias(c) for c in columns])
     return counts.unpivot(["n"], columns, "column", "filled").select("column", "filled", "n")
+
+
+def gate(df: DataFrame, **rules: Column) -> DataFrame:
+    """Add kept and reason: the names of failed rules, or ok. A rule that is null fails."""
+    holds = {k: F.coalesce(c, F.lit(False)) for k, c in rules.items()}
+    failed = F.concat_ws("; ", *[F.when(~c, k) for k, c in holds.items()])
+    return df.withColumns({"kept": failed == "", "reason": F.when(failed == "", "ok").otherwise(failed)})

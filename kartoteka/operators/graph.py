@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _stored(df: DataFrame) -> DataFrame:
-    """Written to the folder executors share, so that lineage stays short."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="kartoteka-"))
-        base = spark.sparkContext.getCheckpointDir()
-    path = f"{base}/frontier-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from kartoteka.operators.shared import stored
 
 
 def reach(edges: DataFrame, start: DataFrame, most: int = 50) -> DataFrame:
     """(node, depth) of all nodes that start (node) leads to over edges (src, dst), to a fixpoint or `most` steps."""
-    seen = _stored(start.select("node").distinct().withColumn("depth", F.lit(0)))
+    seen = stored(start.select("node").distinct().withColumn("depth", F.lit(0)), "frontier")
     frontier = seen
     for depth in range(1, most + 1):
         step = edges.join(frontier.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
-        frontier = _stored(step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
+        frontier = stored(step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)), "frontier")
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kartoteka.functions import contact, place, text, url
+from kartoteka.operators.shared import stored
 
 # Points of evidence.
 VALUE_TOKEN, WEAK_TOKEN, REGISTRY, SOLE_PLAIN, SOURCE, COHORT = 5, 1, 4, 3, 2, 3
@@ -77,8 +78,9 @@ def with_cohorts(scored: DataFrame) -> DataFrame:
 
 
 def detect(entities: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """(field, key, id, size, score, verdict) of all collision groups."""
-    return verdicts(with_cohorts(scores(groups(entities, fields))))
+    """(field, key, id, size, score, verdict) of all collision groups. Scores are read several times over, so each round of them is written once."""
+    first = stored(scores(stored(groups(entities, fields), "groups")), "scores")
+    return verdicts(stored(with_cohorts(first), "scores"))
 
 
 def summary(found: DataFrame) -> DataFrame:
@@ -156,3 +158,11 @@ def namesake_ambiguous(results: DataFrame) -> DataFrame:
     top = best.groupBy("id").agg(F.max("score").alias("top"))
     close = best.join(top, "id").filter(F.col("score") >= F.col("top") - 2)
     return close.groupBy("id").agg((F.max(text.has_paren(F.col("canonical_name"))) & (F.count("*") > 1)).alias("ambiguous"))
+
+
+def pitch_truth(t1: str, m1: str, t2: str, m2: str) -> Column:
+    """Which of two geocodes is nearer to its nearest pitch; one pitch at almost equal distances is a tie."""
+    tie = (F.col(t1) == F.col(t2)) & (F.abs(F.col(m1) - F.col(m2)) < 50)
+    return (
+        F.when(tie, "tie").when(F.col(m1).isNull() & F.col(m2).isNull(), "unverified").when(F.col(m2).isNull() | (F.col(m1) <= F.col(m2)), "first").otherwise("second")
+    )

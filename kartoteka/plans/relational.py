@@ -162,7 +162,7 @@ def a19(spark, sf_dir):
 
 @query("a20_group_pivot", "select source, count(*) filter (lang = 'de')::bigint as de, count(*) filter (lang = 'en')::bigint as en, count(*) filter (lang = 'fr')::bigint as fr from documents group by 1")
 def a20(spark, sf_dir):
-    pivot = table(spark, sf_dir, "documents").groupBy("source").pivot("lang", ["de", "en", "fr"]).agg(F.count("*"))
+    pivot = table(spark, sf_dir, "documents").groupBy("source").pivot("lang", ["de", "en", "fr"]).agg(F.count(F.lit(1)))
     return pivot.na.fill(0)
 
 
