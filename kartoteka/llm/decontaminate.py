@@ -187,13 +187,14 @@ def shard(data: np.ndarray, offsets: np.ndarray, t: Tests, longest: bool = False
     return counts, hit, heads, np.unique(np.stack([pair_doc, which]), axis=1) if len(at) else np.zeros((2, 0), np.int64), best
 
 
-def _blocks(bench: DataFrame) -> Iterator[Tests]:
+def _blocks(bench: DataFrame) -> Iterator[tuple[Tests, bool]]:
+    """(block, whether it is the last), one after the other."""
     cut = bench.select(F.col("item_id"), F.col("text"))
     size = cut.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES) or 1
     for i in range(n):
         part = cut if n == 1 else cut.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
-        yield prepare([tuple(r) for r in part.toLocalIterator()])
+        yield prepare([tuple(r) for r in part.toLocalIterator()]), i == n - 1
 
 
 def _marked(docs: DataFrame, bench: DataFrame, last, schema: str) -> DataFrame:
@@ -205,9 +206,8 @@ def _marked(docs: DataFrame, bench: DataFrame, last, schema: str) -> DataFrame:
     mark = "_n long, _hits array<long>, _items array<string>"
     df = docs.withColumns({"_n": F.lit(0).cast("long"), "_hits": F.expr("array() :: array<long>"), "_items": F.expr("array() :: array<string>")})
     rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    blocks = list(_blocks(bench))
-    for k, t in enumerate(blocks):
-        shared, final = spark.sparkContext.broadcast(t), k == len(blocks) - 1
+    for t, final in _blocks(bench):
+        shared = spark.sparkContext.broadcast(t)
 
         def scan(batches, shared=shared, final=final):
             for batch in batches:
@@ -279,7 +279,7 @@ def longest_matches(docs: DataFrame, bench: DataFrame, least: int = 2) -> DataFr
     kinds = {f.name: f.dataType.simpleString() for f in [*bench.select("item_id").schema, *docs.select("doc_id").schema]}
     schema = f"item_id {kinds['item_id']}, item_word long, length long, doc_id {kinds['doc_id']}, doc_word long"
     parts = []
-    for t in _blocks(bench):
+    for t, _ in _blocks(bench):
         shared = spark.sparkContext.broadcast(t)
 
         def scan(batches, shared=shared):
