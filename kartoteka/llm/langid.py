@@ -177,11 +177,20 @@ def pooled(net: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, most: int = TRAIN_DOCS) -> list[tuple[str, str]]:
-    """At most `most` (text, language) pairs of each language. Spark limits each group before it shuffles."""
-    able = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("h"))
+    """At most `most` (text, language) pairs of each language: those whose hashes come first.
+
+    Languages are counted first (the network has outputs for each, so they are few); then only the share of rows that
+    holds some four times as many as asked for leaves the scan, so neither texts nor candidates of a large language meet in one task.
+    """
+    sizes = {r.lang: r.n for r in docs.filter(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return []
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, max(4.0 * most, 200.0) / n))])
+    h = F.xxhash64("doc_id", "text")
+    early = h.cast("double") / F.lit(2.0**64) + 0.5 <= F.try_element_at(share, F.col("lang"))
+    able = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & early).select("text", "lang", h.alias("h"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    bounds = able.select("lang", "h").withColumn("n", place).filter(F.col("n") <= most).groupBy("lang").agg(F.max("h").alias("top"))
-    rows = docs.filter(F.length("text") > 0).join(bounds, "lang").filter(F.xxhash64("doc_id", "text") <= F.col("top")).select("text", "lang")
+    rows = able.withColumn("n", place).filter(F.col("n") <= most)
     return sorted({(r.text, r.lang) for r in rows.collect()})  # a few hundred texts of each language
 
 
