@@ -10,7 +10,7 @@ over subsequences is a table of weights by letter triple, so scoring adds up tab
 text. The units of a text are pooled (the three highest values, hits, length) by a logistic model.
 
 Learned on a bounded sample of labelled rows: at most TRAIN_TOXIC and TRAIN_CLEAN documents, those whose hashed ids
-come first, and of their clean units at most MINED. Scoring reads all texts whole.
+come first; negatives are mined from all their clean units. Scoring reads all texts whole.
 
 Defined cases: null and empty texts get the score of a text without units; without labels of both kinds the score
 is the share of toxic labels (0 if there are none); several labels of one id count by the highest, null ones not at
@@ -29,14 +29,16 @@ from pyspark.sql import functions as F
 from kartoteka.llm import tokens
 from kartoteka.llm.common import bucket
 
-TRAIN_TOXIC, TRAIN_CLEAN = 1000, 2500
-LANDMARKS, CLEAN_LANDMARKS, NEGATIVES, MINED = 160, 60, 14000, 200000
+TRAIN_TOXIC, TRAIN_CLEAN = 1500, 4500
+LANDMARKS, CLEAN_LANDMARKS, NEGATIVES = 160, 60, 20000
 #: Rounds in which the hardest clean units join the negatives.
 MINING = 3
 GAP, LAMBDA, SHORT, LONG = 3, 0.6, 6, 24
 THRESHOLD = 0.3
-#: Letters: a-z, the start of a unit, the Latin-1 letters above ASCII, any other.
-START, OTHER, LETTERS = 26, 59, 60
+#: Letters: a-z, the start of a unit, the Latin-1 letters above ASCII, any other by its code point modulo HASHED: a prime, so
+#: that the letters of one alphabet keep apart.
+START, OTHER, HASHED = 26, 59, 67
+LETTERS = OTHER + HASHED
 _DROP = 255
 # Digits and signs read as letters.
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
@@ -47,16 +49,27 @@ for _i in range(26):
     _CODE[97 + _i] = _CODE[65 + _i] = _i
 for _c, _l in LEET.items():
     _CODE[ord(_c)] = ord(_l) - 97
-_CODE[0xC4:] = OTHER
+_LOWER = np.array([ord(c) if len(c := chr(i).lower()) == 1 else i for i in range(1 << 16)], np.int32)
 
 
 def letters(data: np.ndarray) -> np.ndarray:
-    """A code per byte; _DROP for what is no letter. A two-byte letter sits on its second byte."""
+    """A code per byte; _DROP for what is no letter. A Latin-1 letter sits on its second byte, others on their first."""
     code = _CODE[data]
     after = np.zeros(len(data), bool)
     after[1:] = data[:-1] == 0xC3
     latin = after & (data >= 0x80)
     code[latin] = 27 + (data[latin] & 0x1F)  # upper and lower case alike
+    at = np.flatnonzero(data >= 0xC4)
+    if len(at):
+        lead, last = data[at], len(data) - 1
+        size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+        point = (lead & (0xFF >> (size + 1)).astype(np.uint8)).astype(np.int32)
+        for k in range(1, 4):
+            more = size > k
+            point[more] = point[more] << 6 | (data[np.minimum(at[more] + k, last)] & 0x3F)
+        basic = point < len(_LOWER)
+        point[basic] = _LOWER[point[basic]]
+        code[at] = OTHER + point % HASHED
     return code
 
 
@@ -256,7 +269,6 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 5) -> dict:
     negative = kernel(clean, marks) @ white
     count = np.array([bad[w] for w in picked], float)
     share = np.sqrt(np.r_[count, np.repeat(count, 3) / 2])
-    mined = common if len(common) <= MINED else common[: MINED // 2] + [common[i] for i in sorted(r.choice(np.arange(MINED // 2, len(common)), MINED // 2, replace=False))]
     used, taken = set(clean), list(clean)
     for turn in range(MINING + 1):
         n_pos, n_neg = len(positive), len(negative)
@@ -265,8 +277,8 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 5) -> dict:
         w = _hinge(np.r_[positive, negative], np.r_[np.ones(n_pos), -np.ones(n_neg)], weight)
         table = as_table(marks, white @ w[:-1])
         if turn < MINING:  # clean units that come too near join the negatives
-            found = np.concatenate([decide(*_pack(mined[i : i + 20000]), table, float(w[-1])) for i in range(0, len(mined), 20000)])
-            near = [mined[i] for i in np.argsort(-found, kind="stable")[:NEGATIVES] if found[i] > -0.7 and mined[i] not in used]
+            found = np.concatenate([decide(*_pack(common[i : i + 20000]), table, float(w[-1])) for i in range(0, len(common), 20000)])
+            near = [common[i] for i in np.argsort(-found, kind="stable")[:NEGATIVES] if found[i] > -0.7 and common[i] not in used]
             used.update(near)
             taken += near
             negative = np.r_[negative, kernel(near, marks) @ white] if near else negative

@@ -93,3 +93,21 @@ def test_labels_of_one_kind_or_none(spark):
     assert {g.score for g in x.report(docs, labels).collect()} == {0.0}
     assert {g.score for g in x.report(docs, labels.limit(0)).collect()} == {0.0}
     assert x.report(docs.limit(0), labels).count() == 0
+
+
+def test_learns_from_the_whole_sample(spark):
+    docs = spark.range(6200).selectExpr("id as doc_id", "concat('text ', id) as text")
+    labels = spark.range(6200).selectExpr("id as doc_id", "cast(id < 1600 as int) as toxic")
+    found = x.sample(docs, labels)
+    assert [sum(y == k for _, y in found) for k in (1, 0)] == [1500, 4500]
+
+
+def test_letters_of_other_scripts():
+    alphabets = ["абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψως", "ąćęłńśźż", "ğış", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "傻瓜", "𐐨𐐩"]
+    for a in alphabets:
+        (unit,) = letters(a[: x.LONG])
+        assert len(set(unit)) == len(unit)
+        codes = [letters(f"{c}b")[0][1] for c in a]
+        assert len(set(codes)) == len(a) and min(codes) >= x.OTHER and max(codes) < x.LETTERS
+    assert letters("ДУРАК") == letters("дурак") != letters("книга") and letters("ŁĄ") == letters("łą")
+    assert letters("aд") != letters("дa") and letters("дa, é") == letters("Дa é")
