@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kartoteka.operators.shared import stored
 
 
-def reach(edges: DataFrame, start: DataFrame, most: int = 50) -> DataFrame:
-    """(node, depth) of all nodes that start (node) leads to over edges (src, dst), to a fixpoint or `most` steps."""
+#: After so many steps the nodes found are written together, so plans of long chains stay small.
+COMPACT = 16
+
+
+def reach(edges: DataFrame, start: DataFrame, most: int | None = None) -> DataFrame:
+    """(node, depth) of all nodes that start (node) leads to over edges (src, dst), to the fixpoint; an error if `most` steps do not reach it."""
     seen = stored(start.select("node").distinct().withColumn("depth", F.lit(0)), "frontier")
     frontier = seen
-    for depth in range(1, most + 1):
+    for depth in count(1):
         step = edges.join(frontier.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
         frontier = stored(step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)), "frontier")
         if frontier.isEmpty():
-            break
+            return seen
+        if most is not None and depth >= most:
+            raise RuntimeError(f"new nodes after {most} steps, so the fixpoint is not reached")
         seen = seen.unionByName(frontier)
-    return seen
+        if depth % COMPACT == 0:
+            seen = stored(seen, "seen")

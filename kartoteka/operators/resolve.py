@@ -14,6 +14,8 @@ from kartoteka.operators.shared import stored
 # Points of evidence.
 VALUE_TOKEN, WEAK_TOKEN, REGISTRY, SOLE_PLAIN, SOURCE, COHORT = 5, 1, 4, 3, 2, 3
 GROUP = ["field", "key"]
+#: Rows of one key on one side that one task may join.
+BLOCK = 5000
 #: Identity fields: normal form, and whether a name can stand inside of the value.
 FIELDS = {
     "phone": (lambda: contact.e164(F.col("phone")), False),
@@ -91,13 +93,29 @@ def summary(found: DataFrame) -> DataFrame:
     )
 
 
-def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of (id, words, city) rows that share a city or a word: two equi-joins, each pair once."""
+def _blocks(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of a (l_id, ...) and b (r_id, ...) of one _key, joined. A key of many rows is dealt over a grid of blocks of some BLOCK rows a side."""
+    sizes = [d.groupBy("_key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(n)) for d, n in ((a, "_nl"), (b, "_nr"))]
+    grid = sizes[0].join(sizes[1], "_key")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda i, n: F.pmod(F.hash(i), F.col(n))
+    a = a.join(grid, "_key").withColumn("_bl", own("l_id", "_nl")).withColumn("_br", every("_nr")).drop("_nl", "_nr")
+    b = b.join(grid, "_key").withColumn("_br", own("r_id", "_nr")).withColumn("_bl", every("_nl")).drop("_nl", "_nr")
+    return a.join(b, ["_key", "_bl", "_br"]).drop("_bl", "_br")
+
+
+def candidates(left: DataFrame, right: DataFrame, keep: Column | None = None) -> DataFrame:
+    """Pairs of (id, words, city) rows that share a city or a word and fit `keep` (of l_ and r_ columns): two equi-joins, each pair once.
+
+    A pair is made by its first shared word, or by its city if it shares no word, and judged where it is made; only pairs that stay leave the joins.
+    """
     a, b = (d.select(F.col("id").alias(f"{n}_id"), F.col("words").alias(f"{n}_words"), F.col("city").alias(f"{n}_city")) for d, n in ((left, "l"), (right, "r")))
-    by_city = a.join(b, F.col("l_city") == F.col("r_city")).select("l_id", "r_id")
-    words = lambda d, n: d.select(f"{n}_id", F.explode(f"{n}_words").alias("word"))
-    by_word = words(a, "l").join(words(b, "r"), "word").select("l_id", "r_id")
-    return by_city.unionByName(by_word).distinct().join(a, "l_id").join(b, "r_id")
+    keep = F.lit(True) if keep is None else keep
+    first = F.array_min(F.array_intersect(F.array_compact("l_words"), F.array_compact("r_words")))
+    by_city = _blocks(a.withColumn("_key", F.col("l_city")), b.withColumn("_key", F.col("r_city"))).filter(first.isNull() & keep)
+    words = lambda d, n: d.withColumn("_key", F.explode(F.array_distinct(F.array_compact(f"{n}_words"))))
+    by_word = _blocks(words(a, "l"), words(b, "r")).filter((F.col("_key") == first) & keep)
+    return by_city.unionByName(by_word, allowMissingColumns=True).drop("_key")
 
 
 def overlap_score() -> Column:

@@ -97,9 +97,9 @@ def a18(spark, sf_dir):
 )
 def e04(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.array_distinct(F.split("p_name", " ")).alias("words"), F.col("p_brand").alias("city"))
-    pairs = resolve.candidates(p.filter("id % 100 = 1"), p.filter("id % 100 <> 1"))
     near = F.size(F.array_intersect("l_words", "r_words")) + F.when(F.col("l_city") == F.col("r_city"), 0.5).otherwise(0.0) > 1
-    return pairs.filter(near).select("l_id", "r_id", resolve.overlap_score().alias("score"))
+    pairs = resolve.candidates(p.filter("id % 100 = 1"), p.filter("id % 100 <> 1"), near)
+    return pairs.select("l_id", "r_id", resolve.overlap_score().alias("score"))
 
 
 @query(
