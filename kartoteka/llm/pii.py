@@ -47,16 +47,33 @@ SURNAMES = {
 SYLLABLES = {"latin": "ba de fi go lu ma ne ri so ta ve zo ka le mi no".split(), "cyrillic": "ба де фи го лу ма не ри со та ве зо ка ле ми но".split()}
 ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω")
 
+# More given names that are found but never drawn.
+MORE_GIVEN = {
+    "m": "Adam Alan Albert Alejandro Alexander Andreas Andrew Anthony Arthur Benjamin Bernd Brian Charles Christian Christopher Dennis Diego Donald Edward Eric Felix Fernando Florian Frank François Frédéric Gary George Georg Günter Harry Heinz Helmut Henri Henry Jack Jacques Javier Jason Jeffrey Jörg Jorge Joseph Joshua Julien Jürgen Kenneth Kevin Lars Laurent Lukas Luke Manuel Markus Martin Matthew Matthias Max Michel Nicolas Oliver Olivier Oscar Pablo Patrick Philippe Rafael Ralf Raymond Ricardo Richard Roger Ronald Ryan Samuel Scott Sebastian Sergio Simon Stephen Steven Sven Thierry Timothy Tobias Tom Uwe Walter Wolfgang".split(),
+    "f": "Alice Amanda Amy Andrea Angela Angelika Anne Barbara Beatriz Betty Birgit Brigitte Carol Catherine Charlotte Christine Claudia Cristina Daniela Deborah Diana Donna Dorothy Elisabeth Emily Eva Françoise Gabriele Hannah Heike Helen Helga Inès Isabelle Jane Janet Jessica Joan Juliette Karin Katharina Katrin Kimberly Laura Lauren Lena Lisa Lucy Manon Margaret Maria Marta Martina Martine Melissa Michelle Mónica Nancy Nathalie Nicole Nina Olivia Pamela Patricia Paula Pilar Rachel Rebecca Renate Rosa Ruth Sandra Sara Sharon Silvia Sofía Stephanie Susanne Sylvie Teresa Ute Valérie Véronique Victoria".split(),
+}
+
 _UP = "A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ"
 EMAIL = re.compile(r"[\w%+-][\w.%+-]*@[\w-]+(?:\.[\w-]+)+")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 IPV4 = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)")
 NATIONAL = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 CARD = re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])")
-PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?![\w]|[.]\d)|(?<![\w.+])\+?\d{9,12}(?![\w])")
-NAME = re.compile(rf"(?<!\w)[{_UP}][\w'’-]*\.?(?: [{_UP}][\w'’-]*)+")
-_NUMBERS = re.compile(r"\d[\d ().-]{5,}\d")
-_GENDER = {n: (script, g) for (script, g), names in GIVEN.items() for n in names}
+# The digit count decides, see `_is_phone`: international numbers, those after a trunk 0, blocks of 2 to 4 digits, local 3-4 ones.
+PHONE = re.compile(
+    r"(?<![\w.+])\+\d{1,4}(?:[ ./-]{0,2}(?:\(\d{1,5}\)|\d{1,8})){1,7}(?!\w|[.]\d)"
+    r"|(?<![\w.+,/-])(?:\(0\d{1,5}\)|0\d{1,8})(?:(?: ?/ ?|[ .-]{1,2})\d{1,8}){1,6}(?!\w|[.,]\d)"
+    r"|(?P<local>(?<![\w.,+$€£/()-])\d{3}-\d{4}(?![\w/-]|[.,]\d))"
+    r"|(?<![\w.])(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\w|[.]\d)"
+    r"|(?<![\w.+])\+?\d{9,12}(?!\w)"
+)
+_DATE = re.compile(r"(?<!\d)(?:\d{1,2}[./-]\d{1,2}[./-](?:19|20)\d\d|(?:19|20)\d\d[./-]\d{1,2}[./-]\d{1,2})(?!\d)")
+_TITLED = "|".join(sorted(TITLES, key=len, reverse=True))
+NAME = re.compile(rf"(?<!\w)[{_UP}][\w'’-]*\.?(?: (?:(?:[{_UP}]|{_TITLED})\.(?= )|[{_UP}][\w'’-]*))+")
+_NUMBERS = re.compile(r"\d[\d ()./-]{5,}\d")
+_GENDER = {n: ("latin", g) for g, names in MORE_GIVEN.items() for n in names} | {n: (script, g) for (script, g), names in GIVEN.items() for n in names}
+# Country codes of two digits.
+_TWO = {*"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
 
 
 def script_of(word: str) -> str:
@@ -73,24 +90,29 @@ def _luhn(digits: str) -> bool:
 
 
 def _names(text: str):
-    """(start, end, kind, canonical form) of each word of a name: given names by gender, surnames."""
+    """(start, end, kind, canonical form) of each word of a name: given names by gender, surnames. A name starts at any title or given name of a run of capitalised words."""
     for m in NAME.finditer(text):
-        at, gender, known = m.start(), None, False
-        for k, w in enumerate(m[0].split(" ")):
+        at, gender, known, title = m.start(), None, False, None
+        run = m[0].split(" ")
+        for k, w in enumerate(run):
             bare = w.rstrip(".")
-            if k == 0 and bare in TITLES:
-                gender, known = TITLES[bare], True
-            elif bare in _GENDER and (k == 0 or known):
-                yield at, at + len(bare), f"given:{_GENDER[bare][1]}:{script_of(bare)}", bare.casefold()
+            kind = _GENDER.get(bare) or _GENDER.get(bare.title() if bare.isupper() else bare)
+            if bare in TITLES:
+                gender = TITLES[bare] if TITLES[bare] != "n" or not known else gender
+                known, title = True, k
+            elif kind and (not known or title == k - 1 or run[k - 1] in _GENDER):
+                yield at, at + len(bare), f"given:{kind[1]}:{script_of(bare)}", bare.casefold()
                 known = True
             elif known and len(bare) > 1:
-                more = k + 1 < len(m[0].split(" ")) and k == 1 and gender in ("m", "f")  # title, unlisted given name, surname
+                more = k + 1 < len(run) and title == k - 1 and gender in ("m", "f")  # title, unlisted given name, surname
                 yield at, at + len(bare), f"given:{gender}:{script_of(bare)}" if more else f"surname:{script_of(bare)}", bare.casefold()
-            elif not known:
-                break
             at += len(w) + 1
 
 
+def _is_phone(m: re.Match) -> bool:
+    return m.lastgroup == "local" or (8 if m[0][0] == "+" else 9) <= len(_digits(m[0])) <= 15
+
+
 def _canonical(kind: str, text: str) -> str:
     if kind == "email":
         return text.casefold()
@@ -111,9 +133,9 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     if _NUMBERS.search(text):
         kinds += [("iban", IBAN), ("ip", IPV4), ("national", NATIONAL), ("card", CARD), ("phone", PHONE)]
     for kind, pattern in kinds:
-        for m in pattern.finditer(text):
-            n = len(_digits(m[0]))
-            if kind == "phone" and not 9 <= n <= 15:
+        # Dates are no phones, but phones may stand beside them.
+        for m in pattern.finditer(_DATE.sub(lambda d: "x" * len(d[0]), text) if kind == "phone" else text):
+            if kind == "phone" and not _is_phone(m):
                 continue
             if all(m.end() <= s or m.start() >= e for s, e in taken):
                 taken.append(m.span())
@@ -168,6 +190,8 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes = DEMO_KEY) -> str
     if kind == "iban":
         return canon[:2] + "".join(_letter(c, draw) for c in canon[2:])
     kept = canon[:-10] if kind == "phone" and len(canon) > 10 else ""  # country code
+    if kind == "phone" and len(canon) == 11 and canon[:2] in _TWO:
+        kept = canon[:2]
     body = "".join(str(draw.below(10)) for _ in canon[len(kept) :])
     if kind == "phone" and canon[len(kept)] != "0":
         body = str(2 + draw.below(8)) + body[1:]

@@ -52,3 +52,43 @@ def test_collisions_are_drawn_again(spark):
 
 def test_empty(spark):
     assert pii.replace(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+# Listed apart from the detector: written as people write them.
+PHONES = [
+    "+33 1 23 45 67 89", "+49 30 12345678", "01234 567890", "555-0123", "+44 20 7946 0958", "+44 (0)20 7946 0958", "030 / 1234567", "(030) 1234567", "01 23 45 67 89", "+49-171-1234567",
+    "0171 1234567", "+34 612 345 678", "+1 212 555 0199", "(212) 555-0199", "212.555.0199", "+14155550123", "0800 123 456", "+41 44 668 18 00",
+]
+NO_PHONES = ["2024-01-15", "15.01.2024", "in 2019-2024", "01.02.2024 10", "1,234-5678", "12:30", "0.5 and 0.25", "3 of 10", "01-02-2024", "$100-2000"]
+NAMED = [  # (text, the words of names)
+    ("Contact John Smith today", "John Smith"), ("Director Mary Johnson said", "Mary Johnson"), ("Der Herr Müller kam", "Müller"), ("by John Q. Smith in", "John Smith"),
+    ("Ask Dr. Weber", "Weber"), ("Sehr geehrte Frau Dr. Schneider", "Schneider"), ("Dear Mr. Albert Quux", "Albert Quux"), ("Die Kollegin Heike Lehmann", "Heike Lehmann"),
+    ("Écrire à Madame Odile Renard", "Odile Renard"), ("Kevin Durant wrote", "Kevin Durant"), ("Mr. J. R. Hartley", "Hartley"), ("Позвонить: Господин Орлов", "Орлов"),
+    ("Signed JOHN SMITH", "JOHN SMITH"), ("Paul Smith And Mary Jones", None),
+]
+
+
+def test_phone_formats():
+    for p in PHONES:
+        text = f"Please call {p}, or write."
+        ((s, e, kind, canon),) = pii.detect(text)
+        assert (text[s:e], kind) == (p, "phone"), p
+        new = pii.render(kind, p, pii.surrogate(kind, canon, 1))
+        assert new != p and [c if not c.isdigit() else "0" for c in new] == [c if not c.isdigit() else "0" for c in p]
+        assert not p.startswith("+") or new[:2] == p[:2]
+    for p in NO_PHONES:
+        assert pii.detect(f"It was {p} then") == [], p
+
+
+def test_names_in_context():
+    for text, words in NAMED:
+        found = [text[s:e] for s, e, *_ in pii.detect(text)]
+        assert words is None and {"Paul", "Smith", "Mary", "Jones"} <= set(found) or found == words.split(), (text, found)
+    assert pii.detect("The Old Bridge In Paris. New York City Council") == []
+
+
+def test_no_listed_original_stays(spark):
+    rows = [(i, f"Please call {p} soon", i, 0) for i, p in enumerate(PHONES)] + [(100 + i, t, 0, 0) for i, (t, w) in enumerate(NAMED) if w]
+    got = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not [p for i, p in enumerate(PHONES) if p in got[i]]
+    assert not [w for i, (_, ws) in enumerate(NAMED) if ws for w in ws.split() if w in got[100 + i].split()]
