@@ -5,16 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to spark.checkpoint.dir (or a folder of our own where that is unset, as in tests) and read again: it is computed once, and lineage stays short."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where that is unset, a folder of our own on a local master (tests), and an error on a cluster, whose machines share none by default."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="kartoteka-"))
         base = spark.sparkContext.getCheckpointDir()
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    return base
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again: it is computed once, and lineage stays short."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
