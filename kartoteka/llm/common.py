@@ -17,25 +17,47 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, one of our own on a local master (tests), an error on a cluster."""
     context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="kartoteka-")
-        context.setCheckpointDir(found)
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="kartoteka-"))
         found = context.getCheckpointDir()
     return found
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write df as a table in the shared folder and read it again.
+def stored(df: DataFrame, name: str, by: tuple[str, ...] = (), codec: str = "snappy") -> DataFrame:
+    """Cut lineage: write df as a table in the shared folder (in folders by the columns `by`) and read it again.
 
     A lost executor then costs no more than its running tasks.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", codec).partitionBy(*by).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `stored` wrote and no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_names(wanted: list[str], taken: list[str]) -> list[str]:
+    """The wanted names, each with as many underscores after it as it takes to be apart from those taken (Spark's names ignore case)."""
+    used, out = {t.lower() for t in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def words(text: Column) -> Column:

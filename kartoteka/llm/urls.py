@@ -2,22 +2,29 @@
 
 A rule fits its host and all subdomains where the url's path starts with the rule's; the longest wins. Where no rule
 fits, the host decides: trust flows by personalised PageRank from hosts that the rules mostly allow, along links;
-distrust flows from hosts that the rules mostly block, along reversed links, to those that link to them. A host is
-blocked where distrust exceeds trust by THRESHOLD. Edges are links from a page's host to another host, and a host
-and its parent domain in both directions (down to PARENT_LABELS labels); equal links count once per page.
+distrust flows from hosts that the rules mostly block, along reversed links, to those that link to them. Either flow
+starts with a mass of one, in equal parts at its seeds, and what moves is added up until no more than TOLERANCE of it is
+still moving; after k rounds that is DAMPING ** k at most, so the number of rounds has a bound, too. A host is blocked
+where distrust is more than SHARE of its trust and distrust together and more than FLOOR of a host's equal part of the mass:
+both hold at any size of the graph, however many hosts share what a seed gives back. Edges are links from a page's
+host to another host, and a host and its parent domain in both directions (down to PARENT_LABELS labels); equal links
+count once per page.
 
 Rules are a parameter list that a person maintains; they become expressions, not a table.
 
-Defined cases: a null url or one without `://` has an empty host and path, fits no rule and is allowed; null html has
-no links; repeated rows are judged alike; an empty table gives an empty result; no other column is looked at.
+Defined cases: a null url or one without `://` has an empty host and path, fits no rule and is allowed; null or empty
+html has no links; very long html is read whole; repeated rows are judged alike; a tie of trust and distrust is
+allowed; an empty table gives an empty result; no other column is looked at, whatever its name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kartoteka.llm.common import ascii_lower, stored
+from kartoteka.llm.common import ascii_lower, discard, stored
 
 # Fixed values: (host, path, verdict).
 RULES = (
@@ -27,7 +34,10 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DAMPING, ITERATIONS, THRESHOLD = 0.85, 8, 0.05
+DAMPING, TOLERANCE = 0.85, 1e-4
+SHARE, FLOOR = 0.5, 0.01
+#: No more than TOLERANCE can be moving after so many rounds.
+ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 #: A host is a seed where more than this share of its pages is allowed, or blocked, by rules.
 SEED_SHARE = 0.5
 PARENT_LABELS = 3
@@ -63,37 +73,53 @@ def edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(graph: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(host, trust, distrust) after ITERATIONS rounds from seeds (host, trust, distrust: 0 or 1).
+    """(host, trust, distrust) from seeds (host, trust, distrust: 0 or 1), exact but for TOLERANCE of the mass.
 
-    One edge table holds both flows: trust from src to dst by src's shares, distrust from dst to src by dst's.
+    One edge table holds both flows: trust from src to dst by src's shares, distrust from dst to src by dst's. Shares are
+    aggregates joined back, so a host with a third of all links is no single task. Only the mass that moved last travels.
     """
-    out = F.sum("n").over(Window.partitionBy("src"))
-    back = F.sum("n").over(Window.partitionBy("dst"))
-    weighted = graph.withColumn("f", F.col("n") / out).withColumn("b", F.col("n") / back)
+    graph = stored(graph, "graph")
+    out = graph.groupBy("src").agg(F.sum("n").alias("out"))
+    back = graph.groupBy("dst").agg(F.sum("n").alias("back"))
+    weighted = graph.join(out, "src").join(back, "dst")
     flows = weighted.select(F.explode(F.array(
-        F.struct(F.col("src").alias("host"), F.col("dst").alias("to"), F.lit(True).alias("good"), F.col("f").alias("share")),
-        F.struct(F.col("dst").alias("host"), F.col("src").alias("to"), F.lit(False).alias("good"), F.col("b").alias("share")),
+        F.struct(F.col("src").alias("host"), F.col("dst").alias("to"), F.lit(True).alias("good"), (F.col("n") / F.col("out")).alias("share")),
+        F.struct(F.col("dst").alias("host"), F.col("src").alias("to"), F.lit(False).alias("good"), (F.col("n") / F.col("back")).alias("share")),
     )).alias("x")).select("x.*")
     flows = stored(flows, "flows")
-    start = seeds.select("host", F.explode(F.array(F.struct(F.lit(True).alias("good"), F.col("trust").alias("mass")), F.struct(F.lit(False).alias("good"), F.col("distrust").alias("mass")))).alias("x"))
-    start = stored(start.select("host", "x.good", (F.col("x.mass") * (1 - DAMPING)).alias("mass")).filter("mass > 0"), "seeds")
-    rank = start
-    for _ in range(ITERATIONS):
-        moved = flows.join(rank, ["host", "good"]).groupBy(F.col("to").alias("host"), "good").agg((F.sum(F.col("share") * F.col("mass")) * DAMPING).alias("mass"))
-        rank = stored(moved.unionByName(start).groupBy("host", "good").agg(F.sum("mass").alias("mass")), "rank")
+    discard(graph)
+    n = seeds.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
+    part = lambda c, whole: (F.col(c) * F.lit((1 - DAMPING) / max(whole or 0.0, 1.0))).alias("mass")
+    start = seeds.select("host", F.explode(F.array(F.struct(F.lit(True).alias("good"), part("trust", n.t)), F.struct(F.lit(False).alias("good"), part("distrust", n.d)))).alias("x"))
+    moved = stored(start.select("host", "x.good", "x.mass").filter("mass > 0"), "moved")
+    whole = [moved]
+    for _ in range(ROUNDS):
+        # Mass moved times what it still leads to: the most that later rounds can add.
+        if (moved.agg(F.sum("mass")).first()[0] or 0.0) <= TOLERANCE * (1 - DAMPING):
+            break
+        step = flows.join(moved, ["host", "good"]).groupBy(F.col("to").alias("host"), "good")
+        moved = stored(step.agg((F.sum(F.col("share") * F.col("mass")) * DAMPING).alias("mass")), "moved")
+        whole.append(moved)
+    every = whole[0]
+    for w in whole[1:]:
+        every = every.unionByName(w)
     of = lambda good: F.sum(F.when(F.col("good") == good, F.col("mass")).otherwise(0.0))
-    return rank.groupBy("host").agg(of(True).alias("trust"), of(False).alias("distrust"))
+    ranks = stored(every.groupBy("host").agg(of(True).alias("trust"), of(False).alias("distrust")), "ranks")
+    discard(flows, *whole)
+    return ranks
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) of (page_id, url, html)."""
     ruled = with_rules(pages.select("page_id", "url", "html"), rules)
     count = lambda v: F.count_if(F.col("by_rule") == v)
-    seeds = ruled.filter("host <> ''").groupBy("host").agg(
+    seeds = stored(ruled.filter("host <> ''").groupBy("host").agg(
         (count("allow") > F.count("*") * SEED_SHARE).cast("double").alias("trust"), (count("block") > F.count("*") * SEED_SHARE).cast("double").alias("distrust")
-    )
+    ), "seeds")
+    hosts = seeds.count()
     ranks = propagate(edges(ruled.select("host", "html")), seeds)
-    bad = ranks.filter(F.col("distrust") - F.col("trust") > THRESHOLD).select("host", F.lit("block").alias("by_host"))
+    doubtful = (F.col("distrust") > SHARE * (F.col("trust") + F.col("distrust"))) & (F.col("distrust") * hosts > FLOOR)
+    bad = ranks.filter(doubtful).select("host", F.lit("block").alias("by_host"))
     # Only blocked hosts travel; pages of a hot host are split by AQE.
     judged = ruled.drop("html").join(bad, "host", "left")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("by_rule", "by_host", F.lit("allow")).alias("verdict"))
@@ -104,19 +130,8 @@ def _oracle() -> str:
     cases = lambda value: " ".join(f"when (host = '{r[0]}' or ends_with(host, '.{r[0]}')) and starts_with(path, '{r[1]}') then '{value(r)}'" for r in longest)
     link = _LINK.replace("'", "''")
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    rounds = "".join(
-        f""",
-r{k} as (
-  select host, good, sum(mass) as mass from (
-    select dst as host, good, share * mass * {DAMPING} as mass from flows join r{k - 1} on flows.src = r{k - 1}.host and flows.good = r{k - 1}.ok
-    union all select host, ok, mass from r0) group by host, good),
-q{k} as (select host, good as ok, mass from r{k})"""
-        for k in range(1, ITERATIONS + 1)
-    )
-    for k in range(2, ITERATIONS + 1):
-        rounds = rounds.replace(f"join r{k - 1} on flows.src = r{k - 1}.host and flows.good = r{k - 1}.ok", f"join q{k - 1} on flows.src = q{k - 1}.host and flows.good = q{k - 1}.ok")
     return rf"""
-with cut as (
+with recursive cut as (
   select page_id, html, {lower.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} as host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from pages),
 ruled as (select *, case {cases(lambda r: r[0] + r[1])} end as rule, case {cases(lambda r: r[2])} end as by_rule from cut),
@@ -133,12 +148,19 @@ flows as (
 seed as (
   select host, count_if(by_rule = 'allow') > count(*) * {SEED_SHARE} as trust, count_if(by_rule = 'block') > count(*) * {SEED_SHARE} as distrust
   from ruled where host <> '' group by host),
-r0 as (
-  select host, true as ok, 1 - {DAMPING} as mass from seed where trust
-  union all select host, false, 1 - {DAMPING} from seed where distrust){rounds},
+many as (select greatest(count_if(trust), 1) as t, greatest(count_if(distrust), 1) as d, count(*) as hosts from seed),
+moved as (
+  select 0 as k, host, true as good, (1 - {DAMPING}) / t as mass from seed, many where trust
+  union all select 0, host, false, (1 - {DAMPING}) / d from seed, many where distrust),
+walk as (
+  select * from moved
+  union all
+  select k + 1, dst, good, sum(share * mass) * {DAMPING} from (
+    select walk.k, flows.dst, walk.good, share, mass from walk join flows on flows.src = walk.host and flows.good = walk.good where walk.k < {ROUNDS})
+  group by all),
 bad as (
-  select host from r{ITERATIONS} group by host
-  having sum(case when good then 0 else mass end) - sum(case when good then mass else 0 end) > {THRESHOLD})
+  select host from walk, many group by host, hosts
+  having sum(case when good then 0 else mass end) > {SHARE} * sum(mass) and sum(case when good then 0 else mass end) * hosts > {FLOOR})
 select page_id, host, path, rule, coalesce(by_rule, case when host in (select host from bad) then 'block' else 'allow' end) as verdict
 from ruled
 """

@@ -55,16 +55,21 @@ def brute(rows):
             graph[h, up] = graph.get((h, up), 0) + 1
             graph[up, h] = graph.get((up, h), 0) + 1
     assert ruled
-    seeds = [{h: (1 - urls.DAMPING) * (c[k] > c[2] / 2) for h, c in count.items()} for k in (0, 1)]
-    rank = [dict(s) for s in seeds]
-    for _ in range(urls.ITERATIONS):
-        fresh = [dict(s) for s in seeds]
-        for (a, b), n in graph.items():
-            for k, (x, y) in enumerate(((a, b), (b, a))):
-                whole = sum(m for e, m in graph.items() if e[k] == x)
-                fresh[k][y] = fresh[k].get(y, 0) + urls.DAMPING * n / whole * rank[k].get(x, 0)
-        rank = fresh
-    return {h for h in {*rank[0], *rank[1]} if rank[1].get(h, 0) - rank[0].get(h, 0) > urls.THRESHOLD}
+    rank = []
+    for k in (0, 1):
+        seeds = {h for h, c in count.items() if c[k] > c[2] / 2}
+        start = {h: (1 - urls.DAMPING) / len(seeds) for h in seeds}
+        now, whole = dict(start), {}
+        for e, m in graph.items():
+            whole[e[k]] = whole.get(e[k], 0) + m
+        for _ in range(300):  # far beyond the tolerance
+            fresh = dict(start)
+            for e, m in graph.items():
+                fresh[e[1 - k]] = fresh.get(e[1 - k], 0) + urls.DAMPING * m / whole[e[k]] * now.get(e[k], 0)
+            now = fresh
+        rank.append(now)
+    t, d = ({h: r.get(h, 0) for h in {*rank[0], *rank[1]}} for r in rank)
+    return {h for h in t if d[h] > urls.SHARE * (t[h] + d[h]) and d[h] * len(count) > urls.FLOOR}
 
 
 def test_propagation(spark):
@@ -77,3 +82,29 @@ def test_propagation(spark):
 
 def test_empty(spark):
     assert urls.judge(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_hundreds_of_hosts_that_link_to_one_blocked_host(spark):
+    link = lambda h: f'<a href="https://{h}/x">'
+    rows = [(0, "http://hub.net/es/", None, 0)] + [(i, f"http://l{i}.org/", link("hub.net"), 0) for i in range(1, 401)]
+    rows += [(500, "http://good.com/", " ".join(link(f"p{i}.org") for i in range(300)), 0)] + [(600 + i, f"http://p{i}.org/", "", 0) for i in range(300)]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {got[i] for i in range(401)} == {"block"} and {got[i] for i in (500, *range(600, 900))} == {"allow"}
+
+
+def test_far_links_and_rounds(spark):
+    chain = [(i, f"http://c{i}.org/", f'<a href="https://c{i + 1}.org/">', 0) for i in range(15)] + [(15, "http://c15.org/", '<a href="//end.net/">', 0), (16, "http://end.net/fr/", "", 0)]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(chain, SCHEMA)).collect()}
+    assert {v for v in got.values()} == {"block"}  # more than eight links away, too
+    assert urls.DAMPING**urls.ROUNDS <= urls.TOLERANCE
+
+
+def test_sql(spark, tmp_path):
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).parents[1]))
+    from oracle import connect, differences
+
+    spark.createDataFrame(pages(), SCHEMA).write.parquet(str(tmp_path / "pages.parquet"))
+    assert not differences(spark, connect(tmp_path), tmp_path, lambda s, d: urls.judge(s.read.parquet(f"{d}/pages.parquet")), urls.ORACLE_SQL)
