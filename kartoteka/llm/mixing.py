@@ -5,9 +5,14 @@ count is drawn by inverting a Poisson distribution with that mean at a uniform n
 counts do not depend on partitioning, order or retries. Rows are repeated by their count and dealt over all
 partitions in the order of a hash of (seed, id, copy): a global shuffle without sampling the input.
 
+The rates are one row per source. They are broadcast where counting them shows at most BROADCAST_SOURCES; beyond that
+rows and rates meet by (source, salt), so a source of a third of all rows is dealt over SALTS tasks.
+
 Defined cases: a null source is a source of its own; sources without a weight get rate 0 where weights are given;
-a null id hashes as the empty text; rows that repeat an id draw the same count; an empty table gives an empty
-result; texts are carried whole and never looked at; other columns stay.
+a null id hashes as the empty text; rows that repeat an id draw the same count, and their copies are dealt apart by
+the partition they were read in; an empty table gives an empty result; texts (null, empty or very long) are carried
+whole and never looked at; other columns stay, whatever their names: where the input has a column `copy` or
+`shuffle_key`, that stays and the new one is called `copy_` or `shuffle_key_`.
 """
 
 from __future__ import annotations
@@ -17,12 +22,16 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kartoteka.llm.common import free_names, stored
+
 #: Without given weights the share of a source is its size to this power: smaller sources gain, larger ones lose.
 TEMPERATURE = 0.5
 SEED = 17
 #: Means over this are drawn as a sum of equal parts, each inverted with a term bound that leaves less than 1e-15.
 PART_MEAN = 8.0
 TERMS = 48
+#: Sources whose rates are broadcast (some 100 bytes each), and tasks a source is dealt over where there are more.
+BROADCAST_SOURCES, SALTS = 100_000, 64
 
 
 def _uniform(*keys: Column) -> Column:
@@ -54,20 +63,36 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
         spark = docs.sparkSession
         given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "_s string, _w double")
         sizes = sizes.join(given, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").fillna(0.0, ["_w"])
-    weight, total = sizes.agg(F.sum("_w")).scalar(), sizes.agg(F.sum("_n")).scalar()
-    return sizes.select("source", "_n", (F.col("_w") / weight * total / F.col("_n")).alias("rate"))
+    sizes = stored(sizes, "sizes")
+    whole = sizes.agg(F.sum("_w").alias("w"), F.sum("_n").alias("n")).first()
+    return sizes.select("source", "_n", F.coalesce(F.try_divide("_w", F.lit(whole.w)) * F.lit(whole.n) / F.col("_n"), F.lit(0.0)).alias("rate"))
+
+
+def _rated(docs: DataFrame, of: DataFrame, most: int) -> DataFrame:
+    """docs with the rate of their source."""
+    source = F.col("source").eqNullSafe(F.col("_source"))
+    if of.count() <= most:
+        return docs.join(F.broadcast(of), source)
+    dealt = docs.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    every = of.withColumn("_deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return dealt.join(every, source & (F.col("_salt") == F.col("_deal")))
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE, seed: int = SEED, shuffled: bool = True) -> DataFrame:
+def mix(
+    docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE, seed: int = SEED, shuffled: bool = True, broadcast_sources: int = BROADCAST_SOURCES
+) -> DataFrame:
     """Rows of docs repeated to the target weights: all columns, `copy` (from 0) and `shuffle_key`."""
-    of = rates(docs, weights, temperature).select(F.col("source").alias("_source"), F.round("rate", 12).alias("_rate"))
-    rated = docs.join(of, F.col("source").eqNullSafe(F.col("_source")))  # one row per source: AQE broadcasts it where it is small
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    own = docs.toDF(*names).select(F.col(names[docs.columns.index("doc_id")]).alias("doc_id"), F.col(names[docs.columns.index("source")]).alias("source"), F.struct(*names).alias("_row"))
+    of = rates(docs.select("source"), weights, temperature).select(F.col("source").alias("_source"), F.round("rate", 12).alias("_rate"))
     text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    counted = rated.withColumn("_count", poisson(F.col("_rate"), text_id, seed)).filter("_count > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed + 1), text_id, F.col("copy")).cast("binary")))
-    out = keyed.select(*docs.columns, "copy", "shuffle_key")
-    return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key") if shuffled else out
+    counted = _rated(own, of, broadcast_sources).select("_row", text_id.alias("_id"), poisson(F.col("_rate"), text_id, seed).alias("_count"))
+    copies = counted.filter("_count > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+    keyed = copies.select("_row", "_copy", F.md5(F.concat_ws(":", F.lit(seed + 1), "_id", F.col("_copy")).cast("binary")).alias("_key"))
+    if shuffled:  # rows of one id and copy have one key: the partition they come from deals them apart
+        keyed = keyed.withColumn("_from", F.spark_partition_id()).repartition("_key", "_from").sortWithinPartitions("_key")
+    out = [*docs.columns, *free_names(["copy", "shuffle_key"], docs.columns)]
+    return keyed.select(*[F.col(f"_row.{n}") for n in names], "_copy", "_key").toDF(*out)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -81,14 +106,14 @@ with sizes as (select source, count(*) as n, pow(count(*)::double, {temperature}
 whole as (select sum(n) as total, sum(w) as weight from sizes),
 rate as (select source, round(w / weight * total / n, 12) as rate from sizes, whole),
 r as (
-  select d.*, coalesce(d.doc_id::varchar, '') as k, rate, greatest(1, ceil(rate / {PART_MEAN}))::int as parts
+  select d.*, row_number() over () as r, coalesce(d.doc_id::varchar, '') as k, rate, greatest(1, ceil(rate / {PART_MEAN}))::int as parts
   from {docs} d join rate on d.source is not distinct from rate.source),
 part as (select *, unnest(range(1, parts + 1)) as part, rate / parts as mean from r),
 u as (select *, ('0x' || substr(md5('{seed}:' || k || ':' || part), 1, 13))::bigint / {2.0**52} as u from part),
 n as (
   select *, list_sum(list_transform(range(1, {TERMS} + 1), lambda t: case when u >= list_sum(list_transform(range(0, t),
      lambda j: exp(-mean) * pow(mean, j) / gamma(j + 1))) then 1 else 0 end))::int as n from u),
-c as (select doc_id, text, lang, source, n_chars, k, sum(n)::int as n from n group by all)
+c as (select r, doc_id, text, lang, source, n_chars, k, sum(n)::int as n from n group by all)
 select doc_id, text, lang, source, n_chars, copy, md5('{seed + 1}:' || k || ':' || copy) as shuffle_key
 from (select *, unnest(range(0, n))::int as copy from c)
 """
