@@ -3,27 +3,30 @@
 Each line of a text is judged by itself; failing lines are removed, and a document that loses more than
 `max_lost` per cent of its characters is rejected. Base counts of the whole text are kept beside the verdict.
 
-Defined cases: a null text counts as empty; a text without words fails the base rule and is rejected;
-repeated rows are judged one by one and give equal results; an empty table gives an empty result. Columns
-of the input other than the id and the text are carried along by `clean` and never looked at.
+Defined cases: a null text counts as empty; a text without words fails the base rule and is rejected; very long texts
+and lines are judged whole, a line over NOTICE_WORDS words never as a notice; a share that equals a limit passes; of
+equal lines the first is no duplicate; repeated rows are judged one by one and give equal results; an empty table gives
+an empty result. Columns of the input other than the id and the text are carried along by `clean`, whatever their
+names, and never looked at; a null in any of them stays.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kartoteka.llm.common import settled, words
 
-# Phrases of notices and page furniture, in lower case.
+# Phrases of notices and page furniture in the languages of the corpus, in lower case.
 BOILERPLATE = (
-    "all rights reserved", "licensed under ", "released under the ", "terms of use", "terms of service", "privacy policy",
-    "cookie policy", "accept cookies", "enable javascript", "click here", "sign up", "log in", "subscribe to", "share on",
-    "copyright (c)", "©",
+    "all rights reserved", "licensed under", "released under the", "terms of use", "terms of service", "privacy policy", "cookie policy", "accept cookies", "enable javascript",
+    "click here", "sign up", "log in", "subscribe to", "share on", "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "hier klicken", "cookies akzeptieren",
+    "tous droits réservés", "mentions légales", "politique de confidentialité", "conditions d'utilisation", "cliquez ici", "accepter les cookies", "todos los derechos reservados",
+    "aviso legal", "política de privacidad", "términos de uso", "haga clic aquí", "aceptar cookies",
 )
+#: A notice is such a phrase, as whole words, in a line of no more words than these; or a copyright sign there.
+NOTICE_WORDS = 20
+_NOTICE = r"(^|[^\p{L}\p{N}])(" + "|".join(BOILERPLATE) + r")([^\p{L}\p{N}]|$)|©|copyright \(c\)"
 #: Symbols that prose does not need; the base count uses the same ones.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -38,20 +41,18 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 CLOSING = ".!?:;,)\"'»”…"
 
 
-def _count(text: Column, chars: str) -> Column:
-    """How many characters of text are among chars."""
-    rest = F.aggregate(F.array(*map(F.lit, chars)), text, lambda left, c: F.replace(left, c, F.lit("")))
-    return F.length(text) - F.length(rest)
+def _count(text: Column) -> Column:
+    """How many characters of text are SYMBOLS."""
+    return F.regexp_count(text, F.lit(f"[{SYMBOLS}]"))
 
 
 def has_notice(text: Column) -> Column:
-    # One element and a lambda: lower() runs once, and no generated method grows with the list.
-    return F.exists(F.array(F.lower(text)), lambda x: reduce(or_, [F.contains(x, F.lit(p)) for p in BOILERPLATE]))
+    return F.rlike(F.lower(text), F.lit(_NOTICE))
 
 
 def line_fails(line: Column) -> Column:
     """Punctuation and navigation rules for one line that has a word."""
-    symbols = _count(line, SYMBOLS) * 10 > F.length(line)
+    symbols = _count(line) * 10 > F.length(line)
     shouts = F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit(""))) >= 6
     closed = F.substring(F.rtrim(line, F.lit(SPACE_CHARS)), -1, 1).isin(list(CLOSING))
     navigation = ~closed & (F.size(words(line)) < NAVIGATION_WORDS)
@@ -84,14 +85,14 @@ def judge(docs: DataFrame, text: str = "text", max_lost: int = MAX_LOST) -> Data
     df = df.withColumn("_words", words(F.col("_t")))
     df = df.withColumn("n_words", F.size("_words").cast("long"))
     df = df.withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
-    df = df.withColumn("n_symbols", _count(F.col("_t"), SYMBOLS).cast("long"))
+    df = df.withColumn("n_symbols", _count(F.col("_t")).cast("long"))
     df = repeat_words(df, "_words", "n_repeat_words").drop("_words")
     df = df.withColumn("_lines", F.split("_t", "\n"))
     df = df.withColumn("_full", F.filter("_lines", lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))))
     df = df.withColumn("n_dup_lines", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long"))
     # Lines are searched for notices only where the text has one. The test stands outside of the lambda, where it runs once.
     good = F.filter("_full", lambda x: ~line_fails(x))
-    df = df.withColumn("_good", F.when(has_notice(F.col("_t")), F.filter(good, lambda x: ~has_notice(x))).otherwise(good))
+    df = df.withColumn("_good", F.when(has_notice(F.col("_t")), F.filter(good, lambda x: ~(has_notice(x) & (F.size(words(x)) <= NOTICE_WORDS)))).otherwise(good))
     df = df.withColumn("clean_text", F.array_join("_good", "\n"))
     all_chars = F.length(F.array_join("_full", "\n"))
     df = df.withColumn("n_lines_removed", (F.size("_full") - F.size("_good")).cast("long"))
@@ -135,7 +136,8 @@ j as (
       or length(x) - length(replace(x, '!!', '')) >= 6
       or (len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) < {NAVIGATION_WORDS}
           and not regexp_matches(x, '[.!?:;,)"''»”…][\x20\x09-\x0D]*$'))
-      or {' or '.join(f"contains(lower(x), '{p}')" for p in BOILERPLATE)})) as good
+      or (len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) <= {NOTICE_WORDS}
+          and regexp_matches(lower(x), '{_NOTICE.replace("'", "''")}')))) as good
   from w),
 m as (
   select doc_id, len(ws)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
