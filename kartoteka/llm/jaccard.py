@@ -6,14 +6,16 @@ shingle of all it has). Texts with equal sets form a class; one representative g
 In each run a set walks down a path: at every level it chooses the token that a shared random order puts first, so
 two sets with similarity J choose the same with probability J. A bucket (sets with one path) of at most SMALL sets is
 compared by brute force; a larger one splits on another token, down to DEPTH levels, and what is then still large (a
-large group of near copies) is compared in blocks. Runs repeat until a pair at the threshold is met with probability
+large group of near copies) is compared in blocks of some BLOCK_BYTES of sets, each two blocks once, a tile of TILE sets
+at a time: what a task holds is bounded by bytes, and a set travels once per block, not once per partner. Hot buckets
+are dealt over SALTS tasks where their sizes are joined back. Runs repeat until a pair at the threshold is met with probability
 RECALL. Buckets with the same members as one of an earlier run are not compared again, and a pair counts in the first
 run that brings it together, so links are counted once and no pair is ever emitted: a bucket gives, for each member,
 its links and the smallest member it is connected with.
 
 Defined cases: texts without words (null, empty, blank) have no set, link to nothing and are classes of their own;
 rows that repeat an id are different documents; null ids are kept; an empty table gives an empty result; other
-columns are carried by `keep_one` and never looked at. Similarity is exact on 64-bit shingle hashes.
+columns are carried by `keep_one`, whatever their names, and never looked at; a very long text is one set, held whole. Similarity is exact on 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -27,12 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kartoteka.llm import tokens
-from kartoteka.llm.common import stored
+from kartoteka.llm.common import discard, stored
 
 SHINGLE = 5
 #: The threshold as a fraction: similarity >= NUM / DEN.
 NUM, DEN = 4, 5
-SMALL, DEPTH, BLOCK = 256, 3, 1024
+SMALL, DEPTH = 256, 3
+#: Bytes of the sets of a block (one set may be larger), sets compared at once, tasks a bucket is dealt over.
+BLOCK_BYTES, TILE, SALTS = 8 << 20, 512, 16
 RECALL = 0.9999
 #: Rounds of the components loop; min labels with pointer jumping need about log2 of the longest chain.
 ROUNDS = 60
@@ -86,9 +90,9 @@ def sketch(docs: DataFrame, n_runs: int, depth: int) -> DataFrame:
                 p = paths(keys, at, n_runs, depth).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.reshape(-1), pa.int64()))
                 own = batch.slice(row, end - row)
-                yield pa.record_batch([own.column("doc_id"), own.column("tkey"), pa.array(prints, pa.binary()), lists], ["doc_id", "tkey", "print", "paths"])
+                yield pa.record_batch([own.column("doc_id"), own.column("tkey"), pa.array(prints, pa.binary()), pa.array(np.diff(at) * 8), lists], ["doc_id", "tkey", "print", "bytes", "paths"])
 
-    schema = f"doc_id {kind}, tkey long, print binary, paths array<long>"
+    schema = f"doc_id {kind}, tkey long, print binary, bytes long, paths array<long>"
     made = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").mapInArrow(make, schema)
     return made.withColumn("rid", F.monotonically_increasing_id())
 
@@ -97,86 +101,121 @@ def representatives(rows: DataFrame) -> DataFrame:
     """One row per class of equal sets: the row with the smallest (doc_id, rid), and copies."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))).alias("m")
     classes = rows.filter("print is not null").groupBy("print").agg(first, F.count("*").alias("copies")).select("m.rid", "copies")
-    return rows.join(classes, "rid").select("rid", "doc_id", "tkey", "print", "copies", "paths")
+    return rows.join(classes, "rid").select("rid", "doc_id", "tkey", "print", "bytes", "copies", "paths")
+
+
+def _back(rows: DataFrame, few: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with `few`, one row per (run, term). Either side is dealt by a salt, so a bucket of a third of all sets is no single task."""
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
+    every = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(every, ["run", "term", "_salt"], how).drop("_salt")
 
 
 def buckets(reps: DataFrame, n_runs: int, depth: int, small: int = SMALL) -> DataFrame:
-    """(rid, run, term, size): where each set ends in each run. Sets alone in their bucket are left out."""
-    todo = reps.select("rid", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(n_runs - 1)), lambda r: F.slice("paths", r * depth + 1, depth))).alias("run", "p"))
+    """(rid, bytes, run, term, size, weight): where each set ends in each run. Sets alone in their bucket are left out."""
+    todo = reps.select("rid", "bytes", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(n_runs - 1)), lambda r: F.slice("paths", r * depth + 1, depth))).alias("run", "p"))
     done = []
     for level in range(depth):
         at = todo.withColumn("term", F.get("p", F.lit(level)))
-        sizes = at.groupBy("run", "term").agg(F.count("*").alias("size")).filter("size > 1")
-        found = at.join(sizes, ["run", "term"]).select("rid", "run", "term", "size", "p")
+        sizes = at.groupBy("run", "term").agg(F.count("*").alias("size"), F.sum("bytes").alias("weight")).filter("size > 1")
+        found = _back(at, sizes).select("rid", "bytes", "run", "term", "size", "weight", "p")
         last = level == depth - 1
         found = stored(found, f"paths{level}") if not last else found
-        done.append((found if last else found.filter(F.col("size") <= small)).select("rid", "run", "term", "size"))
-        todo = found.filter(F.col("size") > small).select("rid", "run", "p")
+        done.append((found if last else found.filter(F.col("size") <= small)).select("rid", "bytes", "run", "term", "size", "weight"))
+        todo = found.filter(F.col("size") > small).select("rid", "bytes", "run", "p")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out
 
 
-def _tasks(member: DataFrame, n_runs: int, block: int) -> DataFrame:
-    """(rid, keys, terms): the comparisons a set takes part in. A bucket over `block` sets is cut by a hash into blocks, and each two blocks meet once."""
+def _tasks(member: DataFrame, n_runs: int, block_bytes: int) -> DataFrame:
+    """(rid, keys, terms): the comparisons a set takes part in. A bucket of more than `block_bytes` is cut by a hash into blocks, and each two blocks meet once."""
     # Buckets with the same members in a later run bring nothing new.
     names = member.groupBy("run", "term").agg(F.bit_xor(F.xxhash64("rid")).alias("who"), F.max("size").alias("size"))
     first = names.groupBy("who", "size").agg(F.min(F.struct("run", "term")).alias("f")).select("f.run", "f.term").withColumn("first", F.lit(True))
-    n = F.ceil(F.col("size") / block).cast("int")
+    n = F.least(F.ceil(F.col("weight") / block_bytes), F.col("size")).cast("int")
     at = F.pmod(F.xxhash64("rid", F.lit(7)), n).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda x: F.struct(F.col("run").alias("run"), F.xxhash64("term", F.least("at", x), F.greatest("at", x), "run").alias("key"), F.col("at").alias("at")))
-    keyed = member.join(first, ["run", "term"], "left").withColumn("at", at)
+    keyed = _back(member, first, "left").withColumn("at", at)
     keyed = keyed.withColumn("pairs", F.when(F.col("first"), pairs).otherwise(F.expr("array()")))
     slots = [F.max(F.when(F.col("run") == r, F.col("term"))).alias(f"t{r}") for r in range(n_runs)]
     gathered = keyed.groupBy("rid").agg(F.flatten(F.collect_list("pairs")).alias("pairs"), *slots)
     return gathered.filter(F.size("pairs") > 0).select("rid", "pairs", F.array(*[F.coalesce(f"t{r}", F.lit(0)) for r in range(n_runs)]).alias("terms"))
 
 
-def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairwise intersections: a product of 0/1 matrices over the shingles that two sets or more have."""
-    m = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    if m == 2:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return np.array([[sizes[0], both], [both, sizes[1]]])
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(m), sizes)
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-    fresh = np.r_[True, flat[1:] != flat[:-1]] if len(flat) else np.zeros(0, bool)
-    column = np.cumsum(fresh) - 1
-    common = np.bincount(column) > 1
-    renumber = np.cumsum(common) - 1
-    use = common[column]
-    owner, column, width = owner[use], renumber[column[use]], int(common.sum())
-    out = np.zeros((m, m), np.float64)
-    step = max(1, (8 << 20) // m)
-    edges = np.searchsorted(column, np.arange(0, width + step, step))
-    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-        part = np.zeros((m, min(step, width - k * step)), np.float32)
-        part[owner[a:b], column[a:b] - k * step] = 1
-        out += part @ part.T
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set: a product of 0/1 matrices over the shingles that both sides have."""
+    if len(left) == len(right) == 1:
+        return np.array([[len(np.intersect1d(left[0], right[0], assume_unique=True))]])
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(s) for s in x])) for x in (left, right)]
+    shared = np.intersect1d(np.unique(sides[0][0]), np.unique(sides[1][0]), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.float64)
+    if not len(shared):
+        return out.astype(np.int64)
+    places = []
+    for flat, owner in sides:
+        at = np.minimum(np.searchsorted(shared, flat), len(shared) - 1)
+        use = np.flatnonzero(shared[at] == flat)
+        use = use[np.argsort(at[use], kind="stable")]
+        places.append((owner[use], at[use]))
+    step = max(1, (4 << 20) // max(len(left), len(right)))
+    for a in range(0, len(shared), step):
+        parts = []
+        for (owner, column), n in zip(places, out.shape, strict=True):
+            s, e = np.searchsorted(column, (a, a + step))
+            part = np.zeros((n, min(step, len(shared) - a)), np.float32)
+            part[owner[s:e], column[s:e] - a] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
     return out.astype(np.int64)
 
 
-def compare(rid: np.ndarray, copies: np.ndarray, at: np.ndarray, terms: np.ndarray, run: int, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(links of each set counted with copies, smallest id each is connected with) for pairs that meet here first."""
+def compare(rid: np.ndarray, copies: np.ndarray, at: np.ndarray, terms: np.ndarray, run: int, sets: list[np.ndarray], tile: int = TILE) -> tuple[np.ndarray, np.ndarray]:
+    """(links of each set counted with copies, smallest id each is connected with) for pairs that meet here first, a tile of pairs at a time."""
     size = np.array([len(s) for s in sets])
-    both = _overlaps(sets)
-    linked = (NUM + DEN) * both >= NUM * (size[:, None] + size[None, :])
-    np.fill_diagonal(linked, False)
-    if at.min() != at.max():  # two blocks: pairs within one meet in its own task
-        linked &= at[:, None] != at[None, :]
-    for r in range(run):
-        linked &= (terms[:, None, r] != terms[None, :, r]) | (terms[:, r] == 0)[:, None]
-    label = rid.copy()
-    while linked.any():
-        near = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
-        fresh = np.minimum(label, near)
+    links, label = np.zeros(len(rid), np.int64), rid.copy()
+    two = at.min() != at.max()  # two blocks: pairs within one meet in its own task
+    order = np.argsort(at, kind="stable")
+    near: list[np.ndarray] = []
+    parts = [order[a : a + tile] for a in range(0, len(order), tile)]
+    for i, x in enumerate(parts):
+        for y in parts[i:]:
+            if two and at[x].max() == at[y].min() and at[x].min() == at[y].max():
+                continue
+            linked = (NUM + DEN) * _overlaps([sets[k] for k in x], [sets[k] for k in y]) >= NUM * (size[x][:, None] + size[y][None, :])
+            linked &= x[:, None] != y[None, :]
+            if two:
+                linked &= at[x][:, None] != at[y][None, :]
+            for r in range(run):
+                linked &= (terms[x][:, None, r] != terms[y][None, :, r]) | (terms[x, r] == 0)[:, None]
+            links[x] += linked @ copies[y]
+            if x is not y:
+                links[y] += copies[x] @ linked
+            near += _spanning(linked, x, y)
+    pairs = np.concatenate(near, axis=1) if near else np.zeros((2, 0), np.int64)
+    while pairs.shape[1]:
+        fresh = label.copy()
+        np.minimum.at(fresh, pairs[0], label[pairs[1]])
+        np.minimum.at(fresh, pairs[1], label[pairs[0]])
         if (fresh == label).all():
             break
         label = fresh
-    return linked @ copies, label
+    return links, label
+
+
+def _spanning(linked: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Links that connect what `linked` connects, no more than one for each of x and y: what is kept of a tile."""
+    none = np.iinfo(np.int64).max
+    a, b = np.where(linked.any(axis=1), x, none), np.where(linked.any(axis=0), y, none)
+    ends = a < none, b < none
+    while ends[0].any():
+        c = np.minimum(a, np.where(linked, b[None, :], none).min(axis=1))
+        d = np.minimum(b, np.where(linked, c[:, None], none).min(axis=0))
+        if (c == a).all() and (d == b).all():
+            break
+        a, b = c, d
+    return [np.stack([own[e], low[e]]) for own, low, e in ((x, a, ends[0]), (y, b, ends[1]))]
 
 
 def _meet(batches):
@@ -185,8 +224,7 @@ def _meet(batches):
     pending: dict[str, list] = {"rid": [], "links": [], "label": []}
 
     def close():
-        seen = {x[0]: x for x in held}  # the same row may come twice where a text and an id repeat
-        own = list(seen.values())
+        own = held
         if len(own) > 1:
             rid = np.array([x[0] for x in own], np.int64)
             links, label = compare(rid, np.array([x[1] for x in own]), np.array([x[2] for x in own]), np.array([x[3] for x in own]), own[0][4], [np.frombuffer(x[5], np.uint64) for x in own])
@@ -224,10 +262,10 @@ def _sets(batches):
             yield from own.append_column("set", pa.array(found, pa.binary())).to_batches()
 
 
-def links(docs: DataFrame, reps: DataFrame, member: DataFrame, n_runs: int, block: int = BLOCK) -> DataFrame:
-    """(rid, links, label) from every comparison; texts are read again and only those in some bucket are cut into sets."""
-    todo = _tasks(member, n_runs, block).join(reps.select("rid", "doc_id", "tkey", "copies"), "rid")
-    texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), "text")
+def links(docs: DataFrame, reps: DataFrame, member: DataFrame, n_runs: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(rid, links, label) from every comparison; texts are read again, once for each (id, text), and only those in some bucket are cut into sets."""
+    todo = _tasks(member, n_runs, block_bytes).join(reps.select("rid", "doc_id", "tkey", "copies"), "rid")
+    texts = docs.groupBy(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")).agg(F.first("text").alias("text"))
     ready = todo.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tkey") == F.col("_key"))).select("rid", "copies", "pairs", "terms", "text")
     schema = "rid long, copies long, pairs array<struct<run:int,key:long,at:int>>, terms array<long>, set binary"
     spread = ready.mapInArrow(_sets, schema).select("rid", "copies", "terms", "set", F.explode("pairs").alias("p"))
@@ -240,26 +278,29 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("rid").alias("a"), F.col("label").alias("b")).filter("a <> b")
     both = stored(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     label = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")), "roots")
+    before = label
     for _ in range(ROUNDS):
         near = both.join(label.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
         step = label.join(near, "a").select("a", "root", F.least("root", "near").alias("next"))
         up = label.select(F.col("a").alias("next"), F.col("root").alias("up"))
         moved = stored(step.join(up, "next", "left").select("a", F.col("root").alias("old"), F.least("next", F.coalesce("up", "next")).alias("root")), "roots")
-        label = moved.select("a", "root")
-        if moved.filter("old <> root").isEmpty():
+        done = moved.filter("old <> root").isEmpty()
+        discard(before)
+        label, before = moved.select("a", "root"), moved
+        if done:
             break
     else:
         raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
     return label.withColumnRenamed("a", "rid")
 
 
-def classes(docs: DataFrame, recall: float = RECALL, small: int = SMALL, block: int = BLOCK, depth: int = DEPTH) -> DataFrame:
+def classes(docs: DataFrame, recall: float = RECALL, small: int = SMALL, block_bytes: int = BLOCK_BYTES, depth: int = DEPTH) -> DataFrame:
     """One row per document: rid, doc_id, tkey, class_id (the smallest id in its group), n_links, first (whether it is the row to keep)."""
     n_runs = runs(recall, depth)
     own = docs.select("doc_id", "text")
     rows = stored(sketch(own, n_runs, depth), "sketch")
     reps = stored(representatives(rows), "reps")
-    found = stored(links(own, reps, buckets(reps, n_runs, depth, small), n_runs, block), "links")
+    found = stored(links(own, reps, buckets(reps, n_runs, depth, small), n_runs, block_bytes), "links")
     root = components(found.select("rid", "label"))
     total = found.groupBy("rid").agg(F.sum("links").alias("links"))
     named = reps.select("rid", "doc_id", "print", "copies").join(root, "rid", "left").join(total, "rid", "left").withColumn("root", F.coalesce("root", "rid"))

@@ -6,14 +6,16 @@ document's probabilities are the mean over all of its positions. The network is
 through time on a bounded sample: at most TRAIN_DOCS texts of each language (the ones whose hashed ids come first)
 and TRAIN_SEGMENTS segments of each, spread over the whole text. Scoring reads every byte of every text.
 
-Defined cases: texts that are null or have no letter are `und` with score 0; without any row to learn from, all are
+Defined cases: texts that are null, empty or have no letter (Unicode category L) are `und` with score 0; without any row to learn from, all are
 `und`; null languages are not learned from; repeated rows get equal answers; ties go to the language that sorts
-first; an empty table gives an empty result; other columns are never looked at.
+first; very long texts are read whole, in slices; a null id is kept; an empty table gives an empty result; other
+columns are never looked at, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,13 @@ TRAIN_DOCS, TRAIN_SEGMENTS = 300, 12
 STEPS, BATCH, RATE = 300, 384, 0.02
 #: Segments worked on at once: their gates fit a core's cache.
 ROWS = 4096
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and a few signs of other categories that are told apart by `has_letter`.
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a code point is of Unicode category L; superscripts, fractions and circled or roman numerals are not."""
+    return any(unicodedata.category(m[0])[0] == "L" for m in _WORDLIKE.finditer(text or ""))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -179,18 +187,19 @@ def pooled(net: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, most: int = TRAIN_DOCS) -> list[tuple[str, str]]:
     """At most `most` (text, language) pairs of each language: those whose hashes come first.
 
-    Languages are counted first (the network has outputs for each, so they are few); then only the share of rows that
-    holds some four times as many as asked for leaves the scan, so neither texts nor candidates of a large language meet in one task.
+    Different texts of each language are counted first (the network has outputs for each language, so they are few); then
+    only the share of rows that holds some four times as many as asked for leaves the scan. Copies of a text have one hash
+    and meet before they are ranked, so neither a language nor a text that a third of all rows repeat meets in one task.
     """
-    sizes = {r.lang: r.n for r in docs.filter(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    own = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select("text", "lang", F.xxhash64("text").alias("h"))
+    sizes = {r.lang: r.n for r in own.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not sizes:
         return []
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, max(4.0 * most, 200.0) / n))])
-    h = F.xxhash64("doc_id", "text")
-    early = h.cast("double") / F.lit(2.0**64) + 0.5 <= F.try_element_at(share, F.col("lang"))
-    able = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & early).select("text", "lang", h.alias("h"))
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, max(4.0 * most, 200.0) / max(n, 1)))])
+    early = F.col("h").cast("double") / F.lit(2.0**64) + 0.5 <= F.try_element_at(share, F.col("lang"))
+    once = own.filter(early).groupBy("lang", "h").agg(F.first("text").alias("text"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    rows = able.withColumn("n", place).filter(F.col("n") <= most)
+    rows = once.withColumn("n", place).filter(F.col("n") <= most)
     return sorted({(r.text, r.lang) for r in rows.collect()})  # a few hundred texts of each language
 
 
@@ -209,7 +218,7 @@ def predict(docs: DataFrame, net: dict | None) -> DataFrame:
                     p = pooled(net, data, offsets)
                     best = p.argmax(axis=1)
                     for i, t in enumerate(own.column("text").to_pylist()):
-                        if t and _LETTER.search(t):
+                        if has_letter(t):
                             lang[i], top[i] = net["languages"][best[i]], min(1.0, float(p[i, best[i]]))
                 yield pa.record_batch([own.column("doc_id"), pa.array(lang, pa.string()), pa.array(top, pa.float64())], ["doc_id", "lang_pred", "score"])
 

@@ -6,7 +6,9 @@ ledger has not seen, and joins findings back to all paths and versions that hold
 copied a thousand times, or kept through a thousand versions, is read by the rules once.
 
 Defined cases: null content counts as empty; an empty table gives empty results; repeated rows each get their
-findings; ties in position order by kind as listed in RULES; other columns of the input are not looked at.
+findings; ties in position order by kind as listed in RULES; very long texts and many matches in one are walked in
+groups; other columns of the input are carried and not looked at, whatever their names: beside an input column `blob`
+or `spans` the new one is called `blob_` or `spans_`.
 Spans count code points, from 0, with an exclusive end. Texts are matched whole.
 """
 
@@ -17,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kartoteka.llm.common import stored
+from kartoteka.llm.common import free_names, stored
 
 
 @dataclass(frozen=True)
@@ -54,12 +56,16 @@ EXTRA = (
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
 RULES = BASE + EXTRA
+#: Matches walked at once; unseen blobs (some 200 bytes each) that are broadcast.
+GROUP, BROADCAST_BLOBS = 256, 100_000
 LEDGER_SCHEMA = "blob string, rule string, spans array<struct<start:int,kind:string,end:int>>"
 
 
 def content_address(versions: DataFrame, content: str = "text") -> DataFrame:
-    """Add `blob`, the SHA-256 of the content."""
-    return versions.withColumn("blob", F.sha2(F.coalesce(F.col(content).cast("string"), F.lit("")), 256))
+    """(_row: all columns as _c0, _c1 ..., text, blob: the SHA-256 of the content)."""
+    names = [f"_c{i}" for i in range(len(versions.columns))]
+    text = F.coalesce(F.col(names[versions.columns.index(content)]).cast("string"), F.lit(""))
+    return versions.toDF(*names).select(F.struct(*names).alias("_row"), text.alias("text"), F.sha2(text, 256).alias("blob"))
 
 
 def _found(text: Column, rule: Rule) -> Column:
@@ -74,14 +80,20 @@ def _found(text: Column, rule: Rule) -> Column:
 
 
 def _spans(zipped: str, rule: Rule) -> Column:
-    """From alternating pieces to (start, kind, end), failing matches dropped. The last piece has no match after it."""
-    walk = f"""aggregate(slice({zipped}, 1, size({zipped}) - 1), struct(0 as pos, array() :: array<struct<start:int,kind:string,end:int>> as out),
+    """From alternating pieces to (start, kind, end), failing matches dropped. The last piece has no match after it.
+
+    Matches are walked in groups of GROUP, then the groups: appending to one array for each of m matches would take m * m steps.
+    """
+    kind = "array<struct<start:int,kind:string,end:int>>"
+    walk = f"""aggregate(slice({zipped}, g * {GROUP} + 1, least({GROUP}, size({zipped}) - 1 - g * {GROUP})), struct(0 as pos, array() :: {kind} as out),
         (a, x) -> struct(a.pos + length(x.before) + length(x.full) as pos,
           if(length(x.part) >= {rule.least},
              array_append(a.out, struct(a.pos + length(x.before) as start, '{rule.kind}' as kind, a.pos + length(x.before) + length(x.full) as `end`)),
-             a.out) as out),
-        a -> a.out)"""
-    return F.expr(walk)
+             a.out) as out))"""
+    groups = f"transform(sequence(0, (size({zipped}) - 2) div {GROUP}), g -> {walk})"
+    return F.expr(f"""if(size({zipped}) < 2, array() :: {kind}, aggregate({groups}, struct(0 as pos, array() :: array<{kind}> as out),
+        (a, x) -> struct(a.pos + x.pos as pos, array_append(a.out, transform(x.out, s -> struct(s.start + a.pos as start, s.kind as kind, s.end + a.pos as `end`))) as out),
+        a -> flatten(a.out)))""")
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -97,17 +109,24 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def unseen(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(blob, text, todo) of blobs with at least one pair that the ledger lacks; each text once."""
+    """(blob, text, todo) of blobs with at least one pair that the ledger lacks; each text once.
+
+    A short list of unseen blobs (the usual run) is broadcast, so seen texts never leave their scan. Beyond BROADCAST_BLOBS
+    texts are dealt by blob, one for each blob and partition, and meet the list there.
+    """
     keys = F.array(*[F.lit(r.key) for r in rules])
+    texts = versions.select("blob", "text")
     if ledger is None:
-        return versions.groupBy("blob").agg(F.first("text").alias("text")).withColumn("todo", keys)
+        return texts.groupBy("blob").agg(F.first("text").alias("text")).withColumn("todo", keys)
     done = ledger.groupBy("blob").agg(F.collect_set("rule").alias("done"))
-    todo = (
+    todo = stored(
         versions.select("blob").distinct().join(done, "blob", "left")
         .withColumn("todo", F.array_except(keys, F.coalesce("done", F.expr("array()"))))
-        .filter(F.size("todo") > 0).select("blob", "todo")
+        .filter(F.size("todo") > 0).select("blob", "todo"), "unseen",
     )
-    return versions.select("blob", "text").join(todo, "blob").groupBy("blob").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
+    if todo.count() <= BROADCAST_BLOBS:
+        return texts.join(F.broadcast(todo), "blob").groupBy("blob").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
+    return texts.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
 
 
 def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
@@ -117,14 +136,15 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: t
     are computed once; append them to the ledger for the next run.
     """
     addressed = content_address(versions)
-    fresh = stored(scan(unseen(addressed.select("blob", F.coalesce("text", F.lit("")).alias("text")), ledger, rules), rules), "ledger")
+    fresh = stored(scan(unseen(addressed, ledger, rules), rules), "ledger")
     known = fresh if ledger is None else ledger.select(*fresh.columns).unionByName(fresh)
     # Most blobs hold no secret: only findings travel to the join, and paths of a hot blob are split by AQE.
     found = (
         known.filter(F.col("rule").isin([r.key for r in rules]) & (F.size("spans") > 0))
         .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
-    return addressed.join(found, "blob", "left"), fresh
+    joined = addressed.select("_row", "blob").join(found, "blob", "left")
+    return joined.select("_row.*", "blob", "spans").toDF(*versions.columns, *free_names(["blob", "spans"], versions.columns)), fresh
 
 
 def _joined(spans: Column) -> Column:
@@ -136,9 +156,19 @@ def _is(kind: str):
     return lambda s: s["kind"] == kind
 
 
+def scan_history(commits: list[DataFrame], rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+    """(the last commit's rows with `blob` and `spans`, the whole ledger): each commit is scanned with the ledger that the ones before it left."""
+    ledger, found = None, None
+    for versions in commits:
+        found, fresh = scan_versions(versions, ledger, rules)
+        ledger = fresh if ledger is None else ledger.unionByName(fresh)
+    return found, ledger
+
+
 def report(docs: DataFrame) -> DataFrame:
-    """The digest: one row per document."""
-    found, _ = scan_versions(docs.select("doc_id", "text"))
+    """The digest: one row per document. The table is read as a history of two commits: the first holds the ids whose hash is even, the second all."""
+    own = docs.select("doc_id", "text")
+    found, _ = scan_history([own.filter(F.coalesce(F.xxhash64("doc_id") % 2, F.lit(0)) == 0), own])
     order = F.create_map(*[x for n, r in enumerate(RULES) for x in (F.lit(r.kind), F.lit(n))])
     keyed = F.transform(F.coalesce("spans", F.expr("array()")), lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("n"), s["kind"].alias("kind"), s["end"].alias("end")))
     base = F.filter("_spans", lambda s: s["n"] < len(BASE))

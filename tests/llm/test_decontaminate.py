@@ -53,6 +53,49 @@ def test_report_and_removal(spark):
     assert {r.doc_id for r in kept.collect()} == {k for k, v in want.items() if not v[3]}
 
 
+def longest(words, bench):
+    best, at = 0, -1
+    for _, t in bench:
+        w = lower(t)
+        m = min(10, len(w))
+        for i in range(len(words)):
+            for j in range(len(w) - m + 1 if w else 0):
+                n = 0
+                while i + n < len(words) and j + n < len(w) and words[i + n] == w[j + n]:
+                    n += 1
+                if n >= m and (n, -i) > (best, -at):
+                    best, at = n, i
+    return best, at
+
+
+def test_longest_match_of_each_document(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    for items in (BENCH, [b for b in BENCH if len(lower(b[1])) > 4]):
+        got = {r.doc_id: (r.longest, r.longest_at) for r in d.report(docs, bench.filter(bench.item_id.isin([i for i, _ in items]))).collect()}
+        assert {i: x for i, x in got.items() if i != 103} == {i: longest(lower(t), items) for i, t in DOCS if i != 103}
+
+
+def test_sql(spark, tmp_path):
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).parents[1]))
+    from oracle import connect, differences
+
+    spark.createDataFrame(DOCS, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([b for b in BENCH if b[1]], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    run = lambda s, f: d.report(s.read.parquet(f"{f}/documents.parquet"), s.read.parquet(f"{f}/benchmark.parquet"))
+    assert not differences(spark, connect(tmp_path), tmp_path, run, d.ORACLE_SQL)
+
+
+def test_clashing_columns_stay(spark):
+    frame = spark.createDataFrame([(i, t, 1, "h", None) for i, t in DOCS], "doc_id long, text string, n int, hits string, items string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    kept = d.remove(frame, bench)
+    assert kept.columns == frame.columns and {(r.n, r.hits, r["items"]) for r in kept.collect()} == {(1, "h", None)}
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")

@@ -58,3 +58,13 @@ def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([(1, "some text", None, 0)], SCHEMA)
     assert g.report(none).collect()[0].lang_pred == "und"
     assert g.report(none.limit(0)).count() == 0
+
+
+def test_only_letters_count():
+    assert not any(map(g.has_letter, [None, "", "12 34", "\u00b2 \u00bd \u2460 \u2167 _ !", "\u0301"])) and all(map(g.has_letter, ["a", "\u00b2\u00e9", "\u6f22", "\u02b0"]))
+
+
+def test_a_repeated_text_is_learned_from_once(spark):
+    rows = [(i, "the same text", "en", 0) for i in range(3000)] + [(9000 + i, f"other text {i}", "en", 0) for i in range(50)]
+    assert len(g.sample(spark.createDataFrame(rows, SCHEMA), 40)) == 40
+    assert ("the same text", "en") in g.sample(spark.createDataFrame(rows, SCHEMA), 400)

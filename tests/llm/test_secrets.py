@@ -48,11 +48,23 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert ledger.count() == 6
     second = spark.createDataFrame([(1, "token=abcdefg", 0), (3, "passwd=0123456", 0), (4, "token=abcdefg", 1)], SCHEMA)
     found, fresh = secrets.scan_versions(second, ledger, secrets.BASE)
-    assert {r.blob for r in fresh.collect()} == {r.blob for r in found.filter("doc_id = 3").collect()}
+    assert found.columns == ["doc_id", "text", "blob", "blob_", "spans"]
+    assert {r.blob for r in fresh.collect()} == {r.blob_ for r in found.filter("doc_id = 3").collect()}
     assert all(len(r.spans) == 1 for r in found.collect())
     _, more = secrets.scan_versions(second, ledger.unionByName(fresh))
     assert {r.rule for r in more.collect()} == {r.key for r in secrets.EXTRA}
 
 
+def test_history_scans_each_pair_once(spark, monkeypatch):
+    rows = [(i, f"token=abcdef{i % 40}", 0) for i in range(200)] + [(None, None, 0), (None, "passwd=0123456", 0)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for most in (secrets.BROADCAST_BLOBS, 0):  # either way to the unseen texts
+        monkeypatch.setattr(secrets, "BROADCAST_BLOBS", most)
+        found, ledger = secrets.scan_history([frame.filter("doc_id < 20"), frame.filter("doc_id < 30"), frame])
+        pairs = [(r.blob, r.rule) for r in ledger.collect()]
+        assert len(pairs) == len(set(pairs)) == 42 * len(secrets.RULES)
+        assert [len(r.spans) for r in found.filter("text is not null").collect()] == [1] * 201
+
+
 def test_empty_table(spark):
     assert secrets.report(spark.createDataFrame([], SCHEMA)).count() == 0
