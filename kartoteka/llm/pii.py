@@ -1,16 +1,22 @@
 """Surrogates for personal data.
 
 E-mail addresses, phone numbers, IPv4 addresses, long numbers (cards, accounts), national ids, IBANs and names are
-detected in whole texts. Each distinct entity (type and canonical form) gets a surrogate from an HMAC under a secret
+detected in whole texts, once. Each distinct entity (type and canonical form) gets a surrogate from an HMAC under a secret
 key: digits for digits, letters of the same script and case for letters, a name of the same gender and script for a
-name, with country codes, separators and check digits kept valid as they were. A mention is rendered in its own
-format, so one entity written in two ways gets one surrogate in two formats (coreference). Surrogates are compared
-over the whole corpus: one that meets another entity's surrogate, or any original of its type, is drawn again until
-all are distinct. Only rows with entities are ever shuffled, and only their distinct entities are compared.
-
-Defined cases: null texts stay null; texts without entities stay as they are; repeated rows get equal surrogates;
-overlapping finds go to the type listed first; an empty table gives an empty result; all other columns stay, but for
-`n_chars`, which follows the new text.
+name, with country codes, separators and check digits (cards, IBANs) kept valid as they were. Names are drawn from
+lists of names that the detector does not know, then built from syllables with an ending that tells the gender, so
+there are always more of them than a corpus holds. A mention is rendered in its own format, so one entity written in two
+ways gets one surrogate in two formats, and a name found in a text is replaced wherever the text repeats one of its
+words (coreference). Surrogates are compared over the whole corpus: one that meets another entity's surrogate, or any
+original of its type, is drawn again until all are distinct. Only rows with entities are ever shuffled, and only their
+distinct entities are compared; mentions of one hot entity are small rows that AQE splits.
+
+A name starts at a title, at a listed given name, or after a word that introduces people (Dear, Signed, ...). Untitled,
+unlisted names in running text are not found.
+
+Defined cases: null texts stay null; texts without entities, empty ones too, stay as they are; repeated rows get equal
+surrogates; overlapping finds go to the type listed first; a very long text is searched whole; an empty table gives an
+empty result; all other columns stay, whatever their names, but for `n_chars`, which follows the new text.
 """
 
 from __future__ import annotations
@@ -18,12 +24,13 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left, insort
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kartoteka.llm.common import stored
+from kartoteka.llm.common import discard, free_names, stored
 
 #: Rounds of the collision loop; the space to draw from grows with the attempt, so few are ever needed.
 ROUNDS = 40
@@ -37,23 +44,51 @@ TITLES = {
 GIVEN = {
     ("latin", "m"): "James John Robert Michael William David Thomas Peter Paul Daniel Hans Karl Klaus Stefan Jürgen Pierre Jean Louis Antoine Carlos José Juan Miguel Pedro Luis".split(),
     ("latin", "f"): "Mary Patricia Jennifer Linda Elizabeth Susan Sarah Karen Anna Emma Julia Ursula Sabine Monika Petra Marie Claire Sophie Camille María Carmen Lucía Ana Isabel Elena".split(),
-    ("cyrillic", "m"): "Иван Алексей Дмитрий Сергей Николай Андрей Павел Михаил".split(),
-    ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Екатерина".split(),
+    ("cyrillic", "m"): "Иван Алексей Дмитрий Сергей Николай Андрей Павел Михаил Александр Владимир Виктор Юрий".split(),
+    ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Екатерина Светлана Людмила Галина Юлия".split(),
+    ("greek", "m"): "Γιώργος Γιάννης Δημήτρης Κώστας Νίκος Σωκράτης Πέτρος Παύλος Ανδρέας Χρήστος".split(),
+    ("greek", "f"): "Μαρία Ελένη Κατερίνα Άννα Σοφία Ειρήνη Δήμητρα Αγγελική Βασιλική Ιωάννα".split(),
 }
-SURNAMES = {
-    "latin": "Smith Johnson Brown Miller Wilson Taylor Clark Walker Müller Schmidt Fischer Weber Wagner Becker Martin Bernard Dubois Moreau Laurent García López Sánchez Torres Navarro".split(),
-    "cyrillic": "Иванов Петров Сидоров Смирнов Кузнецов Попов Волков Соколов".split(),
+# Names that are drawn and that the detector does not know.
+DRAWN = {
+    ("latin", "m"): "Alaric Barnaby Caspian Dorian Edmund Fabian Gareth Hector Ignatius Jasper Konrad Leopold Magnus Nestor Orlando Quentin Roland Silas Tristan Valentin".split(),
+    ("latin", "f"): "Adelaide Beatrice Cordelia Delphine Eloise Florence Genevieve Henrietta Imogen Josephine Leonora Matilda Ottilie Penelope Rosalind Seraphina Theodora Viola Wilhelmina Zelda".split(),
+    ("latin", "n"): "Avery Blair Casey Darcy Ellis Finley Harper Jules Kerry Lane Marlow Nour Quinn Remy Sasha Toni".split(),
+    ("cyrillic", "m"): "Аркадий Богдан Вадим Геннадий Демьян Ефим Захар Кирилл Лев Мирон Тихон Фёдор".split(),
+    ("cyrillic", "f"): "Агата Вера Дарья Евгения Зинаида Клавдия Лидия Марфа Нина Полина Раиса Таисия".split(),
+    ("greek", "m"): "Αχιλλέας Ευριπίδης Θεμιστοκλής Ιάσονας Λεωνίδας Μιλτιάδης Οδυσσέας Περικλής".split(),
+    ("greek", "f"): "Αφροδίτη Ευτυχία Θάλεια Καλλιόπη Μυρτώ Ναυσικά Πηνελόπη Χρυσάνθη".split(),
 }
-SYLLABLES = {"latin": "ba de fi go lu ma ne ri so ta ve zo ka le mi no".split(), "cyrillic": "ба де фи го лу ма не ри со та ве зо ка ле ми но".split()}
+SURNAMES = "Smith Johnson Brown Miller Wilson Taylor Clark Walker Müller Schmidt Fischer Weber Wagner Becker Martin Bernard Dubois Moreau Laurent García López Sánchez Torres Navarro".split()
+# Syllables, and endings that tell gender and kind.
+SYLLABLES = {
+    "latin": "ba de fi go lu ma ne ri so ta ve zo ka le mi no".split(), "cyrillic": "ба де фи го лу ма не ри со та ве зо ка ле ми но".split(),
+    "greek": "βα δε φι γο λου μα νε ρι σο τα βε ζο κα λε μι νο".split(),
+}
+ENDINGS = {
+    ("given", "latin", "m"): "an er ius olf ard".split(), ("given", "latin", "f"): "a ia ina elle ette".split(), ("given", "latin", "n"): "i ey is en".split(),
+    ("given", "cyrillic", "m"): "ан ей ил ор".split(), ("given", "cyrillic", "f"): "а ия ина ела".split(),
+    ("given", "greek", "m"): "ος ης ας".split(), ("given", "greek", "f"): "α η ία".split(),
+    ("surname", "latin", "n"): "berg feld mann sen ton ard ez ini".split(),
+    ("surname", "cyrillic", "m"): "ов ин ский ев".split(), ("surname", "cyrillic", "f"): "ова ина ская ева".split(),
+    ("surname", "greek", "m"): "όπουλος ίδης άκης".split(), ("surname", "greek", "f"): "οπούλου ίδου άκη".split(),
+}
+_VOWELS = "aeiouаеиоуαειου"
 ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω")
 
 # More given names that are found but never drawn.
 MORE_GIVEN = {
-    "m": "Adam Alan Albert Alejandro Alexander Andreas Andrew Anthony Arthur Benjamin Bernd Brian Charles Christian Christopher Dennis Diego Donald Edward Eric Felix Fernando Florian Frank François Frédéric Gary George Georg Günter Harry Heinz Helmut Henri Henry Jack Jacques Javier Jason Jeffrey Jörg Jorge Joseph Joshua Julien Jürgen Kenneth Kevin Lars Laurent Lukas Luke Manuel Markus Martin Matthew Matthias Max Michel Nicolas Oliver Olivier Oscar Pablo Patrick Philippe Rafael Ralf Raymond Ricardo Richard Roger Ronald Ryan Samuel Scott Sebastian Sergio Simon Stephen Steven Sven Thierry Timothy Tobias Tom Uwe Walter Wolfgang".split(),
-    "f": "Alice Amanda Amy Andrea Angela Angelika Anne Barbara Beatriz Betty Birgit Brigitte Carol Catherine Charlotte Christine Claudia Cristina Daniela Deborah Diana Donna Dorothy Elisabeth Emily Eva Françoise Gabriele Hannah Heike Helen Helga Inès Isabelle Jane Janet Jessica Joan Juliette Karin Katharina Katrin Kimberly Laura Lauren Lena Lisa Lucy Manon Margaret Maria Marta Martina Martine Melissa Michelle Mónica Nancy Nathalie Nicole Nina Olivia Pamela Patricia Paula Pilar Rachel Rebecca Renate Rosa Ruth Sandra Sara Sharon Silvia Sofía Stephanie Susanne Sylvie Teresa Ute Valérie Véronique Victoria".split(),
+    "m": "Adam Alan Albert Alejandro Alexander Andreas Andrew Anthony Arthur Benjamin Bernd Brian Charles Christian Christopher Dennis Diego Donald Edward Eric Felix Fernando Florian Frank François Frédéric Gary George Georg Günter Harry Heinz Helmut Henri Henry Jack Jacques Javier Jason Jeffrey Jörg Jorge Joseph Joshua Julien Jürgen Kenneth Kevin Lars Laurent Lukas Luke Manuel Markus Martin Matthew Matthias Max Michel Nicolas Oliver Olivier Oscar Pablo Patrick Philippe Rafael Ralf Raymond Ricardo Richard Roger Ronald Ryan Samuel Scott Sebastian Sergio Simon Stephen Steven Sven Thierry Timothy Tobias Tom Uwe Walter Wolfgang Ahmed Ali Arjun Giovanni Hassan Hiroshi Ibrahim Ivan Jakub Kenji Luca Marco Marko Matteo Mohammed Omar Piotr Rajesh Takashi Tomasz Wei".split(),
+    "f": "Alice Amanda Amy Andrea Angela Angelika Anne Barbara Beatriz Betty Birgit Brigitte Carol Catherine Charlotte Christine Claudia Cristina Daniela Deborah Diana Donna Dorothy Elisabeth Emily Eva Françoise Gabriele Hannah Heike Helen Helga Inès Isabelle Jane Janet Jessica Joan Juliette Karin Katharina Katrin Kimberly Laura Lauren Lena Lisa Lucy Manon Margaret Maria Marta Martina Martine Melissa Michelle Mónica Nancy Nathalie Nicole Nina Olivia Pamela Patricia Paula Pilar Rachel Rebecca Renate Rosa Ruth Sandra Sara Sharon Silvia Sofía Stephanie Susanne Sylvie Teresa Ute Valérie Véronique Victoria Agnieszka Aisha Anjali Chiara Fatima Francesca Giulia Ivana Katarzyna Leila Mariana Nadia Priya Sakura Yuki Zofia".split(),
 }
 
-_UP = "A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ"
+# Words that introduce people, and words that end or are no part of a name.
+CUES = {*"dear sincerely regards signed contact attn attention author liebe lieber grüße geehrte geehrter cher chère cordialement querido querida estimado estimada atentamente уважаемый уважаемая αγαπητέ αγαπητή".split()}
+STOP = {
+    *"And The Or Of In On At To For From By With But If When Then That This He She It They We You I His Her Their Our My Is Was Are Were Und Der Die Das Ein Eine Oder Aber Wenn Et Le La Les Un Une Des Du De Ou Mais Si Il Elle".split(),
+    *"Y El Los Las Una O Pero City Council University Street Road House Company Bank Times Team Sir Madam Customer Customers Colleagues Friends Inc Ltd GmbH AG И В На Но Или Και Ο Η Το".split(),
+}
+_UP = "A-ZÀ-ÖØ-ÞΑ-ΩΆΈ-ΊΌΎΏА-ЯЁ"
 EMAIL = re.compile(r"[\w%+-][\w.%+-]*@[\w-]+(?:\.[\w-]+)+")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 IPV4 = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)")
@@ -77,7 +112,17 @@ _TWO = {*"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 5
 
 
 def script_of(word: str) -> str:
-    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"
+    return next((n for n, lo, hi in (("cyrillic", "Ѐ", "ӿ"), ("greek", "Ͱ", "Ͽ"), ("greek", "ἀ", "῾")) if any(lo <= c <= hi for c in word)), "latin")
+
+
+def surname_kind(word: str) -> str:
+    """Surnames tell gender where their script's languages inflect them."""
+    script, low = script_of(word), word.casefold()
+    if script == "cyrillic":
+        return f"surname:{'f' if low[-1:] in 'ая' else 'm'}:cyrillic"
+    if script == "greek":
+        return f"surname:{'m' if low[-1:] in 'σς' else 'f'}:greek"
+    return "surname:n:latin"
 
 
 def _digits(text: str) -> str:
@@ -90,23 +135,48 @@ def _luhn(digits: str) -> bool:
 
 
 def _names(text: str):
-    """(start, end, kind, canonical form) of each word of a name: given names by gender, surnames. A name starts at any title or given name of a run of capitalised words."""
+    """(start, end, kind, canonical form) of each word of a name: given names by gender, surnames. A name starts at any title or given name of a run of
+    capitalised words, or at the run's start after a cue. Later mentions of a found word count, too."""
+    found: dict[str, tuple[str, str]] = {}
+    spans = []
     for m in NAME.finditer(text):
         at, gender, known, title = m.start(), None, False, None
         run = m[0].split(" ")
+        if run[0].casefold() in CUES:
+            cue, first = True, 1
+        else:
+            before = text[max(0, at - 24) : at].rstrip(" ,:\n").rsplit(None, 1)
+            cue, first = bool(before) and before[-1].casefold() in CUES, 0
+        cue = cue and len(run) - first >= 2 and not any(w.rstrip(".") in STOP or w.rstrip(".") in TITLES for w in run[first : first + 3])
         for k, w in enumerate(run):
             bare = w.rstrip(".")
-            kind = _GENDER.get(bare) or _GENDER.get(bare.title() if bare.isupper() else bare)
+            listed = _GENDER.get(bare) or _GENDER.get(bare.title() if bare.isupper() else bare)
+            more = k + 1 < len(run) and run[k + 1].rstrip(".") not in STOP
+            kind = None
             if bare in TITLES:
                 gender = TITLES[bare] if TITLES[bare] != "n" or not known else gender
                 known, title = True, k
-            elif kind and (not known or title == k - 1 or run[k - 1] in _GENDER):
-                yield at, at + len(bare), f"given:{kind[1]}:{script_of(bare)}", bare.casefold()
-                known = True
+            elif bare in STOP:
+                known = False
+            elif listed and (not known or title == k - 1 or run[k - 1] in _GENDER):
+                kind, known = f"given:{listed[1]}:{script_of(bare)}", True
             elif known and len(bare) > 1:
-                more = k + 1 < len(run) and title == k - 1 and gender in ("m", "f")  # title, unlisted given name, surname
-                yield at, at + len(bare), f"given:{gender}:{script_of(bare)}" if more else f"surname:{script_of(bare)}", bare.casefold()
+                # title, unlisted given name, surname
+                kind = f"given:{gender}:{script_of(bare)}" if more and title == k - 1 and gender in ("m", "f") else surname_kind(bare)
+            elif cue and k == first and len(bare) > 1:
+                script = script_of(bare)
+                kind, known = f"given:{'n' if script == 'latin' else 'f' if bare[-1] in 'аяαη' else 'm'}:{script}", True
+            if kind:
+                found.setdefault(bare, (kind, bare.casefold()))
+                spans.append((at, at + len(bare), *found[bare]))
             at += len(w) + 1
+    yield from spans
+    again = [w for w in found if len(w) > 2]
+    if again:
+        seen = {x[0] for x in spans}
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(again, key=len, reverse=True)))})(?!\w)", text):
+            if m.start() not in seen:
+                yield m.start(), m.end(), *found[m[0]]
 
 
 def _is_phone(m: re.Match) -> bool:
@@ -128,22 +198,24 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) in code points, without overlaps."""
     if not text:
         return []
-    found, taken = [], []
+    found: list[tuple[int, int, str, str]] = []  # sorted, without overlaps
+
+    def put(start: int, end: int, kind: str, canon: str) -> None:
+        at = bisect_left(found, (start,))
+        if (at == len(found) or end <= found[at][0]) and (at == 0 or found[at - 1][1] <= start):
+            insort(found, (start, end, kind, canon))
+
     kinds = [("email", EMAIL)] if "@" in text else []
     if _NUMBERS.search(text):
         kinds += [("iban", IBAN), ("ip", IPV4), ("national", NATIONAL), ("card", CARD), ("phone", PHONE)]
     for kind, pattern in kinds:
         # Dates are no phones, but phones may stand beside them.
         for m in pattern.finditer(_DATE.sub(lambda d: "x" * len(d[0]), text) if kind == "phone" else text):
-            if kind == "phone" and not _is_phone(m):
-                continue
-            if all(m.end() <= s or m.start() >= e for s, e in taken):
-                taken.append(m.span())
-                found.append((*m.span(), kind, _canonical(kind, m[0])))
-    for s, e, kind, canon in _names(text):
-        if all(e <= a or s >= b for a, b in taken):
-            found.append((s, e, kind, canon))
-    return sorted(found)
+            if kind != "phone" or _is_phone(m):
+                put(*m.span(), kind, _canonical(kind, m[0]))
+    for name in _names(text):
+        put(*name)
+    return found
 
 
 class _Stream:
@@ -170,15 +242,27 @@ def _letter(c: str, draw: _Stream) -> str:
     return out.upper() if c.isupper() else out
 
 
+def _mod97(text: str) -> int:
+    """The remainder of an IBAN's digits, letters read as 10 to 35."""
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
+def _new_name(role: str, gender: str, script: str, draw: _Stream, attempt: int) -> str:
+    """A listed name first, then syllables and an ending of the same role, gender and script; the space grows with the attempt."""
+    listed = DRAWN[script, gender] if role == "given" else SURNAMES if script == "latin" else []
+    if attempt < 2 and listed:
+        return listed[draw.below(len(listed))].casefold()
+    stem = "".join(SYLLABLES[script][draw.below(16)] for _ in range(2 + attempt // 6))
+    endings = ENDINGS[role, script, gender]
+    end = endings[draw.below(len(endings))]
+    return (stem.rstrip(_VOWELS) if end[0] in _VOWELS + "ίόά" else stem) + end
+
+
 def surrogate(kind: str, canon: str, attempt: int, key: bytes = DEMO_KEY) -> str:
     """The canonical form of the replacement."""
     draw = _Stream(key, kind, canon, str(attempt))
     if kind.startswith(("given", "surname")):
-        script = kind.rsplit(":", 1)[1]
-        names = GIVEN[script, g] if (g := kind.split(":")[1]) in ("m", "f") else SURNAMES[script]
-        if attempt < 3:
-            return names[draw.below(len(names))].casefold()
-        return "".join(SYLLABLES[script][draw.below(16)] for _ in range(3 + attempt // 8))
+        return _new_name(*kind.split(":"), draw, attempt)
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "email":
@@ -188,7 +272,9 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes = DEMO_KEY) -> str
         more = "".join(chr(97 + draw.below(26)) for _ in range(attempt // 3))
         return "".join(_letter(c, draw) for c in local) + more + "@" + "".join(_letter(c, site) for c in host) + "." + top
     if kind == "iban":
-        return canon[:2] + "".join(_letter(c, draw) for c in canon[2:])
+        body = "".join(_letter(c, draw) for c in canon[4:])
+        good = f"{98 - _mod97(body + canon[:2] + '00'):02d}"
+        return canon[:2] + (good if _mod97(canon[4:] + canon[:4]) == 1 else f"{(int(good) + 1 + draw.below(90)) % 100:02d}") + body
     kept = canon[:-10] if kind == "phone" and len(canon) > 10 else ""  # country code
     if kind == "phone" and len(canon) == 11 and canon[:2] in _TWO:
         kept = canon[:2]
@@ -217,24 +303,15 @@ def render(kind: str, original: str, canon: str) -> str:
 MENTIONS = "array<struct<start:int,end:int,kind:string,canon:string>>"
 
 
-def _split(hit: bool):
-    """Rows with entities (and these), or rows without."""
-
-    def scan(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                found = [detect(t) for t in part.column("_text").to_pylist()]
-                keep = pa.array([bool(x) == hit for x in found], pa.bool_())
-                out = part.drop_columns(["_text"]) if not hit else part
-                out = out.filter(keep)
-                if hit:
-                    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("canon", pa.string())]))
-                    spans = [[dict(zip(("start", "end", "kind", "canon"), x, strict=True)) for x in row] for row in found if row]
-                    out = pa.record_batch([*out.columns, pa.array(spans, kind)], [*out.schema.names, "_found"])
-                yield out
-
-    return scan
+def _find(batches):
+    """Rows with their entities in `_found`, null where there are none."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("canon", pa.string())]))
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            part = batch.slice(start, 500)
+            found = [[dict(zip(("start", "end", "kind", "canon"), x, strict=True)) for x in detect(t)] or None for t in part.column("_text").to_pylist()]
+            out = part.drop_columns(["_text"])
+            yield pa.record_batch([*out.columns, pa.array(found, kind)], [*out.schema.names, "_found"])
 
 
 def resolve(entities: DataFrame, key: bytes) -> DataFrame:
@@ -247,7 +324,7 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
 
     schema = "kind string, canon string, attempt int, surrogate string"
     originals = entities.select("kind", F.col("canon").alias("surrogate")).withColumn("real", F.lit(True))
-    todo = entities.withColumn("attempt", F.lit(0))
+    todo, before = entities.withColumn("attempt", F.lit(0)), None
     for _ in range(ROUNDS):
         drawn = stored(todo.mapInArrow(draw, schema), "surrogates")
         # Who came to a surrogate in an earlier round keeps it.
@@ -255,7 +332,11 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
         judged = drawn.join(best, ["kind", "surrogate"]).join(originals, ["kind", "surrogate"], "left")
         judged = judged.withColumn("lost", (F.col("best.canon") != F.col("canon")) | F.col("real").isNotNull())
         todo = judged.select("kind", "canon", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt"))
-        if judged.filter("lost").isEmpty():
+        done = judged.filter("lost").isEmpty()
+        if before is not None:
+            discard(before)
+        before = drawn
+        if done:
             return drawn.select("kind", "canon", "surrogate")
     raise RuntimeError(f"surrogates still collide after {ROUNDS} rounds")
 
@@ -263,10 +344,13 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
 def replace(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
     """All rows and columns of docs, entities replaced, and a last column n_entities (long)."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    text = docs.columns.index("text")
-    own = docs.toDF(*names).withColumn("_text", F.col(names[text]))
+    own = docs.toDF(*names)
+    text = names[docs.columns.index("text")]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)
-    hits = stored(own.mapInArrow(_split(True), f"{fields}, _found {MENTIONS}").withColumn("_rid", F.monotonically_increasing_id()), "mentions")
+    # Texts are searched once and written with what was found.
+    searched = own.withColumn("_text", F.col(text)).mapInArrow(_find, f"{fields}, _found {MENTIONS}").withColumn("_rid", F.monotonically_increasing_id())
+    rows = stored(searched, "mentions", codec="zstd")
+    hits, rest = rows.filter("_found is not null"), rows.filter("_found is null").select(*names, F.lit(0).cast("long").alias("_n"))
     mentions = hits.select("_rid", F.explode("_found").alias("m")).select("_rid", "m.*")
     found = resolve(stored(mentions.select("kind", "canon").distinct(), "entities"), key)
     new = mentions.join(found, ["kind", "canon"]).groupBy("_rid").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "surrogate"))).alias("_new"))
@@ -274,22 +358,19 @@ def replace(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
     def apply(batches):
         for batch in batches:
             out = []
-            for t, spans in zip(batch.column("_text").to_pylist(), batch.column("_new").to_pylist(), strict=True):
+            for t, spans in zip(batch.column(text).to_pylist(), batch.column("_new").to_pylist(), strict=True):
                 at, parts = 0, []
                 for s in spans:
                     parts += [t[at : s["start"]], render(s["kind"], t[s["start"] : s["end"]], s["surrogate"])]
                     at = s["end"]
                 out.append("".join([*parts, t[at:]]))
-            yield pa.record_batch([pa.array(out, pa.string()) if n == names[text] else batch.column(n) for n in (*names, "_n")], [*names, "_n"])
+            yield pa.record_batch([pa.array(out, pa.string()) if n == text else batch.column(n) for n in (*names, "_n")], [*names, "_n"])
 
-    plain = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema if f.name != "_text")
     joined = hits.drop("_found").join(new, "_rid").withColumn("_n", F.size("_new").cast("long")).drop("_rid")
-    changed = joined.mapInArrow(apply, f"{plain}, _n long")
-    rest = own.mapInArrow(_split(False), plain).withColumn("_n", F.lit(0).cast("long"))
-    both = changed.unionByName(rest)
-    chars: Column = F.when(F.col("_n") > 0, F.length(names[text])).otherwise(F.col(names[docs.columns.index("n_chars")])) if "n_chars" in docs.columns else F.lit(None)
+    both = joined.mapInArrow(apply, f"{fields}, _n long").unionByName(rest)
+    chars: Column = F.when(F.col("_n") > 0, F.length(text)).otherwise(F.col(names[docs.columns.index("n_chars")])) if "n_chars" in docs.columns else F.lit(None)
     cols = [chars.cast(f.dataType).alias(n) if f.name == "n_chars" else F.col(n) for n, f in zip(names, docs.schema, strict=True)]
-    return both.select(*cols, "_n").toDF(*docs.columns, "n_entities")
+    return both.select(*cols, "_n").toDF(*docs.columns, *free_names(["n_entities"], docs.columns))
 
 
 def report(docs: DataFrame) -> DataFrame:

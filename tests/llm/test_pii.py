@@ -6,7 +6,7 @@ SCHEMA = "doc_id long, text string, _rid int, n_chars long"
 def test_detection_and_formats():
     text = "Mail a.b43@mail7.example.com or +1 (717) 555-0202, 10.0.12.5, card 4111 1111 1111 1111, id 078-05-1120. Mr. John Smith, Frau Petra MÜLLER, Анна Иванова."
     kinds = [k for *_, k, _ in pii.detect(text)]
-    assert kinds == ["email", "phone", "ip", "card", "national", "given:m:latin", "surname:latin", "given:f:latin", "surname:latin", "given:f:cyrillic", "surname:cyrillic"]
+    assert kinds == ["email", "phone", "ip", "card", "national", "given:m:latin", "surname:n:latin", "given:f:latin", "surname:n:latin", "given:f:cyrillic", "surname:f:cyrillic"]
     for s, e, k, c in pii.detect(text):
         new = pii.render(k, text[s:e], pii.surrogate(k, c, 1))
         assert new != text[s:e]
@@ -16,7 +16,7 @@ def test_detection_and_formats():
             assert pii._luhn("".join(filter(str.isdigit, new)))
         if "cyrillic" in k:
             assert pii.script_of(new) == "cyrillic"
-    assert pii.render("surname:latin", "MÜLLER", "weber") == "WEBER"
+    assert pii.render("surname:n:latin", "MÜLLER", "weber") == "WEBER"
     assert pii.detect("no entities: 12.5 and 2024 or version 1.2.3") == [] == pii.detect(None)
 
 
@@ -64,7 +64,8 @@ NAMED = [  # (text, the words of names)
     ("Contact John Smith today", "John Smith"), ("Director Mary Johnson said", "Mary Johnson"), ("Der Herr Müller kam", "Müller"), ("by John Q. Smith in", "John Smith"),
     ("Ask Dr. Weber", "Weber"), ("Sehr geehrte Frau Dr. Schneider", "Schneider"), ("Dear Mr. Albert Quux", "Albert Quux"), ("Die Kollegin Heike Lehmann", "Heike Lehmann"),
     ("Écrire à Madame Odile Renard", "Odile Renard"), ("Kevin Durant wrote", "Kevin Durant"), ("Mr. J. R. Hartley", "Hartley"), ("Позвонить: Господин Орлов", "Орлов"),
-    ("Signed JOHN SMITH", "JOHN SMITH"), ("Paul Smith And Mary Jones", None),
+    ("Signed JOHN SMITH", "JOHN SMITH"), ("Paul Smith And Mary Jones", "Paul Smith Mary Jones"), ("Priya Raman and Wei Zhang met Olivia Nakamura", "Priya Raman Wei Zhang Olivia Nakamura"),
+    ("ο Σωκράτης Παπάς είπε", "Σωκράτης Παπάς"), ("Dear Xolani Quux, hello", "Xolani Quux"), ("Regards,\nNaledi Okafor", "Naledi Okafor"), ("Olivia Nakamura came. Later Nakamura left with Olivia.", "Olivia Nakamura Nakamura Olivia"),
 ]
 
 
@@ -83,12 +84,79 @@ def test_phone_formats():
 def test_names_in_context():
     for text, words in NAMED:
         found = [text[s:e] for s, e, *_ in pii.detect(text)]
-        assert words is None and {"Paul", "Smith", "Mary", "Jones"} <= set(found) or found == words.split(), (text, found)
-    assert pii.detect("The Old Bridge In Paris. New York City Council") == []
+        assert found == words.split(), (text, found)
+    assert pii.detect("The Old Bridge In Paris. New York City Council. Dear Customer, Contact The City Council") == []
 
 
 def test_no_listed_original_stays(spark):
-    rows = [(i, f"Please call {p} soon", i, 0) for i, p in enumerate(PHONES)] + [(100 + i, t, 0, 0) for i, (t, w) in enumerate(NAMED) if w]
+    rows = [(i, f"Please call {p} soon", i, 0) for i, p in enumerate(PHONES)] + [(100 + i, t, 0, 0) for i, (t, w) in enumerate(NAMED)]
     got = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert not [p for i, p in enumerate(PHONES) if p in got[i]]
-    assert not [w for i, (_, ws) in enumerate(NAMED) if ws for w in ws.split() if w in got[100 + i].split()]
+    assert not [w for i, (_, ws) in enumerate(NAMED) for w in ws.split() if w in got[100 + i].split()]
+
+
+def brute(texts, key=pii.DEMO_KEY):
+    """Replaced texts by plain loops over the whole corpus."""
+    found = [pii.detect(t) for t in texts]
+    entities = {(k, c) for f in found for *_, k, c in f}
+    attempt = dict.fromkeys(entities, 0)
+    while True:
+        drawn = {e: pii.surrogate(*e, attempt[e], key) for e in entities}
+        best = {}
+        for (k, c), s in drawn.items():
+            best[k, s] = min(best.get((k, s), (99, "")), (attempt[k, c], c)) if (k, s) in best else (attempt[k, c], c)
+        lost = [(k, c) for (k, c), s in drawn.items() if best[k, s][1] != c or (k, s) in entities]
+        if not lost:
+            break
+        for e in lost:
+            attempt[e] += 1
+    out = []
+    for t, f in zip(texts, found, strict=True):
+        for s, e, k, c in sorted(f, reverse=True):
+            t = t[:s] + pii.render(k, t[s:e], drawn[k, c]) + t[e:]
+        out.append(t)
+    return out, drawn
+
+
+def corpus():
+    names = [n for ns in pii.GIVEN.values() for n in ns] + [n for ns in pii.MORE_GIVEN.values() for n in ns]
+    out = [f"Then {n} {s} came; {s} saw {n}." for n, s in zip(names, [*pii.SURNAMES, "Иванова", "Петров"] * 20, strict=False)]
+    out += [f"Please call {p} soon" for p in PHONES] + [t for t, _ in NAMED] + [None, "", "plain words", "plain words"]
+    out += [f"pay to GB82 WEST 1234 5698 7654 32 or DE89370400440532013000 or GB00 WEST 1234 5698 7654 32, mail x{i}@y.example.com" for i in range(30)]
+    return out
+
+
+def test_whole_corpus_against_plain_loops(spark):
+    texts = corpus()
+    rows = [(i, t, i, 0) for i, t in enumerate(texts)]
+    got = {r._rid: r.text for r in pii.replace(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    want, drawn = brute(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    for kind in {k for k, _ in drawn}:  # distinct, no original, same script and gender
+        own = {c: s for (k, c), s in drawn.items() if k == kind}
+        assert len(set(own.values())) == len(own) and not set(own) & set(own.values())
+        if kind.startswith(("given", "surname")):
+            role, gender, script = kind.split(":")
+            listed = {n.casefold() for n in (pii.DRAWN.get((script, gender), []) if role == "given" else pii.SURNAMES)}
+            for s in own.values():
+                assert pii.script_of(s) == script and (s in listed or s.endswith(tuple(pii.ENDINGS[role, script, gender]))), (kind, s)
+    valid = lambda x: pii._mod97(x[4:] + x[:4]) == 1
+    ibans = {c: s for (k, c), s in drawn.items() if k == "iban"}
+    assert len(ibans) == 3 and all(valid(c) == valid(s) and c[:2] == s[:2] for c, s in ibans.items())
+
+
+def test_clashing_columns_stay(spark):
+    rows = [("mine", 1, "call +1 (717) 555-0202", "f", 7, 9), ("own", 2, None, None, None, None)]
+    frame = spark.createDataFrame(rows, "n_entities string, doc_id long, text string, _found string, _n int, `a.b` int")
+    out = pii.replace(frame)
+    assert out.columns == [*frame.columns, "n_entities_"]
+    got = sorted(out.collect(), key=lambda r: r.doc_id)
+    assert [tuple(r)[:2] + tuple(r)[3:] for r in got] == [("mine", 1, "f", 7, 9, 1), ("own", 2, None, None, None, 0)] and got[1].text is None
+
+
+def test_many_entities_in_one_text():
+    import time
+
+    began = time.perf_counter()
+    text = " ".join(f"a{i}@b{i}.example.com" for i in range(20_000))
+    assert len(pii.detect(text)) == 20_000 and time.perf_counter() - began < 5
