@@ -83,3 +83,40 @@ def page_number(c: Column) -> Column:
 
 def links(html: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(html, F.lit('href="([^"#]+)'), F.lit(1)))
+
+
+_THUMB = r"(?i)/_resized/(.+?)_[0-9]+_[0-9]+_wg(?:_t)?\.(png|jpe?g|gif)$"
+# Endings of images, and first path parts that are no profile.
+IMAGES = ("png", "jpg", "gif")
+RESERVED = ("pages", "people", "groups", "pg")
+
+
+def original_candidates(c: Column) -> Column:
+    """Full-size urls of a thumbnail's, its own ending first; a url that is no thumbnail stays."""
+    stem, ext, base = F.regexp_extract(c, _THUMB, 1), F.lower(F.regexp_extract(c, _THUMB, 2)), F.regexp_replace(c, _THUMB, "")
+    endings = F.concat(F.array(ext), F.filter(F.array(*map(F.lit, IMAGES)), lambda e: e != ext))
+    full = F.transform(endings, lambda e: F.concat(base, F.lit("/"), stem, F.lit("."), e))
+    last = F.array(F.concat(base, F.lit("/_resized/"), stem, F.lit("_280_280_wg_t."), ext))
+    return F.when(stem == "", F.array(c)).otherwise(F.concat(full, last))
+
+
+def page_handle(c: Column) -> Column:
+    """The numeric id of a profile url, else its first path part unless that is reserved."""
+    number = F.regexp_extract(c, r"facebook\.com/profile\.php\?id=([0-9]+)", 1)
+    part = F.regexp_extract(c, r"facebook\.com/([^/?#]+)", 1)
+    return F.when(number != "", number).when(~part.isin("", *RESERVED), part)
+
+
+def srcset(base: Column, slug: Column, side: Column) -> Column:
+    """One entry for each size that the source image fills."""
+    sizes = F.filter(F.array(*map(F.lit, (192, 256, 512, 1024))), lambda s: s <= side)
+    return F.array_join(F.transform(sizes, lambda s: F.concat(base, F.lit("/logos/"), s.cast("string"), F.lit("/"), slug, F.lit(".png "), s.cast("string"), F.lit("w"))), ", ")
+
+
+def club_id(c: Column) -> Column:
+    found = F.regexp_extract(c, "/(?:en/)?(?:klubovi|clubs)/([0-9]+)/", 1)
+    return F.when(found != "", found.cast("long"))
+
+
+def canonical_url(base: Column, number: Column) -> Column:
+    return F.concat(base, F.lit("/klubovi/"), number.cast("string"), F.lit("/"))

@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from kartoteka.functions.text import is_blank
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
-    """Rows of new replace those of old by key; a null in new keeps the old value; columns new lacks stay."""
+def upsert(old: DataFrame, new: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
+    """Rows of new replace those of old by key: every column that new supplies is overwritten, also by null; columns new lacks stay.
+
+    Of several new rows of one key the first by `order` (then by all columns) counts.
+    """
     keys = [key] if isinstance(key, str) else key
+    new = latest(new, keys, *order, *[F.col(c) for c in new.columns if c not in keys])
     fresh = new.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in new.columns if c not in keys], F.lit(True).alias("_new"))
     joined = old.join(fresh, keys, "full_outer")
-    cols = [F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if c in new.columns and c not in keys else F.col(c) for c in old.columns]
+    cols = [F.when(F.col("_new"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) if c in new.columns and c not in keys else F.col(c) for c in old.columns]
     return joined.select(*cols)
 
 
@@ -23,9 +27,11 @@ def latest(rows: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rn = 1").drop("_rn")
 
 
-def insert_or_ignore(old: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
+def insert_or_ignore(old: DataFrame, new: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
+    """Rows of new whose key old lacks are added; of several of one key the first by `order` (then by all columns)."""
     keys = [key] if isinstance(key, str) else key
-    return old.unionByName(new.dropDuplicates(keys).join(old.select(*keys), keys, "left_anti"))
+    once = latest(new, keys, *order, *[F.col(c) for c in new.columns if c not in keys])
+    return old.unionByName(once.join(old.select(*keys), keys, "left_anti"))
 
 
 def fill_if_empty(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -82,3 +88,31 @@ def cascade_delete(children: DataFrame, deleted: DataFrame, key: str) -> DataFra
 
 def add_missing_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
+
+
+def move_column(df: DataFrame, source: str, target: str, rule: Column) -> DataFrame:
+    """Where the rule holds, target takes source's value and source becomes null; both are read before either changes."""
+    hit = F.coalesce(rule, F.lit(False))
+    return df.withColumns({target: F.when(hit, F.col(source)).otherwise(F.col(target)), source: F.when(~hit, F.col(source))})
+
+
+def better(df: DataFrame, new: Column, current: Column, factor: float) -> DataFrame:
+    """Rows whose new value is at least `factor` times the current one."""
+    return df.filter(new >= factor * current)
+
+
+def cascade(*sources: Column) -> tuple[Column, Column]:
+    """(the first source that is not null, its place from 1)."""
+    place = F.coalesce(*[F.when(c.isNotNull(), n) for n, c in enumerate(sources, 1)])
+    return F.coalesce(*sources), place
+
+
+def audit_attempts(df: DataFrame, accepted: Column, fields: list[str]) -> DataFrame:
+    """One audit row for each attempt, rejected ones too: status and the JSON array of fields filled."""
+    ok = F.coalesce(accepted, F.lit(False))
+    return df.withColumns({"status": F.when(ok, "ok").otherwise("rejected"), "fields": F.when(ok, F.to_json(F.array(*map(F.lit, fields)))).otherwise("[]")})
+
+
+def without_batch(df: DataFrame, column: str, tag: str) -> DataFrame:
+    """The rows that a tagged batch did not stage."""
+    return df.filter(~F.coalesce(F.col(column).startswith(tag), F.lit(False)))

@@ -188,7 +188,7 @@ def old_new(spark, sf_dir):
     return old, new
 
 
-@query("d01_upsert", f"with {OLD}, {NEW} select coalesce(old.id, new.id) as id, name, coalesce(new.city, old.city) as city, coalesce(new.year, old.year) as year from old full outer join new on old.id = new.id")
+@query("d01_upsert", f"with {OLD}, {NEW} select coalesce(old.id, new.id) as id, name, case when new.id is not null then new.city else old.city end as city, case when new.id is not null then new.year else old.year end as year from old full outer join new on old.id = new.id")
 def d01(spark, sf_dir):
     return state.upsert(*old_new(spark, sf_dir), "id")
 

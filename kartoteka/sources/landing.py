@@ -71,3 +71,9 @@ def overridden(df: DataFrame, corrections: DataFrame, key: str) -> DataFrame:
     fixed = corrections.select(key, *[F.col(c).alias(f"_o_{c}") for c in corrections.columns if c != key])
     cols = [F.coalesce(F.col(f"_o_{c}"), F.col(c)).alias(c) if c in corrections.columns and c != key else F.col(c) for c in df.columns]
     return df.join(fixed, key, "left").select(*cols)
+
+
+def answered(df: DataFrame, payload: str, schema: str) -> DataFrame:
+    """Registry answers: an empty payload is a cached miss, told apart by `found`; the fields of others by schema."""
+    read = df.withColumns({"found": F.coalesce(F.col(payload) != "", F.lit(False)), "_p": F.from_json(F.nullif(payload, F.lit("")), schema)})
+    return read.select(*[c for c in df.columns if c != payload], "found", "_p.*")
