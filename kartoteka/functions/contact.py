@@ -13,6 +13,9 @@ GOVERNING_MAIL = (
     r"(?i)(?:^|@)(?:nszz|nszns|nszg|nszsd|nsosbz|nsizz|nssmz|nssloga|savez|nogometni-savez|hns)\.[a-z]+$|"
     r"^(?:tajnik|info|ured|admin)@(?:nszz|nszns|nssmz|nssloga|hns)"
 )
+# Phones and addresses as they stand in texts, and platforms whose mail is no contact.
+PHONE = r"\+?\s?385[\s/-]?[0-9][\s/0-9-]{6,12}[0-9]|0[0-9]{1,2}[\s/-]?[0-9]{3,4}[\s/-]?[0-9]{3,4}"
+PLATFORM_MAIL = r"(?i)@(facebook|fb|instagram)\.com$"
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[A-Za-z]{2,}"
 
 
@@ -36,11 +39,16 @@ def e164(c: Column) -> Column:
 
 
 def phones_in(text: Column, least: int = 8, most: int = 13) -> Column:
-    """Phone-like runs in a text, by their digit counts, in order."""
-    found = F.regexp_extract_all(text, F.lit(r"(?:\+|00)?[0-9(][0-9 ()/.-]{6,}[0-9]"), F.lit(0))
+    """International or local phones in a text, by their digit counts, in order."""
+    found = F.regexp_extract_all(text, F.lit(PHONE), F.lit(0))
     return F.filter(found, lambda x: F.length(digits(x)).between(least, most))
 
 
+def first_phone(block: Column, text: Column) -> Column:
+    """The first phone of a contact block, else of the whole text."""
+    return F.coalesce(F.get(phones_in(block), F.lit(0)), F.get(phones_in(text), F.lit(0)))
+
+
 def first_number(c: Column) -> Column:
     return F.trim(F.split(c, "[,;]")[0])
 
@@ -50,7 +58,8 @@ def is_international(c: Column) -> Column:
 
 
 def emails_in(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0))
+    """Addresses in a text, in order, without those of platforms."""
+    return F.filter(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0)), lambda x: ~F.rlike(x, F.lit(PLATFORM_MAIL)))
 
 
 def email_accepted(c: Column) -> Column:

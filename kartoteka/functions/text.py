@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 # Words that carry no identity.
 GENERIC_TOKENS = (
-    "nk hnk gnk rnk mnk onk snk znk hask hrnk bsk snm hnsk gsnk nogometni nogometna nogometno nogomet klub kluba sportski sport "
-    "skolski skola udruga drustvo hrvatski gradanski gradski omladinski opcina grad"
-).split()
+    "nk", "hnk", "gnk", "rnk", "mnk", "onk", "snk", "znk", "hask", "hrnk", "bsk", "snm", "hnsk", "gsnk", "nogometni", "nogometna", "nogometno", "nogomet", "klub", "kluba", "sportski", "sport",
+    "skolski", "skola", "udruga", "drustvo", "hrvatski", "gradanski", "gradski", "omladinski", "opcina", "grad",
+)
 #: Club prefixes as they stand in names, before folding.
 PREFIX = r"(?iu)^(hnk|gnk|nk|rnk|mnk|hašk|šnk|nogometni\s+klub|građanski\s+nogometni\s+klub)\s+"
 PAREN = r"\(\s*[^)]{1,12}\s*\)"
@@ -21,19 +21,30 @@ def _base(c: str) -> str:
     return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
 
 
-#: Latin letters that decompose into one ASCII letter and marks (from a rule, not a list).
-_MARKED = [(chr(i), _base(chr(i))) for i in range(0xC0, 0x250) if len(_base(chr(i))) == 1 and _base(chr(i)).isascii()]
+#: Characters that decompose into one ASCII character and marks, full-width forms too (from a rule, not a list).
+_MARKED = [(chr(i), _base(chr(i))) for i in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)] if len(_base(chr(i))) == 1 and _base(chr(i)).isascii()]
+#: Ligatures that decompose into ASCII letters.
+_JOINED = [(chr(i), _base(chr(i))) for i in range(0xFB00, 0xFB07)]
 _FROM, _TO = "".join(a for a, _ in _MARKED), "".join(b for _, b in _MARKED)
 
 
+def _plain(c: Column, more: str = "", to: str = "") -> Column:
+    """Marked letters by a table; texts with combining marks or ligatures, which are few, once more."""
+    s = F.translate(c, more + _FROM, to + _TO)
+    rare = F.regexp_replace(s, "[\u0300-\u036F]", "")
+    for a, b in _JOINED:
+        rare = F.replace(rare, F.lit(a), F.lit(b))
+    return F.when(F.rlike(s, F.lit("[\u0300-\u036F\uFB00-\uFB06]")), rare).otherwise(s)
+
+
 def deburr(c: Column) -> Column:
     """Marks dropped, lower case; a barred d stays (the client-side search)."""
-    return F.lower(F.translate(c, _FROM, _TO))
+    return F.lower(_plain(c))
 
 
 def strip_marks(c: Column) -> Column:
     """Marks dropped; a barred d becomes d."""
-    return F.translate(c, "đĐ" + _FROM, "dD" + _TO)
+    return _plain(c, "đĐ", "dD")
 
 
 def fold(c: Column) -> Column:

@@ -8,12 +8,19 @@ from operator import add, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kartoteka.functions.text import fold
+from kartoteka.functions.text import fold, has_paren
 
 SCHEME = "^[a-z][a-z0-9+.-]*://"
-# Hosts that are not a club's own site, and document endings.
-FOREIGN_HOSTS = ("facebook.com", "instagram.com", "twitter.com", "x.com", "youtube.com", "wikipedia.org")
-AGGREGATORS = ("wikipedia.org", "transfermarkt", "sofascore", "soccerway", "companywall.hr", "poslovna.hr", "sudreg.hr", "semafor.hns.family", "opcina-", "-opcina")
+# Hosts that are not a club's own site, sites that list clubs, sites of professional clubs, and document endings.
+FOREIGN_HOSTS = (
+    "facebook.com", "fb.com", "fbcdn.net", "instagram.com", "cdninstagram.com", "twitter.com", "x.com", "t.co", "youtube.com", "youtu.be", "tiktok.com", "ttwstatic.com", "wa.me", "whatsapp.com",
+)
+AGGREGATORS = (
+    "wikipedia.org", "transfermarkt", "sofascore", "hrsport.net", "sportnet.hr", "index.hr", "24sata", "tportal", "soccerway", "fcfutbol", "playmaker", "playmakerstats", "soccerstand", "poslovna.hr",
+    "companywall.hr", "sudreg.hr", "fininfo.hr", "burzakapital.hr", "boniteti.hr", "fina.hr", "nszz.hr", "nszns.hr", "nssmz.hr", "nssloga-cakovec.hr", "hrvatskekarta.com", "semafor.hns.family",
+    "dugoselska-kronika.hr", "dugoselski-sport.hr", "opcina-", "-opcina", "opcokucani", "nova-raca",
+)
+PRO_CLUBS = ("hajduk.hr", "gnkdinamo.hr", "dinamo.hr", "nkrijeka.hr", "hnk-rijeka.hr", "nk-osijek.hr", "nkosijek.hr", "hnk-gorica.hr", "lokomotiva.hr", "slaven-belupo.hr", "nk-istra.hr", "nk-istra1961.hr", "varazdin.hr", "vukovar1991.hr")
 DOCUMENTS = (".pdf", ".docx", ".doc", ".xlsx", ".xls")
 CONTACT_WORDS = ("kontakt", "klub", "contact", "o-klubu", "about")
 
@@ -49,8 +56,8 @@ def own_site(c: Column) -> Column:
     return host.isNotNull() & ~F.rlike(host, F.lit(pattern))
 
 
-def score_url(url: Column, name_words: Column) -> Column:
-    """Additive rank of a candidate home page."""
+def score_url(url: Column, name_words: Column, name: Column | None = None) -> Column:
+    """Additive rank of a candidate home page. A bracketed name is a namesake, so a professional club's site is none of its own."""
     low = F.lower(url)
     points = lambda cond, n: F.when(cond, n).otherwise(0)
     has = lambda words: reduce(or_, [low.contains(w) for w in words])
@@ -60,6 +67,7 @@ def score_url(url: Column, name_words: Column) -> Column:
         [
             points(F.rlike(low, F.lit("^https?://")), 1),
             points(has(AGGREGATORS), -5),
+            points(has_paren(name) & has(PRO_CLUBS), -20) if name is not None else F.lit(0),
             points(reduce(or_, [low.endswith(d) for d in DOCUMENTS]), -8),
             points(low.contains("facebook.com"), F.when(share, -10).otherwise(1)),
             points(has(("twitter.com", "x.com")) & has(("/home?status=", "?status=", "/intent/tweet")), -10),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kartoteka.operators.shared import stored
+
 
 def stratified_sample(df: DataFrame, stratum: str, sizes: dict, order: Column) -> DataFrame:
     """Up to sizes[s] rows of each stratum by a hashed order (a random generator's picks cannot be expressed in SQL)."""
@@ -14,8 +16,13 @@ def stratified_sample(df: DataFrame, stratum: str, sizes: dict, order: Column) -
 
 
 def with_batches(sample: DataFrame, n: int, *order: Column) -> DataFrame:
-    """Round robin: row i goes to batch i mod n. The sample is small by construction."""
-    return sample.withColumn("batch", F.pmod(F.row_number().over(Window.orderBy(*order)) - 1, F.lit(n)))
+    """Round robin: row i of the order goes to batch i mod n. Ranges of the order are numbered apart; one row per range, its size, gives where each starts."""
+    ranged = stored(sample.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    starts = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))  # a row per task
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    numbered = ranged.withColumn("_place", place).join(F.broadcast(starts), "_range")
+    return numbered.withColumn("batch", F.pmod(F.col("_start") + F.col("_place"), F.lit(n)).cast("int")).drop("_range", "_start", "_place")
 
 
 def dimension_means(scored: DataFrame, dimensions: list[str]) -> DataFrame:

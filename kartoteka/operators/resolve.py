@@ -5,6 +5,8 @@ Groups may be large, so sizes and token counts are aggregates joined back, not w
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ FIELDS = {
     "phone": (lambda: contact.e164(F.col("phone")), False),
     "email": (lambda: contact.norm_email(F.col("email")), True),
     "website": (lambda: url.norm_domain(F.col("website")), True),
+    "phone_e164": (lambda: contact.e164(F.col("phone_e164")), False),
+    "fb_url": (lambda: url.social_slug(F.col("fb_url"), "facebook.com"), True),
+    "ig_url": (lambda: url.social_slug(F.col("ig_url"), "instagram.com"), True),
     "oib": (lambda: contact.norm_oib(F.col("oib")), False),
     "address": (lambda: place.norm_address(F.col("address")), True),
     "latlng": (lambda: place.norm_latlng(F.col("lat"), F.col("lng")), False),
@@ -37,7 +42,7 @@ def groups(entities: DataFrame, fields: list[str] | None = None) -> DataFrame:
 
 
 def scores(found: DataFrame) -> DataFrame:
-    """(field, key, id, size, score): evidence that a member owns the shared value."""
+    """(field, key, id, size, score, reasons): evidence that a member owns the shared value, and what it is made of."""
     member = found.select(
         *GROUP, "matchable", "id", "size", text.club_tokens(F.col("canonical_name"), F.col("city")).alias("words"), text.tokens(F.col("registry_naziv")).alias("registry"),
         (~text.has_paren(F.col("canonical_name"))).alias("plain"), F.col("semafor_url").isNotNull().alias("sourced"), text.alnum(F.col("key")).alias("probe"),
@@ -56,7 +61,12 @@ def scores(found: DataFrame) -> DataFrame:
         F.when(F.coalesce("unique", F.lit(False)), VALUE_TOKEN).otherwise(points(F.col("weak"), WEAK_TOKEN))
         + points(F.col("registered"), REGISTRY) + points(F.col("plain") & (F.col("plains") == 1), SOLE_PLAIN) + points(F.col("sourced"), SOURCE)
     )
-    return joined.select(*GROUP, "id", "size", score.alias("score"))
+    is_true = lambda c: F.coalesce(c, F.lit(False))
+    reasons = F.concat_ws(
+        "; ", F.when(is_true(F.col("unique")), f"+{VALUE_TOKEN} unique word in value").when(is_true(F.col("weak")), f"+{WEAK_TOKEN} word in value"), F.when(is_true(F.col("registered")), f"+{REGISTRY} registry name"),
+        F.when(is_true(F.col("plain") & (F.col("plains") == 1)), f"+{SOLE_PLAIN} sole plain name"), F.when(is_true(F.col("sourced")), f"+{SOURCE} independent source"),
+    )
+    return joined.select(*GROUP, "id", "size", score.alias("score"), reasons.alias("reasons"))
 
 
 def verdicts(scored: DataFrame) -> DataFrame:
@@ -140,16 +150,20 @@ def accepted(same_city: Column, score: Column, active: Column) -> Column:
     )
 
 
-def nearest(points: DataFrame, targets: DataFrame, most_m: float, cell: float = 0.025) -> DataFrame:
-    """The nearest target of each point within most_m metres: (id, target_id, metres). Cells of `cell` degrees meet their neighbours only.
+def nearest(points: DataFrame, targets: DataFrame, most_m: float) -> DataFrame:
+    """The nearest target of each point within most_m metres: (id, target_id, metres).
 
-    A cell must be at least as wide as the radius; at 46.6 degrees of latitude 0.025 degrees of longitude are 1.9 km.
+    Cells are as wide as the radius (in longitude at the latitude farthest from the equator), so a point meets the targets of
+    its own cell alone: the targets, the smaller side, are dealt to their neighbours' cells as well.
     """
-    grid = lambda d, lat, lng: d.withColumns({"gy": F.floor(F.col(lat) / cell), "gx": F.floor(F.col(lng) / cell)})
-    around = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1)])
-    t = grid(targets.select(F.col("id").alias("target_id"), F.col("lat").alias("t_lat"), F.col("lng").alias("t_lng")), "t_lat", "t_lng")
-    p = grid(points.select("id", "lat", "lng"), "lat", "lng").withColumn("o", F.explode(around))
-    p = p.withColumns({"gy": F.col("gy") + F.col("o.y"), "gx": F.col("gx") + F.col("o.x")}).drop("o")
+    far = F.greatest(F.max(F.abs("lat")), F.lit(0.0))
+    lat = max([x[0] or 0.0 for x in (points.agg(far).first(), targets.agg(far).first())])
+    high = most_m / 111_000.0 + 1e-9
+    wide = high / max(math.cos(math.radians(min(lat + high, 89.0))), 0.01)
+    t = targets.select(F.col("id").alias("target_id"), F.col("lat").alias("t_lat"), F.col("lng").alias("t_lng"))
+    cells = F.explode(F.array(*[F.struct((F.floor(F.col("t_lat") / high) + y).alias("gy"), (F.floor(F.col("t_lng") / wide) + x).alias("gx")) for y in (-1, 0, 1) for x in (-1, 0, 1)]))
+    t = t.withColumn("o", cells).select("target_id", "t_lat", "t_lng", "o.*")
+    p = points.select("id", "lat", "lng").withColumns({"gy": F.floor(F.col("lat") / high), "gx": F.floor(F.col("lng") / wide)})
     near = p.join(t, ["gy", "gx"]).withColumn("metres", place.haversine_m(F.col("lat"), F.col("lng"), F.col("t_lat"), F.col("t_lng"))).filter(F.col("metres") <= most_m)
     return near.groupBy("id").agg(F.min(F.struct("metres", "target_id")).alias("m")).select("id", "m.target_id", "m.metres")
 

@@ -116,3 +116,8 @@ def audit_attempts(df: DataFrame, accepted: Column, fields: list[str]) -> DataFr
 def without_batch(df: DataFrame, column: str, tag: str) -> DataFrame:
     """The rows that a tagged batch did not stage."""
     return df.filter(~F.coalesce(F.col(column).startswith(tag), F.lit(False)))
+
+
+def audit_rows(plan: DataFrame, key: str = "id") -> DataFrame:
+    """The repair log of a plan: (key, field, old_value, new_value: null, reason)."""
+    return plan.select(key, F.col("column").alias("field"), "old_value", F.lit(None).cast("string").alias("new_value"), "reason")

@@ -123,16 +123,18 @@ def a14(spark, sf_dir):
 COMPLETE = """(case when quality is not null then 1 else 0 end + case when toxic is not null then 1 else 0 end + case when n_chars >= 1000 then 1 else 0 end + 0.5e0 * case when lang = 'en' then 1 else 0 end + 1) / 4.5e0"""
 
 
+CHANNELS = "(case when quality is not null then 1 else 0 end + case when toxic is not null then 1 else 0 end + case when n_chars >= 1000 then 1 else 0 end + case when lang = 'en' then 1 else 0 end)"
+
+
 @query(
     "a15_completeness",
-    f"""select coalesce(lang, '<all>') as lang, count(*)::bigint as n, round(avg({COMPLETE}), 6) as mean,
-       count(*) filter (quality is null)::bigint as c0, count(*) filter (quality is not null)::bigint as c2
+    f"""select lang, grouping(lang)::int as overall, count(*)::bigint as n, round(avg({COMPLETE}), 6) as mean, {", ".join(f"count(*) filter ({CHANNELS} {'>=' if k == 4 else '='} {k})::bigint as c{k}" for k in range(5))}
        from documents left join labels using (doc_id) group by grouping sets ((lang), ())""",
 )
 def a15(spark, sf_dir):
-    scored = docs_with_labels(spark, sf_dir).withColumn("score", F.expr(COMPLETE.replace("e0", "D")))
-    out = scored.rollup("lang").agg(F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("mean"), F.count_if(F.col("quality").isNull()).alias("c0"), F.count_if(F.col("quality").isNotNull()).alias("c2"))
-    return out.withColumn("lang", F.coalesce("lang", F.lit("<all>")))
+    scored = docs_with_labels(spark, sf_dir).withColumns({"score": F.expr(COMPLETE.replace("e0", "D")), "channels": F.expr(CHANNELS)})
+    bins = [F.count_if(F.col("channels") >= k if k == 4 else F.col("channels") == k).alias(f"c{k}") for k in range(5)]
+    return scored.rollup("lang").agg(F.grouping("lang").cast("int").alias("overall"), F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("mean"), *bins)
 
 
 @query(
@@ -353,9 +355,9 @@ def l02(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "n_chars").orderBy(F.desc_nulls_last("n_chars"), "doc_id").limit(120)
 
 
-@query("l07_best_or_none", "select user_id, case when max(value) > 50 then max_by(event_id, value * 1000000 + event_id / 1000000.0) end as best from events group by 1")
+@query("l07_best_or_none", "select user_id, case when max(value) > 50 then arg_max(event_id, (value, event_id)) end as best from events group by 1")
 def l07(spark, sf_dir):
-    best = F.max_by("event_id", F.col("value") * 1000000 + F.col("event_id") / 1000000.0)
+    best = F.max_by("event_id", F.struct("value", "event_id"))
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.when(F.max("value") > 50, best).alias("best"))
 
 
@@ -432,12 +434,11 @@ def k17(spark, sf_dir):
 
 @query(
     "n01_reachability",
-    """with recursive e as (select distinct l_suppkey as s, l_partkey as p from lineitem where l_partkey % 17 = 0),
-       r(kind, node) as (select 's', (select min(s) from e) union select case when kind = 's' then 'p' else 's' end, case when kind = 's' then e.p else e.s end
-       from r join e on (kind = 's' and e.s = node) or (kind = 'p' and e.p = node)) select kind || node as node from r""",
+    """with recursive e as (select distinct 's' || l_suppkey as a, 'p' || l_partkey as b from lineitem), x as (select a, b from e union all select b, a from e),
+       r(node) as (select 's' || min(l_suppkey) from lineitem union select x.b from r join x on x.a = r.node) select node from r""",
 )
 def n01(spark, sf_dir):
-    e = table(spark, sf_dir, "lineitem").filter("l_partkey % 17 = 0").select("l_suppkey", "l_partkey").distinct()
+    e = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
     s, p = F.concat(F.lit("s"), "l_suppkey"), F.concat(F.lit("p"), "l_partkey")
     edges = e.select(F.explode(F.array(F.struct(s.alias("src"), p.alias("dst")), F.struct(p.alias("src"), s.alias("dst")))).alias("x")).select("x.*")
     start = e.agg(F.min("l_suppkey").alias("k")).select(F.concat(F.lit("s"), "k").alias("node"))

@@ -65,19 +65,18 @@ def x11(spark, sf_dir):
 @query(
     "x17_place_candidates",
     """select p_partkey, array_to_string(list_filter([p_name, split_part(p_name, ' ', -1)], lambda x: length(x) >= 3), '|') as candidates,
-       case when p_partkey % 3 = 0 then 'women' when p_partkey % 3 = 1 then 'futsal' else 'men' end as class, p_partkey % 3 = 2 as paren from part where contains(p_name, ' ')""",
+       case when p_partkey % 3 = 0 then 'women' when p_partkey % 3 = 1 then 'futsal' else 'men' end as class, p_partkey % 3 = 2 as paren from part""",
 )
 def x17(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter(F.col("p_name").contains(" "))
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey") % 3
     name = F.concat(F.when(k == 0, "ŽNK ").when(k == 1, "MNK ").otherwise("NK "), "p_name", F.when(k == 2, " (S)").otherwise(""))
     return p.select("p_partkey", F.array_join(text.place_candidates(F.col("p_name")), "|").alias("candidates"), text.klass(name).alias("class"), text.has_paren(name).alias("paren"))
 
 
-@query("x16_deburr", "select doc_id, md5(lower(strip_accents(text))) as d from documents where text is not null and not regexp_matches(text, '[đĐ]')")
+@query("x16_deburr", "select doc_id, md5(lower(strip_accents(text))) as d from documents")
 def x16(spark, sf_dir):
-    d = docs(spark, sf_dir).filter(F.col("text").isNotNull() & ~F.rlike("text", F.lit("[đĐ]")))
-    return d.select("doc_id", F.md5(text.deburr(F.col("text"))).alias("d"))
+    return docs(spark, sf_dir).select("doc_id", F.md5(text.deburr(F.col("text"))).alias("d"))
 
 
 @query("x22_blank", "select count(*) filter (quality is null or quality = 0)::bigint as blank_int, count(*) filter (lang is null or trim(lang) = '')::bigint as blank_text from documents left join labels using (doc_id)")
@@ -106,7 +105,7 @@ def p01(spark, sf_dir):
 
 @query(
     "p04_phones_in_text",
-    r"""with t as (select doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '(?:\+|00)?[0-9(][0-9 ()/.-]{6,}[0-9]'), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) between 8 and 13) as p from documents)
+    f"""with t as (select doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '{contact.PHONE}'), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) between 8 and 13) as p from documents)
         select doc_id, len(p)::int as n, p[1] as "first" from t""",
 )
 def p04(spark, sf_dir):
@@ -114,9 +113,21 @@ def p04(spark, sf_dir):
     return p.select("doc_id", F.size("p").alias("n"), F.get("p", F.lit(0)).alias("first"))
 
 
+@query(
+    "p04_contact_block_first",
+    f"""with t as (select s_suppkey, case when s_suppkey % 2 = 0 then '01 2345 67' || (s_suppkey % 10) else '' end as block, 'x +385 91 123 45' || (10 + s_suppkey % 80) || ' y' as whole from supplier)
+        select s_suppkey, coalesce(nullif(regexp_extract(block, '{contact.PHONE}'), ''), nullif(regexp_extract(whole, '{contact.PHONE}'), '')) as phone from t""",
+)
+def p04_block(spark, sf_dir):
+    k = F.col("s_suppkey")
+    block = F.when(k % 2 == 0, F.concat(F.lit("01 2345 67"), k % 10)).otherwise("")
+    whole = F.concat(F.lit("x +385 91 123 45"), 10 + k % 80, F.lit(" y"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", contact.first_phone(block, whole).alias("phone"))
+
+
 @query(
     "p08_emails_in_text",
-    r"""with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[A-Za-z]{2,}') as e from documents)
+    r"""with t as (select doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[A-Za-z]{2,}'), lambda x: not regexp_matches(lower(x), '@(facebook|fb|instagram)\.com$')) as e from documents)
         select doc_id, len(e)::int as n, lower(e[1]) as "first" from t where len(e) > 0""",
 )
 def p08(spark, sf_dir):
@@ -140,13 +151,12 @@ def p10(spark, sf_dir):
 
 # ---- urls
 
-HOST = r"nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://', ''), '[/?#].*$', ''), '^.*@', ''), '(:.*$)|(^www\.)', ''), '.'), '')"
+HOST = r"nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(coalesce(url, ''))), '^[a-z][a-z0-9+.-]*://', ''), '[/?#].*$', ''), '^.*@', ''), ':.*$', ''), '^www\.', ''), '.'), '')"
 
 
-@query("u01_domain", f"select page_id, {HOST} as domain from pages where not contains(url, ':80')")
+@query("u01_domain", f"select page_id, {HOST} as domain from pages")
 def u01(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").filter(~F.col("url").contains(":80"))
-    return p.select("page_id", url.norm_domain(F.col("url")).alias("domain"))
+    return table(spark, sf_dir, "pages").select("page_id", url.norm_domain(F.col("url")).alias("domain"))
 
 
 @query(
@@ -166,10 +176,11 @@ def u02(spark, sf_dir):
 
 @query(
     "u05_score",
-    r"""with t as (select page_id, lower(url) as u from pages where url is not null), s as (
+    rf"""with t as (select page_id, lower(url) as u, page_id % 3 = 0 as paren from pages), s as (
           select page_id, case when regexp_matches(u, '^https?://') then 1 else 0 end
-            + case when regexp_matches(u, 'wikipedia\.org|transfermarkt|sofascore|soccerway|companywall\.hr|poslovna\.hr|sudreg\.hr|semafor\.hns\.family|opcina-|-opcina') then -5 else 0 end
+            + case when regexp_matches(u, '{"|".join(a.replace(".", "[.]") for a in url.AGGREGATORS)}') then -5 else 0 end
             + case when regexp_matches(u, '\.(pdf|docx?|xlsx?)$') then -8 else 0 end
+            + case when paren and regexp_matches(u, '{"|".join(a.replace(".", "[.]") for a in url.PRO_CLUBS)}') then -20 else 0 end
             + case when contains(u, 'facebook.com') then case when regexp_matches(u, '/(sharer|dialog|share)') then -10 else 1 end else 0 end
             + case when (contains(u, 'twitter.com') or contains(u, 'x.com')) and (contains(u, '/home?status=') or contains(u, '?status=') or contains(u, '/intent/tweet')) then -10 else 0 end
             + case when ends_with(u, '.hr') or contains(u, '.hr/') then 3 else 0 end + case when contains(u, 'example') then 4 else 0 end
@@ -177,8 +188,8 @@ def u02(spark, sf_dir):
         select page_id, score::int as score from s""",
 )
 def u05(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").filter("url is not null")
-    return p.select("page_id", url.score_url(F.col("url"), F.array(F.lit("example"))).alias("score"))
+    name = F.when(F.col("page_id") % 3 == 0, "NK Example (Z)").otherwise("NK Example")
+    return table(spark, sf_dir, "pages").select("page_id", url.score_url(F.col("url"), F.array(F.lit("example")), name).alias("score"))
 
 
 @query("u10_links", """select page_id, len(list_distinct(regexp_extract_all(html, 'href="([^"#]+)', 1)))::int as n, nullif(regexp_extract(url, '/([0-9]+)(?:[/.?#]|$)', 1), '')::bigint as number from pages""")

@@ -42,3 +42,27 @@ def test_candidates_of_hot_keys(spark, monkeypatch, block):
     near = sorted((a[0], b[0]) for a in left for b in right if len(share(a, b)) > 1)
     keep = F.size(F.array_intersect(F.array_compact("l_words"), F.array_compact("r_words"))) > 1
     assert sorted(tuple(r) for r in resolve.candidates(frame(left), frame(right), keep).select("l_id", "r_id").collect()) == near
+
+
+@pytest.mark.parametrize("most_m", [500.0, 10_000.0, 80_000.0])
+def test_nearest_at_any_radius(spark, most_m):
+    import math
+    import random
+
+    r = random.Random(4)
+    spots = lambda n, at: [(at + i, r.uniform(42, 46.6), r.uniform(13.4, 19.5)) for i in range(n)]
+    points, targets = spots(120, 0), spots(60, 1000)
+    points += [(500, targets[0][1] + 0.0003, targets[0][2]), (501, 45.0, 16.0)]
+
+    def metres(a, b):
+        x = math.sin(math.radians(b[1] - a[1]) / 2) ** 2 + math.cos(math.radians(a[1])) * math.cos(math.radians(b[1])) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+        return 2 * 6371000.0 * math.asin(math.sqrt(x))
+
+    want = {p[0]: min((metres(p, t), t[0]) for t in targets)[1] for p in points if min(metres(p, t) for t in targets) <= most_m}
+    frame = lambda rows: spark.createDataFrame(rows, "id long, lat double, lng double")
+    assert {x.id: x.target_id for x in resolve.nearest(frame(points), frame(targets), most_m).collect()} == want
+
+
+def test_reach_over_a_long_chain(spark):
+    edges = spark.range(80).selectExpr("id as src", "id + 1 as dst")
+    assert graph.reach(edges, spark.range(1).selectExpr("id as node")).count() == 81
