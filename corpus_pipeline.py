@@ -2,6 +2,12 @@
 
 Every stage is a function of (spark, docs, sf_dir). Its result is written as Parquet in the shared folder and read
 again as the next stage's docs, so no stage is computed twice and a lost executor costs only running tasks.
+
+Defined cases, in every stage: a null or empty text has no words, so the quality rules reject it; texts of any length are
+worked on whole; rows that repeat an id are different documents, and of equal texts one stays; ties go to the smallest id,
+null ids last; null languages and sources stay, a null source is a source of its own; an empty table gives an empty
+result; columns beyond those of documents are carried to the end, whatever their names. `copy` and `shuffle_key`, which
+the last stage adds, get an underscore where the input has a column of that name.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to surrogates."""
-    return pii.replace(docs).select(*docs.columns)
+    return pii.replace(docs, counted=False)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
