@@ -341,8 +341,8 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
     raise RuntimeError(f"surrogates still collide after {ROUNDS} rounds")
 
 
-def replace(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
-    """All rows and columns of docs, entities replaced, and a last column n_entities (long)."""
+def replace(docs: DataFrame, key: bytes = DEMO_KEY, counted: bool = True) -> DataFrame:
+    """All rows and columns of docs, entities replaced, and if `counted` a last column n_entities (long)."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
     own = docs.toDF(*names)
     text = names[docs.columns.index("text")]
@@ -370,7 +370,7 @@ def replace(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
     both = joined.mapInArrow(apply, f"{fields}, _n long").unionByName(rest)
     chars: Column = F.when(F.col("_n") > 0, F.length(text)).otherwise(F.col(names[docs.columns.index("n_chars")])) if "n_chars" in docs.columns else F.lit(None)
     cols = [chars.cast(f.dataType).alias(n) if f.name == "n_chars" else F.col(n) for n, f in zip(names, docs.schema, strict=True)]
-    return both.select(*cols, "_n").toDF(*docs.columns, *free_names(["n_entities"], docs.columns))
+    return both.select(*cols, "_n").toDF(*docs.columns, *free_names(["n_entities"], docs.columns)) if counted else both.select(*cols).toDF(*docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -64,3 +64,30 @@ def test_stages_against_brute_force(spark, sf_dir):
     want = sorted(c.sql(f"select doc_id, copy, shuffle_key from ({mixing.ORACLE_SQL})").fetchall())
     got = sorted((r.doc_id, r.copy, r.shuffle_key) for r in corpus_pipeline.run(spark, d).collect())
     assert got == want and 0 < len(got)
+
+
+def test_empty_tables(spark, tmp_path):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns == ["doc_id", "text", "lang", "source", "n_chars", "copy", "shuffle_key"]
+
+
+def test_odd_rows_and_clashing_columns(spark, tmp_path):
+    prose = "The river ran past the old mill, and nobody came to see it before the evening fell on the town."
+    odd = [(None, prose + " Please call the owner of the mill today on this new number: +1 (717) 555-0202.", None, None, None), (1, None, None, None, None), (1, "", "en", "a", 0), (2, prose * 1 + "\nMenu", "en", "a", 9), (2, prose, "en", "a", 9), (2, prose, "en", "a", 9)]
+    odd += [(10 + i, " ".join(f"w{i}x{k}" for k in range(4000)) + ".", "en", "b", 1) for i in range(20)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, copy string, _source int, kept boolean, n_entities int"
+    spark.createDataFrame([(*r, "mine", 5, None, 7) for r in odd], kind).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, None), (None, "one two three")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)), name)
+        assert out.columns == docs.columns, name
+        docs = out
+    got = docs.collect()
+    assert len(got) == 22 and {(r["copy"], r["_source"], r["kept"], r["n_entities"]) for r in got} == {("mine", 5, None, 7)}
+    assert sum(r.text == prose for r in got) == 1 and not any("717" in r.text and "555-0202" in r.text for r in got)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert last.columns == [*docs.columns, "copy_", "shuffle_key"] and last.count() >= 0
