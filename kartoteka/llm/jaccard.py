@@ -37,6 +37,8 @@ NUM, DEN = 4, 5
 SMALL, DEPTH = 256, 3
 #: Bytes of the sets of a block (one set may be larger), sets compared at once, tasks a bucket is dealt over.
 BLOCK_BYTES, TILE, SALTS = 8 << 20, 512, 16
+#: Buckets whose sizes (some 40 bytes each) are broadcast.
+BROADCAST_BUCKETS = 500_000
 RECALL = 0.9999
 #: Rounds of the components loop; min labels with pointer jumping need about log2 of the longest chain.
 ROUNDS = 60
@@ -104,8 +106,11 @@ def representatives(rows: DataFrame) -> DataFrame:
     return rows.join(classes, "rid").select("rid", "doc_id", "tkey", "print", "bytes", "copies", "paths")
 
 
-def _back(rows: DataFrame, few: DataFrame, how: str = "inner") -> DataFrame:
-    """rows joined with `few`, one row per (run, term). Either side is dealt by a salt, so a bucket of a third of all sets is no single task."""
+def _back(rows: DataFrame, few: DataFrame, how: str = "inner", most: int | None = None) -> DataFrame:
+    """rows joined with `few`, one row per (run, term): broadcast where counting shows that it is short. Beyond that both sides are dealt by a salt, so a bucket of a third of all sets is no single task."""
+    few = stored(few, "buckets")
+    if few.count() <= (BROADCAST_BUCKETS if most is None else most):
+        return rows.join(F.broadcast(few), ["run", "term"], how)
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
     every = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return dealt.join(every, ["run", "term", "_salt"], how).drop("_salt")

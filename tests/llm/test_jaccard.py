@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from kartoteka.llm import jaccard as j
 
@@ -52,7 +53,9 @@ def corpus(seed=5):
     return list(enumerate(out))
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("most", [j.BROADCAST_BUCKETS, 0])
+def test_matches_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(j, "BROADCAST_BUCKETS", most)
     docs = corpus()
     frame = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, rid string, run int").repartition(5)
     # Small limits, so that buckets split and blocks meet.
