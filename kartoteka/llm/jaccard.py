@@ -224,7 +224,7 @@ def _spanning(linked: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[np.ndarr
 
 
 def _meet(batches):
-    """Rows sorted by key: compare one key's sets after the other, holding no more than one key's."""
+    """Rows sorted by key: cut the texts into sets and compare one key's after the other, holding no more than one key's."""
     held: list[tuple] = []
     pending: dict[str, list] = {"rid": [], "links": [], "label": []}
 
@@ -232,7 +232,7 @@ def _meet(batches):
         own = held
         if len(own) > 1:
             rid = np.array([x[0] for x in own], np.int64)
-            links, label = compare(rid, np.array([x[1] for x in own]), np.array([x[2] for x in own]), np.array([x[3] for x in own]), own[0][4], [np.frombuffer(x[5], np.uint64) for x in own])
+            links, label = compare(rid, np.array([x[1] for x in own]), np.array([x[2] for x in own]), np.array([x[3] for x in own]), own[0][4], [x[5] for x in own])
             for i in np.flatnonzero(links):
                 pending["rid"].append(int(rid[i]))
                 pending["links"].append(int(links[i]))
@@ -246,35 +246,29 @@ def _meet(batches):
 
     now = None
     for batch in batches:
-        for key, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "rid", "copies", "at", "terms", "run", "set")), strict=True):
-            if key != now:
-                close()
-                held, now = [], key
-            held.append(tuple(row))
+        for row, end, data, offsets in tokens.slices(batch.column("text"), tokens.SLICE_BYTES // 2):
+            keys, cut = shingle_sets(data, offsets)
+            own = batch.slice(row, end - row)
+            columns = (own.column(c).to_pylist() for c in ("key", "rid", "copies", "at", "terms", "run"))
+            for a, b, key, *rest in zip(cut[:-1], cut[1:], *columns, strict=True):
+                if key != now:
+                    close()
+                    held, now = [], key
+                held.append((*rest, keys[a:b].copy()))
         if len(pending["rid"]) > 5000:
             yield flush()
     close()
     yield flush()
 
 
-def _sets(batches):
-    for batch in batches:
-        for row, end, data, offsets in tokens.slices(batch.column("text"), tokens.SLICE_BYTES // 2):
-            keys, at = shingle_sets(data, offsets)
-            raw = keys.view(np.uint8)
-            own = pa.Table.from_batches([batch.slice(row, end - row)]).drop_columns(["text"])
-            found = [raw[a * 8 : b * 8].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield from own.append_column("set", pa.array(found, pa.binary())).to_batches()
-
-
 def links(docs: DataFrame, reps: DataFrame, member: DataFrame, n_runs: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(rid, links, label) from every comparison; texts are read again, once for each (id, text), and only those in some bucket are cut into sets."""
+    """(rid, links, label) from every comparison; texts are read again, once for each (id, text). Those in some bucket travel to its tasks as texts,
+    which compress, and are cut into sets (8 random bytes a shingle) where they meet."""
     todo = _tasks(member, n_runs, block_bytes).join(reps.select("rid", "doc_id", "tkey", "copies"), "rid")
     texts = docs.groupBy(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key")).agg(F.first("text").alias("text"))
     ready = todo.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tkey") == F.col("_key"))).select("rid", "copies", "pairs", "terms", "text")
-    schema = "rid long, copies long, pairs array<struct<run:int,key:long,at:int>>, terms array<long>, set binary"
-    spread = ready.mapInArrow(_sets, schema).select("rid", "copies", "terms", "set", F.explode("pairs").alias("p"))
-    dealt = spread.select(F.col("p.key").alias("key"), "rid", "copies", F.col("p.at").alias("at"), "terms", F.col("p.run").alias("run"), "set")
+    spread = ready.select("rid", "copies", "terms", "text", F.explode("pairs").alias("p"))
+    dealt = spread.select(F.col("p.key").alias("key"), "rid", "copies", F.col("p.at").alias("at"), "terms", F.col("p.run").alias("run"), "text")
     return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(_meet, "rid long, links long, label long")
 
 
