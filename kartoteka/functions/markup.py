@@ -30,3 +30,26 @@ def markdown_section(md: Column, heading: str) -> Column:
 def numbered_fields(text: Column) -> Column:
     """`1. label value 2. label value` as an array of fields."""
     return F.filter(F.split(text, r"(?:^|\s)(?=[0-9]{1,2}\.\s)"), lambda x: F.trim(x) != "")
+
+
+# Numbered fields of a registry page with their labels, and section titles that follow the last field of a section.
+FIELD_LABELS = {
+    "13": ("adresa", "Adresa sjedišta"), "16": ("djelatnost", "Šifra djelatnosti"), "17": ("iban", "Račun (IBAN)"), "19": ("kontakt", "Osoba za kontakt"),
+    "21": ("telefon", "Telefon"), "23": ("email", "e-mail"), "24": ("web", "Web stranica"), "25": ("zastupnik", "Ime i prezime"),
+}
+SECTIONS = r"(?is)\s+(PODACI O |OSNOVNI PODACI|IZVJE|POVEZANI|OPCIJE).*$"
+
+
+def labelled_fields(text: Column) -> Column:
+    """A struct of the fields that a registry page numbers with two digits: label dropped, cut before the next section's title, null if nothing is left.
+
+    The last of a repeated number counts; a null text gives nulls.
+    """
+    parts = F.split(text, r"(?<![0-9])(?=[0-9]{2}\.\s)")
+
+    def field(number: str, key: str, label: str) -> Column:
+        body = F.trim(F.substring(F.try_element_at(F.filter(parts, lambda p: F.rlike(p, F.lit(rf"^{number}\.\s"))), F.lit(-1)), 5, 1 << 30))
+        body = F.when(F.startswith(body, F.lit(label)), F.trim(F.substring(body, len(label) + 1, 1 << 30))).otherwise(body)
+        return F.nullif(F.trim(F.regexp_replace(body, SECTIONS, "")), F.lit("")).alias(key)
+
+    return F.struct(*[field(n, key, label) for n, (key, label) in FIELD_LABELS.items()])

@@ -128,3 +128,22 @@ def club_id(c: Column) -> Column:
 
 def canonical_url(base: Column, number: Column) -> Column:
     return F.concat(base, F.lit("/klubovi/"), number.cast("string"), F.lit("/"))
+
+
+# Bytes of a detail link's token before the number, between number and field name, and after it (in hex).
+TOKEN_HEAD, TOKEN_MIDDLE, TOKEN_FIELD = "F2070100000100010001", "000000000000000000010101", "6F69E20201"
+
+
+def detail_token(number: Column, record: Column) -> Column:
+    """Token of a registry's detail link: the number (ASCII, its last byte with the high bit set) and the record's id as a zigzag varint, in url-safe base64 without padding.
+
+    Null without a number or a record.
+    """
+    text = F.nullif(number, F.lit(""))
+    last = F.hex(F.ascii(F.right(text, F.lit(1))).bitwiseOR(128))
+    z = F.shiftleft(record.cast("long"), 1)
+    left = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.call_function("shiftright", z, i * 7)), lambda x: x > 0)
+    left = F.when(z == 0, F.array(F.lit(0).cast("long"))).otherwise(left)
+    varint = F.array_join(F.transform(left, lambda x: F.lpad(F.hex(x.bitwiseAND(127) + F.when(x > 127, 128).otherwise(0)), 2, "0")), "")
+    code = F.concat(F.lit(TOKEN_HEAD), F.hex(F.encode(F.left(text, F.length(text) - 1), "UTF-8")), last, F.lit(TOKEN_MIDDLE + TOKEN_FIELD), varint)
+    return F.rtrim(F.translate(F.base64(F.unhex(code)), "+/", "-_"), F.lit("="))

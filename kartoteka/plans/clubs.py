@@ -624,3 +624,49 @@ def u06(spark, sf_dir):
     u = F.when(k % 3 == 0, F.concat(F.lit("https://s.hr/klubovi/"), k, F.lit("/nk/"))).when(k % 3 == 1, F.concat(F.lit("https://s.hr/en/clubs/"), k, F.lit("/"))).otherwise(F.concat(F.lit("https://s.hr/x/"), k))
     club = url.club_id(u)
     return table(spark, sf_dir, "supplier").select("s_suppkey", club.alias("club_id"), url.canonical_url(F.lit("https://s.hr"), club).alias("canonical"))
+
+
+@query(
+    "p12_detail_token",
+    r"""with t as (select s_suppkey, lpad((s_suppkey * 79190001)::varchar, 11, '0') as oib, s_suppkey * s_suppkey * s_suppkey * 2 as z from supplier)
+       select s_suppkey, rtrim(replace(replace(to_base64(unhex('F2070100000100010001' || hex(left(oib, 10)) || printf('%02X', ascii(right(oib, 1)) | 128) || '0000000000000000000101016F69E20201'
+         || array_to_string(list_transform(list_filter(range(0, 9), lambda i: i = 0 or (z >> (7 * i)) > 0), lambda i: printf('%02X', ((z >> (7 * i)) & 127) + case when (z >> (7 * i + 7)) > 0 then 128 else 0 end)), ''))), '+', '-'), '/', '_'), '=') as token from t""",
+)
+def p12(spark, sf_dir):
+    from kartoteka.functions import url
+
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", url.detail_token(F.lpad((k * 79190001).cast("string"), 11, "0"), k * k * k).alias("token"))
+
+
+@query(
+    "h03_labelled_fields",
+    r"""with t as (select doc_id, '12. x 13. Adresa sjedišta ' || trim(regexp_replace(regexp_replace(coalesce(text, ''), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) || case when doc_id % 2 = 0 then ' Podaci o osobama' else '' end || ' 24. Web stranica ' || doc_id || '.hr' as page from documents),
+       p as (select doc_id, string_split(regexp_replace(page, '(^|[^0-9])([0-9]{2}\.\s)', '\1' || chr(1) || '\2', 'g'), chr(1)) as parts from t),
+       b as (select doc_id, trim(list_filter(parts, lambda x: starts_with(x, '13. '))[-1][5:]) as a, trim(list_filter(parts, lambda x: starts_with(x, '24. '))[-1][5:]) as w from p)
+       select doc_id, md5(nullif(trim(regexp_replace(case when starts_with(a, 'Adresa sjedišta') then trim(a[16:]) else a end, '(?is)\s+(PODACI O |OSNOVNI PODACI|IZVJE|POVEZANI|OPCIJE).*$', '')), '')) as adresa, trim(replace(w, 'Web stranica', '')) as web from b""",
+)
+def h03(spark, sf_dir):
+    from kartoteka.functions import markup
+
+    body = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), "<[^>]+>", " "), r"[ \t\n\f\r]+", " "))
+    page = F.concat(F.lit("12. x 13. Adresa sjedišta "), body, F.when(F.col("doc_id") % 2 == 0, " Podaci o osobama").otherwise(""), F.lit(" 24. Web stranica "), "doc_id", F.lit(".hr"))
+    f = markup.labelled_fields(page)
+    return table(spark, sf_dir, "documents").select("doc_id", f.alias("f")).select("doc_id", F.md5("f.adresa").alias("adresa"), "f.web")
+
+
+@query(
+    "f13_tagged_ladder",
+    f"""with {CLUBS}, t as (select id, name, city, replace(county, ' županija', '') as region, case when id % 5 = 2 then 'Ulica ' || id end as street from clubs),
+       cache as (select case id % 4 when 0 then name || ', ' || coalesce(city || ', ', '') || 'Hrvatska' when 1 then name || ', ' || region || ', Hrvatska' when 2 then 'Ulica ' || id || ', Hrvatska' else name || ' nogometni klub Hrvatska' end as query, min(id) as hit from t group by 1),
+       rungs as (select id, unnest([name || ', ' || city || ', ' || region || ', Hrvatska', name || ', ' || city || ', Hrvatska', name || ', ' || region || ', Hrvatska', name || ', Hrvatska', street || ', Hrvatska', name || ' nogometni klub Hrvatska']) as query, generate_subscripts([1, 2, 3, 4, 5, 6], 1) as pos from t)
+       select id, arg_min(query, pos) as query, case when min(pos) <= 4 then 'places_textsearch' when min(pos) = 5 then 'geocoding_address' else 'places_name_only' end as match_type, arg_min(hit, pos) as hit from rungs join cache using (query) group by 1""",
+)
+def f13(spark, sf_dir):
+    from kartoteka.sources import landing
+
+    t = clubs(spark, sf_dir).withColumn("street", F.when(F.col("id") % 5 == 2, F.concat(F.lit("Ulica "), "id")))
+    region, kind = F.replace("county", F.lit(" županija"), F.lit("")), F.col("id") % 4
+    query_text = F.when(kind == 0, F.concat_ws(", ", "name", "city", F.lit("Hrvatska"))).when(kind == 1, F.concat("name", F.lit(", "), region, F.lit(", Hrvatska"))).when(kind == 2, F.concat(F.lit("Ulica "), "id", F.lit(", Hrvatska")))
+    cache = t.groupBy(query_text.otherwise(F.concat("name", F.lit(" nogometni klub Hrvatska"))).alias("query")).agg(F.min("id").alias("hit"))
+    return landing.first_tagged_hit(t, "id", landing.place_ladder(F.col("name"), F.col("city"), F.col("county"), F.col("street")), cache)

@@ -62,6 +62,24 @@ def first_hit(requests: DataFrame, key: str, ladder: Column, cache: DataFrame) -
     return found.groupBy(key).agg(F.min_by(F.struct("query", "pos", "hit"), "pos").alias("b")).select(key, "b.*")
 
 
+def place_ladder(name: Column, city: Column, county: Column, address: Column) -> Column:
+    """Queries for a place from the narrowest to the widest, each with the match type it would give: name with city and county, the address, the bare name."""
+    town, region, street = (F.trim(F.coalesce(c, F.lit(""))) for c in (city, F.replace(county, F.lit(" županija"), F.lit("")), address))
+    land = F.lit("Hrvatska")
+    shapes = F.array(F.when((town != "") & (region != ""), F.concat_ws(", ", name, town, region, land)), F.when(town != "", F.concat_ws(", ", name, town, land)), F.when(region != "", F.concat_ws(", ", name, region, land)), F.concat_ws(", ", name, land))
+    known = F.when(street != "", F.when(F.lower(street).contains("hrvatska"), street).otherwise(F.concat_ws(", ", street, land)))
+    rungs = {"places_textsearch": shapes, "geocoding_address": F.array(known), "places_name_only": F.array(F.concat(name, F.lit(" nogometni klub Hrvatska")))}
+    tagged = lambda q, tag: F.transform(F.array_distinct(F.array_compact(q)), lambda x: F.struct(x.alias("query"), F.lit(tag).alias("match_type")))
+    return F.concat(*[tagged(q, tag) for tag, q in rungs.items()])
+
+
+def first_tagged_hit(requests: DataFrame, key: str, ladder: Column, cache: DataFrame) -> DataFrame:
+    """As first_hit, for rungs (query, match_type): (key, query, match_type, hit). A query of two types counts as the earlier rung's."""
+    rungs = requests.select(key, F.posexplode(ladder).alias("pos", "rung")).select(key, "pos", "rung.*")
+    found = rungs.join(cache.filter("hit is not null"), "query")
+    return found.groupBy(key).agg(F.min_by(F.struct("query", "match_type", "hit"), "pos").alias("b")).select(key, "b.*")
+
+
 def seed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 

@@ -47,6 +47,13 @@ def test_markup(spark):
     assert r.m == "01 234" and [x.strip() for x in r.n] == ["1. Naziv: NK", "2. OIB: 7"]
 
 
+def test_labelled_fields(spark):
+    pages = ["13. Adresa sjedišta Ulica 5 16. 17. Račun (IBAN) HR12 21. 01 234 IZVJEŠTAJI x 23. a@b.hr 23. e-mail c@d.hr", "no fields", None]
+    found = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, p string").select("i", markup.labelled_fields(F.col("p")).alias("f")).orderBy("i").collect()
+    assert {k: v for k, v in found[0].f.asDict().items() if v} == {"adresa": "Ulica 5", "iban": "HR12", "telefon": "01 234", "email": "c@d.hr"}
+    assert not any(found[1].f) and not any(found[2].f)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     batch = table(spark, "/root/testdata/sf0.001", "events")
     batch.repartition(3).write.parquet(str(tmp_path / "in"))
