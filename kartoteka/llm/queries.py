@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kartoteka.llm import decontaminate, jaccard, langid, maxent, mixing, pii, quality, secrets, toxicity, urls
+from kartoteka.llm import decontaminate, discriminant, interactions, jaccard, langid, maxent, mixing, pii, quality, ranking, secrets, toxicity, urls
 from kartoteka.llm.common import read
 
 
@@ -46,6 +46,18 @@ def op10_chosen_path_join(spark, sf_dir):
     return jaccard.report(read(spark, sf_dir, "documents"))
 
 
+def op11_threshold_search(spark, sf_dir):
+    return ranking.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_filter_interactions(spark, sf_dir):
+    return interactions.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_quadratic_quality(spark, sf_dir):
+    return discriminant.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_poisson_mix": op2_poisson_mix,
@@ -57,10 +69,15 @@ QUERIES = {
     "op8_string_kernel_toxicity": op8_string_kernel_toxicity,
     "op9_byte_gru": op9_byte_gru,
     "op10_chosen_path_join": op10_chosen_path_join,
+    "op11_threshold_search": op11_threshold_search,
+    "op12_filter_interactions": op12_filter_interactions,
+    "op13_quadratic_quality": op13_quadratic_quality,
 }
 ORACLES = {
     "op2_poisson_mix": mixing.ORACLE_SQL,
     "op3_link_trust": urls.ORACLE_SQL,
     "op6_suffix_decontamination": decontaminate.ORACLE_SQL,
     "op7_line_quality": quality.ORACLE_SQL,
+    "op11_threshold_search": ranking.ORACLE_SQL,
+    "op12_filter_interactions": interactions.ORACLE_SQL,
 }
