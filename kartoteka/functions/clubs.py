@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kartoteka.functions.place import norm_county
+from kartoteka.functions.place import CAPITAL_PAIR, norm_county
 from kartoteka.functions.text import GENERIC_TOKENS, fold
 
 # Legal forms, club words and short prefixes of two normal forms that must stay apart.
@@ -157,18 +157,27 @@ def place_words(c: Column) -> Column:
     return F.array_distinct(F.array_except(parts, F.array(*map(F.lit, PLACE_STOP))))
 
 
+def seat_place(seat: Column) -> Column:
+    """The place at the end of a registry seat, without its postcode."""
+    return F.coalesce(fold(F.trim(F.regexp_replace(F.element_at(F.split(seat, ","), -1), r"\b[0-9]{5}\b", ""))), F.lit(""))
+
+
+def county_group(county: Column) -> Column:
+    """Counties that fit each other under one name, '' if unknown: the capital and its ring are one."""
+    x = norm_county(county)
+    return F.when(x.isin(*CAPITAL_PAIR), CAPITAL_PAIR[0]).otherwise(x)
+
+
 def city_match(city: Column, seat: Column) -> Column:
     """Containment either way of a city and the place in a registry seat."""
-    a = fold(city)
-    b = fold(F.trim(F.regexp_replace(F.element_at(F.split(seat, ","), -1), r"\b[0-9]{5}\b", "")))
+    a, b = fold(city), seat_place(seat)
     return (a != "") & (b != "") & (a.contains(b) | b.contains(a))
 
 
 def county_fits(a: Column, b: Column) -> Column:
     """Equal, unknown on either side, or the capital and its ring."""
     x, y = norm_county(a), norm_county(b)
-    pair = ("grad zagreb", "zagrebacka")
-    return (x == "") | (y == "") | (x == y) | (x.isin(*pair) & y.isin(*pair))
+    return (x == "") | (y == "") | (x == y) | (x.isin(*CAPITAL_PAIR) & y.isin(*CAPITAL_PAIR))
 
 
 def status_rank(status: Column) -> Column:

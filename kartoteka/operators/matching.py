@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kartoteka.functions import clubs as names
-from kartoteka.functions import place
+from kartoteka.functions import fuzzy, place
 from kartoteka.functions.text import fold, has_paren
+from kartoteka.operators.blocking import contained_pairs, partial_pairs, word_sets
 from kartoteka.operators.coverage import top_k
 from kartoteka.operators.resolve import _blocks, accepted, similarity
+from kartoteka.operators.shared import stored
 
 
 def _forms(df: DataFrame, name: str) -> DataFrame:
@@ -18,45 +20,95 @@ def _forms(df: DataFrame, name: str) -> DataFrame:
 
 
 def prepared_clubs(clubs: DataFrame) -> DataFrame:
-    """(l_id, l_norm, l_short, l_words, l_city_words, l_city, l_county, l_city_only, l_probe) of (id, name, city, county)."""
+    """(l_id, l_norm, l_short, l_words, l_city_words, l_place, l_county, l_city_only, l_distinct, ...) of (id, name, city, county)."""
     df = _forms(clubs.select("id", "name", "city", "county"), "name").withColumn("words", names.generic_free(names.words_of(F.col("short"))))
     own, parts = names.words_of(fold(F.col("city"))), F.split("short", " ")
     df = df.withColumn("city_words", F.when(F.size(own) > 0, own).when(F.size(parts) >= 2, F.array(F.element_at(parts, -1))).otherwise(own))
     df = df.withColumn("distinct", F.array_except("words", "city_words")).withColumn("city_only", F.size("distinct") == 0)
-    df = df.withColumn("probe", F.when(F.col("city_only"), F.col("city_words")).otherwise(F.col("words")))
+    df = df.withColumns({"all_words": names.words_of(F.col("short")), "place": fold(F.col("city")), "county": names.county_group(F.col("county"))})
     return df.select(*[F.col(c).alias(f"l_{c}") for c in df.columns])
 
 
 def prepared_registry(registry: DataFrame) -> DataFrame:
-    """(r_id, r_norm, r_short, r_words, ...) of (id, naziv, seat, county, status), football rows only."""
+    """(r_id, r_norm, r_short, r_words, r_clean, r_place, ...) of (id, naziv, seat, county, status), football rows only."""
     df = _forms(registry.select("id", "naziv", "seat", "county", "status"), "naziv").filter(names.registry_kept(F.col("norm")))
     df = df.withColumn("words", names.words_of(F.col("short")))
+    df = df.withColumns({"clean": names.generic_free(F.col("words")), "place": names.seat_place(F.col("seat")), "county": names.county_group(F.col("county")), "rank": names.status_rank(F.col("status"))})
     return df.select(*[F.col(c).alias(f"r_{c}") for c in df.columns])
 
 
-def registry_match(clubs: DataFrame, registry: DataFrame, most: int = 5) -> DataFrame:
-    """The best `most` registry rows of each club: (id, registry_id, place, score, city, status, overlap, confidence).
+def registry_pairs(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
+    """(l_id, r_id, city): pairs of prepared rows that hold the best `most` of each club by (city, shared words), and all ties of these.
 
-    Pairs meet by a shared word (a hot word is dealt over blocks) and are made once, by their first shared word. The
-    county is a hard gate; a distinctive word of the club must be in the registry's name, or, for a club named after
-    its city alone, the registry's name must have no other word. Rank: city, overlap, status, score, registry id.
+    Keys are sets of one to three words within a county and, first, within the seats that fit the club's city. The
+    registry's rows are counted by key. A club whose sets of three words find enough rows asks for these alone, else for sets
+    of two, else for single words; only where its city has not enough rows does it ask the whole county. So a hot word
+    is joined by those clubs alone that have nothing rarer. A club named after its city meets rows whose words are in the
+    city's name, by their first word and their number; rows with generic words alone by a q-gram index of their names.
     """
-    a = prepared_clubs(clubs).withColumn("_key", F.explode("l_probe"))
-    b = prepared_registry(registry).withColumn("_key", F.explode("r_words"))
-    met = _blocks(a, b).filter(F.col("_key") == F.array_min(F.array_intersect("l_probe", "r_words")))
-    clean = names.generic_free(F.col("r_words"))
-    gate = names.county_fits(F.col("l_county"), F.col("r_county"))
-    telling = F.when(F.col("l_city_only"), F.size(F.array_except(clean, "l_city_words")) == 0).otherwise(F.size(F.array_intersect("l_distinct", clean)) > 0)
-    dice = 200.0 * F.size(F.array_intersect(names.words_of(F.col("l_short")), "r_words")) / (F.size(names.words_of(F.col("l_short"))) + F.size("r_words"))
-    score = F.greatest(similarity(F.col("l_norm"), F.col("r_norm")), similarity(F.col("l_short"), F.col("r_short")), F.coalesce(dice, F.lit(0.0)))
-    overlap = F.size(F.array_intersect(F.when(F.col("l_city_only"), F.col("l_words")).otherwise(F.col("l_distinct")), clean))
-    scored = met.filter(gate & telling).select(
-        F.col("l_id").alias("id"), F.col("r_id").alias("registry_id"), F.round(score, 6).alias("score"), names.city_match(F.col("l_city"), F.col("r_seat")).cast("int").alias("city"),
-        names.status_rank(F.col("r_status")).alias("status"), overlap.alias("overlap"),
-    )
-    from pyspark.sql import Window
+    scopes = lambda place: F.explode(F.array(F.lit("*"), place))
+    counties = F.explode(F.array(F.lit("*"), F.col("r_county")))
+    whole = F.when(F.size("r_clean") > 0, F.array(F.struct(F.lit(0).alias("level"), F.concat(F.lit("="), F.array_min("r_clean"), F.lit("="), F.size("r_clean")).alias("key"))))
+    keyed = b.withColumn("county", counties).withColumn("scope", scopes(F.col("r_place"))).select("r_id", "county", "scope", F.explode(F.concat(word_sets("r_clean"), F.coalesce(whole, F.array().cast("array<struct<level:int,key:string>>")))).alias("k"))
+    index = stored(keyed.select("r_id", F.concat_ws("|", "county", "scope", "k.key").alias("_key")), "registry_keys")
+
+    fits = contained_pairs(a.select(F.col("l_place").alias("a")), b.select(F.col("r_place").alias("b")))
+    probe = F.when(F.col("l_city_only"), F.flatten(F.transform("l_city_words", lambda w: F.transform(F.sequence(F.lit(1), F.size("l_city_words")), lambda n: F.struct(F.lit(0).alias("level"), F.concat(F.lit("="), w, F.lit("="), n).alias("key")))))).otherwise(word_sets("l_distinct"))
+    asked = a.withColumn("county", F.explode(F.when(F.col("l_county") == "", F.array(F.lit("*"))).otherwise(F.array("l_county", F.lit("")))))
+    asked = asked.join(fits.groupBy(F.col("a").alias("l_place")).agg(F.collect_set("b").alias("seats")), "l_place", "left")
+    asked = asked.withColumn("scope", F.explode(F.concat(F.array(F.lit("*")), F.coalesce("seats", F.array().cast("array<string>"))))).select("l_id", "l_city_only", "county", "scope", F.explode(probe).alias("k"))
+    asked = asked.select("l_id", (F.col("scope") != "*").alias("near"), "k.level", F.concat_ws("|", "county", "scope", "k.key").alias("_key")).distinct()
+
+    counted = stored(asked.join(index.groupBy("_key").agg(F.count("*").alias("n")), "_key"), "club_keys")
+    enough = lambda near: F.max(F.when((F.col("near") == near) & (F.col("n") >= most) & (F.col("level") > 0), F.col("level")))
+    levels = counted.groupBy("l_id").agg(enough(True).alias("near_level"), enough(False).alias("far_level"))
+    least = F.when(F.col("near"), F.coalesce("near_level", F.lit(0))).when(F.col("near_level").isNull(), F.coalesce("far_level", F.lit(0)))
+    exact = F.when(least > 0, F.col("level") == least).otherwise(F.col("level") <= 1)
+    wanted = counted.join(levels, "l_id").filter(least.isNotNull() & exact).select("l_id", "_key")
+    met = _blocks(wanted, index).select("l_id", "r_id").distinct()
+    # A club named after its city and a row of generic words alone share a word or most of their characters.
+    bare = b.filter(F.size("r_clean") == 0)
+    if not bare.isEmpty():
+        lone = a.filter("l_city_only")
+        by_word = _blocks(lone.select("l_id", F.explode("l_city_words").alias("_key")), bare.select("r_id", F.explode("r_words").alias("_key"))).select("l_id", "r_id")
+        alike = partial_pairs(lone.select(F.col("l_id").alias("id"), F.col("l_short").alias("name")), bare.select(F.col("r_id").alias("id"), F.col("r_short").alias("name"))).select("l_id", "r_id")
+        met = met.unionAll(by_word).unionAll(alike).distinct()
+
+    own = a.select("l_id", "l_county", "l_place", "l_city_only", "l_city_words", "l_distinct")
+    other = b.select("r_id", "r_county", "r_place", "r_clean")
+    gate = (F.col("l_county") == "") | (F.col("r_county") == "") | (F.col("l_county") == F.col("r_county"))
+    telling = F.when(F.col("l_city_only"), F.size(F.array_except("r_clean", "l_city_words")) == 0).otherwise(F.size(F.array_intersect("l_distinct", "r_clean")) > 0)
+    city = (F.col("l_place") != "") & (F.col("r_place") != "") & (F.col("l_place").contains(F.col("r_place")) | F.col("r_place").contains(F.col("l_place")))
+    return met.join(own, "l_id").join(other, "r_id").filter(gate & telling).select("l_id", "r_id", city.cast("int").alias("city"))
+
+
+def edit_score() -> Column:
+    """The best of edit ratios of full and short forms and of shared words."""
+    dice = 200.0 * F.size(F.array_intersect("l_all_words", "r_words")) / (F.size("l_all_words") + F.size("r_words"))
+    return F.greatest(similarity(F.col("l_norm"), F.col("r_norm")), similarity(F.col("l_short"), F.col("r_short")), F.coalesce(dice, F.lit(0.0)))
+
+
+def weighted_score() -> Column:
+    """The best of weighted ratios of full and short forms and of the token-set ratio of short forms."""
+    return F.greatest(fuzzy.weighted_ratio("l_norm", "r_norm"), fuzzy.weighted_ratio("l_short", "r_short"), fuzzy.token_set_ratio("l_short", "r_short"))
+
+
+def registry_match(clubs: DataFrame, registry: DataFrame, most: int = 5, score=edit_score) -> DataFrame:
+    """The best `most` registry rows of each club: (id, registry_id, place, score, city, status, overlap, confidence).
 
-    order = Window.partitionBy("id").orderBy(F.desc("city"), F.desc("overlap"), F.desc("status"), F.desc("score"), "registry_id")
+    The county is a hard gate; a distinctive word of the club must be in the registry's name, or, for a club named after
+    its city alone, the registry's name must have no other word. Rank: city, overlap, status, score, registry id. Forms
+    and words are worked out once for each row, and names are scored only where city, overlap and status leave a tie
+    that reaches the first `most`.
+    """
+    a, b = stored(prepared_clubs(clubs), "clubs"), stored(prepared_registry(registry), "registry")
+    pairs = registry_pairs(a, b, most).join(a, "l_id").join(b, "r_id")
+    overlap = F.size(F.array_intersect(F.when(F.col("l_city_only"), F.col("l_words")).otherwise(F.col("l_distinct")), "r_clean"))
+    known = pairs.select("l_id", "r_id", "city", F.col("r_rank").alias("status"), overlap.alias("overlap"), "l_norm", "l_short", "l_all_words", "r_norm", "r_short", "r_words")
+    rank = [F.desc("city"), F.desc("overlap"), F.desc("status")]
+    tied = known.withColumn("tie", F.rank().over(Window.partitionBy("l_id").orderBy(*rank))).filter(F.col("tie") <= most)
+    scored = tied.withColumn("score", F.round(score(), 6)).select(F.col("l_id").alias("id"), F.col("r_id").alias("registry_id"), "score", "city", "status", "overlap")
+    order = Window.partitionBy("id").orderBy(*rank, F.desc("score"), "registry_id")
     ranked = scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
     return ranked.withColumn("confidence", accepted(F.col("city") == 1, F.col("score"), F.col("status") == 3))
 

@@ -212,6 +212,12 @@ def l06(spark, sf_dir):
     return matching.registry_match(clubs(spark, sf_dir), registry(spark, sf_dir)).select("id", "registry_id", "place")
 
 
+#: Weighted ratios have no SQL; tests hold them against plain quadratic versions, and the match against all pairs.
+@query("e01_weighted_match", None)
+def e01_weighted(spark, sf_dir):
+    return matching.registry_match(clubs(spark, sf_dir), registry(spark, sf_dir), 1, matching.weighted_score).drop("place")
+
+
 @query("e03_status_rank", f"with {REGISTRY} select id, case status when 'AKTIVAN' then 3 when 'PRESTANAK DJELOVANJA' then 2 when 'BRISAN' then 1 else 0 end as rank from registry")
 def e03(spark, sf_dir):
     return registry(spark, sf_dir).select("id", names.status_rank(F.col("status")).alias("rank"))
