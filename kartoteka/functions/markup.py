@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Entities that pages use.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-
+from kartoteka.functions.pages import squeeze, unescape
 
 def html_text(html: Column) -> Column:
-    """Visible text: scripts, styles and tags dropped, common entities decoded, whitespace collapsed."""
+    """Visible text: scripts, styles and tags dropped, references decoded once, whitespace collapsed."""
     s = F.regexp_replace(html, "(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
-    s = F.regexp_replace(s, "(?s)<[^>]*>", " ")
-    for entity, char in ENTITIES:
-        s = F.replace(s, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(s, r"[ \t\r\n]+", " "))
+    return squeeze(unescape(F.regexp_replace(s, "(?s)<[^>]*>", " ")))
 
 
 def html_title(html: Column) -> Column:

@@ -8,21 +8,35 @@ from pyspark.sql import functions as F
 from kartoteka.operators.shared import stored
 
 
+def rescaled(sizes: dict, total: int) -> dict:
+    """Sizes of strata in the given proportions for a sample of about `total`: half to even, none below one."""
+    whole = sum(sizes.values())
+    return {k: max(1, round(n * total / whole)) for k, n in sizes.items()}
+
+
 def stratified_sample(df: DataFrame, stratum: str, sizes: dict, order: Column) -> DataFrame:
-    """Up to sizes[s] rows of each stratum by a hashed order (a random generator's picks cannot be expressed in SQL)."""
+    """Up to sizes[s] rows of each stratum by a hashed order (a random generator's picks cannot be expressed in SQL).
+
+    The limit of the largest stratum is a constant, so each task passes on no more than so many rows of a stratum and
+    none ranks a whole one; the strata's own limits are applied to these.
+    """
     wanted = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(n))])
     ranked = df.filter(F.col(stratum).isin(*sizes)).withColumn("place", F.row_number().over(Window.partitionBy(stratum).orderBy(order)))
-    return ranked.filter(F.col("place") <= F.try_element_at(wanted, F.col(stratum)))
+    return ranked.filter(F.col("place") <= max(sizes.values())).filter(F.col("place") <= F.try_element_at(wanted, F.col(stratum)))
 
 
-def with_batches(sample: DataFrame, n: int, *order: Column) -> DataFrame:
-    """Round robin: row i of the order goes to batch i mod n. Ranges of the order are numbered apart; one row per range, its size, gives where each starts."""
-    ranged = stored(sample.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """Add _place, from 0 in the order. Ranges of the order are numbered apart; one row per range, its size, gives where each starts."""
+    ranged = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     starts = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))  # a row per task
     place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
-    numbered = ranged.withColumn("_place", place).join(F.broadcast(starts), "_range")
-    return numbered.withColumn("batch", F.pmod(F.col("_start") + F.col("_place"), F.lit(n)).cast("int")).drop("_range", "_start", "_place")
+    return ranged.withColumn("_place", place).join(F.broadcast(starts), "_range").withColumn("_place", F.col("_start") + F.col("_place")).drop("_range", "_start")
+
+
+def with_batches(sample: DataFrame, n: int, *order: Column) -> DataFrame:
+    """Round robin: row i of the order goes to batch i mod n."""
+    return numbered(sample, *order).withColumn("batch", F.pmod(F.col("_place"), F.lit(n)).cast("int")).drop("_place")
 
 
 def dimension_means(scored: DataFrame, dimensions: list[str]) -> DataFrame:

@@ -125,33 +125,106 @@ def unique_by_city(left: DataFrame, right: DataFrame) -> DataFrame:
 def one_to_one(pages: DataFrame, clubs: DataFrame) -> DataFrame:
     """(page_id, club_id, status) of pages (id, name, city) against clubs (id, name, city): matched, ambiguous or no_name_hit.
 
-    A page takes the club of its name whose city is the same, or the only club of its name where one side has no city.
-    Of several pages that would take one club the first by id has it, the others are ambiguous: what a walk over the
-    pages in order would give, but that a club taken by an earlier page stays a candidate when later pages are judged.
+    What a walk over the pages by id gives: a page takes the one club left of its name and city, or the only club left of
+    its name where one side has no city; a club that is taken is gone for later pages. The walk is worked out by
+    aggregates, so a name of many clubs and pages is no group in one task:
+
+    - A city with several clubs of a name never comes down to one. A city with one club gives it to its first page.
+    - One club of a name is left over when all others have gone to the first pages of their cities. After the last of
+      these, it goes to the next page that has its city, has none, or any page if the club has none.
+
+    Rows that repeat an id are one; a null or empty name hits nothing; cities '' are unknown.
     """
-    p = pages.select(F.col("id").alias("page_id"), F.col("name").alias("_key"), F.col("city").alias("p_city"))
-    c = clubs.select(F.col("id").alias("club_id"), F.col("name").alias("_key"), F.col("city").alias("c_city"))
-    size = c.groupBy("_key").agg(F.count("*").alias("cands"), F.min("club_id").alias("only_id"), F.min(F.coalesce("c_city", F.lit(""))).alias("only_city"))
-    by_city = c.filter("c_city <> ''").groupBy("_key", F.col("c_city").alias("p_city")).agg(F.count("*").alias("fits"), F.min("club_id").alias("fit_id"))
-    j = p.join(size, "_key", "left").join(by_city, ["_key", "p_city"], "left")
-    lone = (F.col("cands") == 1) & ((F.coalesce("p_city", F.lit("")) == "") | (F.col("only_city") == ""))
-    j = j.withColumn("club_id", F.when(F.col("fits") == 1, F.col("fit_id")).when(lone, F.col("only_id")))
-    first = j.filter("club_id is not null").groupBy("club_id").agg(F.min("page_id").alias("first_page"))
-    j = j.join(first, "club_id", "left")
-    won = F.col("first_page") == F.col("page_id")
-    status = F.when(F.col("cands").isNull(), "no_name_hit").when(won, "matched").otherwise("ambiguous")
-    return j.select("page_id", F.when(won, F.col("club_id")).alias("club_id"), status.alias("status"))
+    blank = lambda c: F.nullif(F.col(c), F.lit(""))
+    p = pages.groupBy(F.col("id").alias("page_id")).agg(F.first(F.struct(blank("name").alias("name"), blank("city").alias("city"))).alias("v")).select("page_id", "v.*")
+    c = clubs.groupBy(F.col("id").alias("club_id")).agg(F.first(F.struct(blank("name").alias("name"), blank("city").alias("city"))).alias("v")).select("club_id", "v.*").filter("name is not null")
+    p, c = stored(p, "pages"), stored(c, "clubs")
+    towns = c.groupBy("name", "city").agg(F.count("*").alias("n"), F.min("club_id").alias("club_id"))
+    first = p.filter("name is not null and city is not null").groupBy("name", "city").agg(F.min("page_id").alias("page_id"))
+    lone = stored(towns.filter("n = 1 or city is null").join(first, ["name", "city"], "left"), "lone_towns")
+    # Of a name whose clubs are lone ones and at most one without a city: the club that is left over, and the page that settles the last of the others.
+    names_ = towns.groupBy("name").agg(F.count_if((F.col("n") > 1)).alias("thick"))
+    never = F.lit((1 << 63) - 1)
+    when = F.when(F.col("city").isNull(), never).otherwise(F.coalesce("page_id", never - 1))
+    over = lone.join(names_.filter("thick = 0").select("name"), "name").withColumn("at", when)
+    rest = over.groupBy("name").agg(F.max_by(F.struct("club_id", "city", "page_id"), F.struct("at", "club_id")).alias("x"), F.count("*").alias("m"))
+    others = over.join(rest.select("name", "x"), "name").filter(~F.col("club_id").eqNullSafe(F.col("x.club_id"))).groupBy("name").agg(F.max("at").alias("settled"))
+    rest = rest.join(others, "name", "left").withColumn("settled", F.coalesce("settled", F.lit(-(1 << 63)))).filter(F.col("settled") < never - 1)
+    late = p.join(rest.select("name", F.col("x.club_id").alias("club_id"), F.col("x.city").alias("town"), "settled"), "name").filter(F.col("page_id") > F.col("settled"))
+    late = late.filter(F.col("town").isNull() | F.col("city").isNull() | (F.col("city") == F.col("town"))).groupBy("name").agg(F.min("page_id").alias("page_id"), F.min("club_id").alias("club_id"))
+    by_town = lone.filter("city is not null and page_id is not null").select("page_id", "club_id")
+    # A club that is left over goes to the earlier of its two pages.
+    taken = by_town.unionByName(late.select("page_id", "club_id")).groupBy("club_id").agg(F.min("page_id").alias("page_id"))
+    known = c.select("name").distinct().withColumn("hit", F.lit(True))
+    j = p.join(known, "name", "left").join(taken, "page_id", "left")
+    status = F.when(F.col("hit").isNull(), "no_name_hit").when(F.col("club_id").isNotNull(), "matched").otherwise("ambiguous")
+    return j.select("page_id", "club_id", status.alias("status"))
+
+
+def substring_partners(rows: DataFrame, key: str, name: str, *by: str) -> DataFrame:
+    """(key) of the rows that have another row with equal `by` whose name is inside theirs or holds it.
+
+    Names that contain each other are found among the distinct names; rows then meet counts of (by, name), never each other, so
+    a group of any size makes no pairs. Rows that repeat a key count apart; null names and groups have no partner.
+    """
+    counts = rows.groupBy(*by, name).agg(F.count("*").alias("n"))
+    one = counts.select(F.col(name).alias("a")).distinct()
+    met = contained_pairs(one, one.toDF("b")).select(F.col("a").alias(name), F.col("b").alias("_other"))
+    other = counts.select(*by, F.col(name).alias("_other"), "n")
+    partner = counts.drop("n").join(met, name).join(other, [*by, "_other"]).filter((F.col(name) != F.col("_other")) | (F.col("n") > 1))
+    return rows.join(partner.select(*by, name).distinct(), [*by, name], "left_semi").select(key)
+
+
+def margin_match(pairs: DataFrame, margin: float = 0.5, least: float = 0.5) -> DataFrame:
+    """(l_id, r_id, status) of pairs (l_id, r_id, score): matched if the best is at least `least` and beats the second by `margin`, else ambiguous or unmatched."""
+    best = pairs.withColumn("place", F.row_number().over(Window.partitionBy("l_id").orderBy(F.desc("score"), "r_id"))).filter("place <= 2")
+    two = best.groupBy("l_id").agg(F.max(F.when(F.col("place") == 1, F.struct("score", "r_id"))).alias("a"), F.max(F.when(F.col("place") == 2, F.col("score"))).alias("b"))
+    status = F.when(F.col("a.score") - F.col("b") < margin, "ambiguous").when(F.col("a.score") < least, "unmatched").otherwise("matched")
+    return two.select("l_id", F.when(status == "matched", F.col("a.r_id")).alias("r_id"), status.alias("status"))
+
+
+def best_person(persons: DataFrame, order: Column) -> DataFrame:
+    """(udr_id, first_name, last_name, rank) of persons (udr_id, first_name, last_name, capacity, role): liquidators and nameless rows go, presidents come first, then authorised persons, then deputies; the first by `order` among equals.
+
+    A smallest struct for each association: no association is sorted in one task.
+    """
+    up = lambda c: F.upper(F.trim(F.coalesce(c, F.lit(""))))
+    capacity, role = up(F.col("capacity")), up(F.col("role"))
+    has = lambda w: capacity.contains(w) | role.contains(w)
+    rank = F.when(has("PREDSJEDNIK"), 0).when(capacity.contains("OSOBA OVLASTENA") | capacity.contains("OVLAŠTEN"), 1).when(capacity.contains("ZAMJENIK") | capacity.contains("DOPREDSJEDNIK"), 2).otherwise(99)
+    name = lambda c: F.trim(F.coalesce(c, F.lit("")))
+    kept = persons.filter(~has("LIKVIDATOR") & (F.concat(name("first_name"), name("last_name")) != ""))
+    pick = F.min_by(F.struct(name("first_name").alias("first_name"), name("last_name").alias("last_name"), rank.alias("rank")), F.struct(rank, order))
+    return kept.groupBy("udr_id").agg(pick.alias("p")).select("udr_id", "p.*")
 
 
 def close_pairs(points: DataFrame, metres: float) -> DataFrame:
-    """(id, near_id, metres) of two points (id, lat, lng) within `metres`, each pair once: cells as wide as the radius meet their neighbours."""
-    cell = metres / 111_000.0
-    wide = cell / 0.6  # degrees of longitude, up to 53 degrees of latitude
-    p = points.select("id", "lat", "lng").filter("lat is not null and lng is not null").withColumns({"gy": F.floor(F.col("lat") / cell), "gx": F.floor(F.col("lng") / wide)})
-    around = F.explode(F.array(*[F.struct((F.col("gy") + y).alias("gy"), (F.col("gx") + x).alias("gx")) for y in (-1, 0, 1) for x in (-1, 0, 1)]))
+    """(id, near_id, metres) of two points (id, lat, lng) within `metres`, each pair once.
+
+    Points fall into bands of latitude as high as the radius, bands into cells at least as wide as the radius where the band and
+    its neighbours are nearest to a pole. Cells of a band go round the earth, so the date line is no border; near a
+    pole a band is one cell. A point meets the cells around it in its own band and in both neighbours. Points
+    without coordinates are left out.
+    """
+    high = metres / 111_000.0
+    p = points.select("id", "lat", "lng").filter("lat is not null and lng is not null").withColumn("gy", F.floor(F.col("lat") / high))
+
+    def cells(band: Column) -> Column:
+        steep = F.least(F.greatest(F.abs(band - 1), F.abs(band + 2)) * high, F.lit(90.0))
+        return F.greatest(F.floor(F.cos(F.radians(steep)) * (360.0 / 1.6 / high)), F.lit(1))  # an arc is at most pi / 2 times its chord
+
+    def cell(n: Column) -> Column:
+        return F.pmod(F.floor((F.col("lng") + 180.0) / 360.0 * n), n)
+
+    def beside(band: Column) -> Column:
+        n = cells(band)
+        return F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda x: F.struct(band.alias("gy"), F.pmod(cell(n) + x, n).alias("gx")))
+
+    own = p.withColumn("gx", cell(cells(F.col("gy"))))
+    around = F.explode(F.array_distinct(F.concat(*[beside(F.col("gy") + y) for y in (-1, 0, 1)])))
     near = p.select(F.col("id").alias("near_id"), F.col("lat").alias("b_lat"), F.col("lng").alias("b_lng"), around.alias("o")).select("near_id", "b_lat", "b_lng", "o.*")
     d = place.haversine_m(F.col("lat"), F.col("lng"), F.col("b_lat"), F.col("b_lng"))
-    return p.join(near, ["gy", "gx"]).filter("id < near_id").withColumn("metres", d).filter(F.col("metres") <= metres).select("id", "near_id", "metres")
+    return own.join(near, ["gy", "gx"]).filter("id < near_id").withColumn("metres", d).filter(F.col("metres") <= metres).select("id", "near_id", "metres")
 
 
 def truth_pick(rows: DataFrame) -> DataFrame:
@@ -213,4 +286,4 @@ def missing_candidates(found: DataFrame, clubs: DataFrame, seeds: DataFrame) ->
     return new.join(county, "city", "left").select("id", "name", "city", "county")
 
 
-__all__ = ["close_pairs", "geo_issues", "geo_suspects", "missing_candidates", "one_to_one", "prepared_clubs", "prepared_registry", "registry_match", "top_k", "truth_pick", "unique_by_city"]
+__all__ = ["best_person", "close_pairs", "margin_match", "geo_issues", "geo_suspects", "missing_candidates", "one_to_one", "prepared_clubs", "prepared_registry", "registry_match", "top_k", "truth_pick", "unique_by_city"]

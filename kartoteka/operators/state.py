@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kartoteka.functions.text import is_blank
+from kartoteka.operators.audit import numbered
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
@@ -27,6 +28,27 @@ def latest(rows: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rn = 1").drop("_rn")
 
 
+def upsert_external(old: DataFrame, new: DataFrame, external: str, *order: Column, key: str = "id") -> DataFrame:
+    """New rows (external, values) update the old row of their external id, which keeps its key, or are inserted with the next keys.
+
+    As a loop over new in `order` would have it: of several new rows of one external id the last counts; rows without one
+    are inserted each; of several old rows of one external id the one with the smallest key is updated. New keys follow
+    `order` and start after the largest old one; they are numbered by ranges, not in one task.
+    """
+    values = [c for c in new.columns if c != external]
+    known = old.filter(F.col(external).isNotNull()).groupBy(external).agg(F.min(key).alias(key))
+    placed = numbered(new, *order)
+    last = placed.filter(F.col(external).isNotNull()).groupBy(external).agg(F.max_by(F.struct(*values), "_place").alias("_v"), F.min("_place").alias("_place"))
+    single = placed.filter(F.col(external).isNull()).select(external, F.struct(*values).alias("_v"), "_place")
+    met = last.join(known, external, "left")
+    changed = met.filter(F.col(key).isNotNull()).select(key, "_v")
+    updated = old.join(changed, key, "left").select(*[F.when(F.col("_v").isNotNull(), F.col(f"_v.{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in old.columns])
+    fresh = numbered(met.filter(F.col(key).isNull()).select(external, "_v", "_place").unionByName(single).withColumnRenamed("_place", "_at"), F.col("_at"))
+    top = old.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top"))  # one row
+    inserted = fresh.join(F.broadcast(top)).select(*[(F.col("_top") + F.col("_place") + 1).cast(dict(old.dtypes)[key]).alias(c) if c == key else F.col(external) if c == external else F.col(f"_v.{c}").alias(c) for c in old.columns if c in (key, external, *values)])
+    return updated.unionByName(inserted, allowMissingColumns=True)
+
+
 def insert_or_ignore(old: DataFrame, new: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
     """Rows of new whose key old lacks are added; of several of one key the first by `order` (then by all columns)."""
     keys = [key] if isinstance(key, str) else key
@@ -57,12 +79,12 @@ def roll_back(current: DataFrame, first: DataFrame, second: DataFrame, key: str,
 
 
 def quarantine_plan(entities: DataFrame, verdicts: DataFrame, bundles: dict[str, list[str]], key: str = "id") -> DataFrame:
-    """(id, column, old_value, reason): one row for each non-null value that an orphan verdict takes away."""
+    """(id, column, old_value, reason): one row for each value, neither null nor blank, that an orphan verdict takes away."""
     columns = sorted({c for b in bundles.values() for c in b})
     table = F.create_map(*[x for f, b in bundles.items() for x in (F.lit(f), F.array(*map(F.lit, b)))])
     hit = verdicts.filter("verdict = 'orphan'").select(key, F.explode(F.try_element_at(table, F.col("field"))).alias("column"), F.concat_ws(":", "field", "key").alias("reason"))
     once = hit.groupBy(key, "column").agg(F.min("reason").alias("reason"))
-    values = entities.unpivot([key], [F.col(c).cast("string").alias(c) for c in columns], "column", "old_value").filter("old_value is not null")
+    values = entities.unpivot([key], [F.col(c).cast("string").alias(c) for c in columns], "column", "old_value").filter("trim(old_value) <> ''")
     return values.join(once, [key, "column"]).select(key, "column", "old_value", "reason")
 
 

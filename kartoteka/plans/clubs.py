@@ -416,7 +416,7 @@ def j13(spark, sf_dir):
 
 
 PAGES = f"page as (select id, {KEY} as name, nullif({SEAT('address')}, '') as city from found)"
-SIDES = f"side as (select id, {KEY} as name, nullif({_fold('city')}, '') as city from clubs where id % 2 = 0)"
+SIDES = f"side as (select id, {KEY} as name, nullif({_fold('city')}, '') as city from clubs)"
 
 
 def _sides(spark, sf_dir):
@@ -424,16 +424,19 @@ def _sides(spark, sf_dir):
 
     seat = fold(F.trim(F.regexp_replace(F.element_at(F.split("address", ","), -1), r"\b[0-9]{5}\b", "")))
     pages = found_clubs(spark, sf_dir).select("id", names.match_key(F.col("name")).alias("name"), F.nullif(seat, F.lit("")).alias("city"))
-    return pages, clubs(spark, sf_dir).filter("id % 2 = 0").select("id", names.match_key(F.col("name")).alias("name"), F.nullif(fold(F.col("city")), F.lit("")).alias("city"))
+    return pages, clubs(spark, sf_dir).select("id", names.match_key(F.col("name")).alias("name"), F.nullif(fold(F.col("city")), F.lit("")).alias("city"))
 
 
 @query(
     "j15_one_to_one",
-    f"""with {CLUBS}, {FOUND}, {PAGES}, {SIDES},
-       n as (select name, count(*) as cands, min(id) as only_id, min(coalesce(city, '')) as only_city from side group by 1), f as (select name, city, count(*) as fits, min(id) as fit_id from side where city <> '' group by 1, 2),
-       j as (select p.id as page_id, cands, case when fits = 1 then fit_id when cands = 1 and (coalesce(p.city, '') = '' or only_city = '') then only_id end as club_id from page p left join n using (name) left join f on f.name = p.name and f.city = p.city),
-       w as (select *, club_id is not null and page_id = min(page_id) over (partition by club_id) as won from j)
-       select page_id, case when won then club_id end as club_id, case when cands is null then 'no_name_hit' when won then 'matched' else 'ambiguous' end as status from w""",
+    f"""with {CLUBS}, {FOUND}, {PAGES}, {SIDES}, c as (select id, nullif(name, '') as name, city from side where name <> ''),
+       town as (select name, city, count(*) as n, min(id) as club from c group by all), f as (select name, city, min(id) as page from page where city is not null group by all),
+       lone as (select t.*, page, case when t.city is null then 9e18 else coalesce(page, 8e18) end as spot from town t left join f on f.name = t.name and f.city = t.city where n = 1),
+       ok as (select name from town group by name having max(n) = 1), o as (select lone.*, row_number() over (partition by name order by spot desc, club desc) as k from lone join ok using (name)),
+       rest as (select a.name, a.city, a.club, coalesce(max(b.spot), -9e18) as settled from o a left join o b on b.name = a.name and b.k > 1 where a.k = 1 group by all having settled < 8e18),
+       late as (select min(p.id) as page, r.club from rest r join page p on p.name = r.name and p.id > settled and (r.city is null or p.city is null or p.city = r.city) group by r.name, r.club),
+       taken as (select club, min(page) as page from (select club, page from lone where page is not null and city is not null union all select club, page from late) group by club)
+       select p.id as page_id, taken.club as club_id, case when p.name not in (select name from c) or p.name is null then 'no_name_hit' when taken.club is not null then 'matched' else 'ambiguous' end as status from page p left join taken on taken.page = p.id""",
 )
 def j15(spark, sf_dir):
     return matching.one_to_one(*_sides(spark, sf_dir))
@@ -473,12 +476,6 @@ def e18(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", names.is_company(_choose(FORMS, F.col("s_suppkey"))).alias("company"))
 
 
-@query("e19_search_hits", "select user_id, min(event_id) as event_id from events where event_type = 'error' group by 1 having count(*) = 1")
-def e19_hits(spark, sf_dir):
-    one = table(spark, sf_dir, "events").filter("event_type = 'error'").groupBy("user_id").agg(F.min("event_id").alias("event_id"), F.count("*").alias("n"))
-    return one.filter("n = 1").select("user_id", "event_id")
-
-
 @query("e21_source_cascade", "select doc_id, coalesce(case when quality = 1 then 'label' end, case when n_chars > 2000 then 'length' end, nullif(source, 'src0'), 'search') as president, case when quality = 1 then 1 when n_chars > 2000 then 2 when source <> 'src0' then 3 else 4 end as rung from documents left join labels using (doc_id)")
 def e21(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id", "left")
@@ -522,19 +519,6 @@ def d07(spark, sf_dir):
     return state.move_column(clubs(spark, sf_dir).select("id", "city", "county"), "city", "county", F.col("city").like("S%"))
 
 
-@query(
-    "d02_upsert_external",
-    """with old as (select n_nationkey as id, n_name as name, n_nationkey % 3 as tier from nation), new as (select distinct 'lg' || s_nationkey as ext, s_nationkey as id, 'League ' || s_nationkey as name, (s_nationkey % 4) as tier from supplier where s_nationkey % 2 = 0)
-       select coalesce(new.id, old.id)::bigint as id, coalesce(new.name, old.name) as name, coalesce(new.tier, old.tier)::bigint as tier from old full outer join new on old.id = new.id""",
-)
-def d02(spark, sf_dir):
-    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
-    k = F.col("s_nationkey").cast("long")
-    old = n.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"), (F.col("n_nationkey") % 3).cast("long").alias("tier"))
-    new = s.filter("s_nationkey % 2 = 0").select(k.alias("id"), F.concat(F.lit("League "), "s_nationkey").alias("name"), (k % 4).alias("tier"))
-    return state.upsert(old, new, "id")
-
-
 @query("d14_audit_trail", f"with {CLUBS}, {FOUND}, {MISSING} select id, case when county is null then 'rejected' else 'ok' end as status, case when county is null then '[]' else '[\"county\"]' end as fields from missing")
 def d14(spark, sf_dir):
     ok = F.col("county").isNotNull()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from kartoteka.operators import audit, coverage, graph
+from kartoteka.operators import audit, coverage, graph, matching
 from kartoteka.plans.registry import query
 from kartoteka.session import table
 from kartoteka.sources import snapshots
@@ -271,10 +271,8 @@ def j21(spark, sf_dir):
     """select distinct a.p_partkey from part a join part b on a.p_brand = b.p_brand and a.p_partkey <> b.p_partkey and a.p_size = b.p_size where contains(a.p_name, b.p_name) or contains(b.p_name, a.p_name)""",
 )
 def j22(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_name")
-    o = p.toDF("k", "brand", "size", "name")
-    same = (F.col("p_brand") == F.col("brand")) & (F.col("p_size") == F.col("size")) & (F.col("p_partkey") != F.col("k"))
-    return p.join(o, same & (F.col("p_name").contains(F.col("name")) | F.col("name").contains(F.col("p_name"))), "left_semi").select("p_partkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), F.col("p_name").alias("name"))
+    return matching.substring_partners(p, "p_partkey", "name", "brand", "size")
 
 
 # ---- windows, sorts, sets

@@ -38,9 +38,9 @@ def entities(spark, sf_dir):
 
 WORDS = "list_distinct(list_filter(regexp_split_to_array({0}, '[^a-z0-9]+'), lambda w: length(w) >= 4 and w not in ('klub', 'grad', 'sport')))"
 SHARED = f"""long as (
-    select id, 'email' as field, email as key, true as matchable, name, city, registry, sourced from e
+    select id, 'email' as field, email as key, true as matchable, name, city, registry, sourced from e where email is not null
     union all select id, 'oib', oib, false, name, city, registry, sourced from e where oib is not null
-    union all select id, 'address', address, true, name, city, registry, sourced from e),
+    union all select id, 'address', address, true, name, city, registry, sourced from e where address is not null),
   g as (select *, count(*) over (partition by field, key) as size from long qualify count(*) over (partition by field, key) > 1)"""
 SCORED = f"""m as (
     select *, {WORDS.format("replace(name, ' (S)', '') || ' ' || city")} as words, {WORDS.format("coalesce(registry, '')")} as reg,
@@ -321,15 +321,6 @@ def d11_audit(spark, sf_dir):
     return state.audit_rows(state.quarantine_plan(e, resolve.detect(e), BUNDLES))
 
 
-@query("d11_second_run", "select 0::bigint as n")
-def d11_second(spark, sf_dir):
-    """After a run nothing is left to take away: the verdicts of the first run plan no further change."""
-    e = entities(spark, sf_dir)
-    found = resolve.detect(e)
-    after = state.apply_plan(e, state.quarantine_plan(e, found, BUNDLES), ["email", "address"])
-    return state.quarantine_plan(after, found, BUNDLES).agg(F.count("*").alias("n"))
-
-
 @query(
     "d11_quarantine_applied",
     f"""with {QUARANTINE} select id, case when id not in (select id from plan where "column" = 'email') then email end as email,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kartoteka.functions import colour, contact, markup, place, text, url
+from kartoteka.functions import colour, contact, markup, pages, place, text, url
 from kartoteka.plans.registry import query
 from kartoteka.session import table
 
@@ -277,12 +277,28 @@ def g11(spark, sf_dir):
 # ---- markup, colours
 
 
+#: References by name with what they stand for, and C1 numbers, as one row that a query joins.
+ENTS = "ents as (select [{}] as k, [{}] as v, [{}] as c1)".format(*[
+    ", ".join("'" + x.replace("'", "''") + "'" for x in xs) for xs in (pages.NAMES, pages.NAMES.values(), [pages.INSTEAD[n] for n in range(128, 160)])
+])
+_REF = "regexp_extract(p, '" + pages.REFERENCE.replace("^&", "^") + "')"
+_DIGITS = f"regexp_replace({_REF}, '^#[xX]?0*|;$', '', 'g')"
+_NUM = f"(case when length({_DIGITS}) > 9 then 1114112 when {_DIGITS} = '' then 0 when {_REF}[2] in ('x', 'X') then ('0x' || {_DIGITS})::bigint else {_DIGITS}::bigint end)"
+_CHAR = f"""(case when {_NUM} = 0 then '\uFFFD' when {_NUM} between 128 and 159 then c1[{_NUM} - 127] when {_NUM} between 55296 and 57343 or {_NUM} > 1114111 then '\uFFFD'
+  when {_NUM} between 1 and 8 or {_NUM} = 11 or {_NUM} between 14 and 31 or {_NUM} = 127 or {_NUM} between 64976 and 65007 or {_NUM} % 65536 >= 65534 then '' else chr({_NUM}::int) end)"""
+_PIECE = f"""(case when {_REF} = '' then '&' || p when {_REF}[1] = '#' then {_CHAR} || substr(p, length({_REF}) + 1) when list_contains(k, {_REF}) then v[list_position(k, {_REF})] || substr(p, length({_REF}) + 1)
+  when regexp_extract({_REF}, '^(?:{pages.LEGACY})') <> '' then v[list_position(k, regexp_extract({_REF}, '^(?:{pages.LEGACY})'))] || substr(p, length(regexp_extract({_REF}, '^(?:{pages.LEGACY})')) + 1) else '&' || p end)"""
+_SPACES = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+#: SQL of unescape and of html_text, over a query with ents in it.
+UNESCAPE = lambda x: f"array_to_string(list_concat([string_split({x}, '&')[1]], list_transform(string_split({x}, '&')[2:], lambda p: {_PIECE})), '')"
+SQUEEZE = lambda x: f"trim(regexp_replace({x}, '{_SPACES}', ' ', 'g'))"
+
+
 @query(
     "h02_html_text",
-    r"""with t as (select page_id, regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') as s,
+    rf"""with {ENTS}, t as (select page_id, regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') as s,
           regexp_extract(html, '(?is)<title>(.*?)</title>', 1) as title from pages)
-        select page_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(s, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
-          '[ \t\r\n]+', ' ', 'g'))) as visible, nullif(trim(title), '') as title from t""",
+        select page_id, md5({SQUEEZE(UNESCAPE("s"))}) as visible, nullif(trim(title), '') as title from t, ents""",
 )
 def h02(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(markup.html_text(F.col("html"))).alias("visible"), markup.html_title(F.col("html")).alias("title"))
