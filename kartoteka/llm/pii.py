@@ -1,18 +1,19 @@
 """Surrogates for personal data.
 
-E-mail addresses, phone numbers, IPv4 addresses, long numbers (cards, accounts), national ids, IBANs and names are
+E-mail addresses, phone numbers, IP addresses, long numbers (cards, accounts), national ids, IBANs and names are
 detected in whole texts, once. Each distinct entity (type and canonical form) gets a surrogate from an HMAC under a secret
 key: digits for digits, letters of the same script and case for letters, a name of the same gender and script for a
 name, with country codes, separators and check digits (cards, IBANs) kept valid as they were. Names are drawn from
 lists of names that the detector does not know, then built from syllables with an ending that tells the gender, so
 there are always more of them than a corpus holds. A mention is rendered in its own format, so one entity written in two
 ways gets one surrogate in two formats, and a name found in a text is replaced wherever the text repeats one of its
-words (coreference). Surrogates are compared over the whole corpus: one that meets another entity's surrogate, or any
+words, in capitals or small letters, too, unless it is a word of its own in small letters (coreference). Surrogates are compared over the whole corpus: one that meets another entity's surrogate, or any
 original of its type, is drawn again until all are distinct. Only rows with entities are ever shuffled, and only their
 distinct entities are compared; mentions of one hot entity are small rows that AQE splits.
 
 A name starts at a title, at a listed given name, or after a word that introduces people (Dear, Signed, ...). Untitled,
-unlisted names in running text are not found.
+unlisted names in running text are not found. Numbers that a word before them names as an invoice or an order, amounts in
+groups of thousands and dates are no phones.
 
 Defined cases: null texts stay null; texts without entities, empty ones too, stay as they are; repeated rows get equal
 surrogates; overlapping finds go to the type listed first; a very long text is searched whole; an empty table gives an
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from bisect import bisect_left, insort
 
@@ -78,10 +80,12 @@ ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрст
 
 # More given names that are found but never drawn.
 MORE_GIVEN = {
-    "m": "Adam Alan Albert Alejandro Alexander Andreas Andrew Anthony Arthur Benjamin Bernd Brian Charles Christian Christopher Dennis Diego Donald Edward Eric Felix Fernando Florian Frank François Frédéric Gary George Georg Günter Harry Heinz Helmut Henri Henry Jack Jacques Javier Jason Jeffrey Jörg Jorge Joseph Joshua Julien Jürgen Kenneth Kevin Lars Laurent Lukas Luke Manuel Markus Martin Matthew Matthias Max Michel Nicolas Oliver Olivier Oscar Pablo Patrick Philippe Rafael Ralf Raymond Ricardo Richard Roger Ronald Ryan Samuel Scott Sebastian Sergio Simon Stephen Steven Sven Thierry Timothy Tobias Tom Uwe Walter Wolfgang Ahmed Ali Arjun Giovanni Hassan Hiroshi Ibrahim Ivan Jakub Kenji Luca Marco Marko Matteo Mohammed Omar Piotr Rajesh Takashi Tomasz Wei".split(),
-    "f": "Alice Amanda Amy Andrea Angela Angelika Anne Barbara Beatriz Betty Birgit Brigitte Carol Catherine Charlotte Christine Claudia Cristina Daniela Deborah Diana Donna Dorothy Elisabeth Emily Eva Françoise Gabriele Hannah Heike Helen Helga Inès Isabelle Jane Janet Jessica Joan Juliette Karin Katharina Katrin Kimberly Laura Lauren Lena Lisa Lucy Manon Margaret Maria Marta Martina Martine Melissa Michelle Mónica Nancy Nathalie Nicole Nina Olivia Pamela Patricia Paula Pilar Rachel Rebecca Renate Rosa Ruth Sandra Sara Sharon Silvia Sofía Stephanie Susanne Sylvie Teresa Ute Valérie Véronique Victoria Agnieszka Aisha Anjali Chiara Fatima Francesca Giulia Ivana Katarzyna Leila Mariana Nadia Priya Sakura Yuki Zofia".split(),
+    "m": "Adam Alan Albert Alejandro Alexander Andreas Andrew Anthony Mark Arthur Benjamin Bernd Brian Charles Christian Christopher Dennis Diego Donald Edward Eric Felix Fernando Florian Frank François Frédéric Gary George Georg Günter Harry Heinz Helmut Henri Henry Jack Jacques Javier Jason Jeffrey Jörg Jorge Joseph Joshua Julien Jürgen Kenneth Kevin Lars Laurent Lukas Luke Manuel Markus Martin Matthew Matthias Max Michel Nicolas Oliver Olivier Oscar Pablo Patrick Philippe Rafael Ralf Raymond Ricardo Richard Roger Ronald Ryan Samuel Scott Sebastian Sergio Simon Stephen Steven Sven Thierry Timothy Tobias Tom Uwe Walter Wolfgang Ahmed Ali Arjun Giovanni Hassan Hiroshi Ibrahim Ivan Jakub Kenji Luca Marco Marko Matteo Mohammed Omar Piotr Rajesh Takashi Tomasz Wei".split(),
+    "f": "Alice Amanda Amy Andrea Angela Angelika Anne Barbara Beatriz Betty Birgit Brigitte Carol Catherine Charlotte Christine Claudia Cristina Daniela Deborah Diana Donna Dorothy Elisabeth Emily Eva Françoise Gabriele Grace Hannah Heike Helen Helga Inès Isabelle Jane Janet Jessica Joan Juliette Karin Katharina Katrin Kimberly Laura Lauren Lena Lisa Lucy Manon Margaret Maria Marta Martina Martine Melissa Michelle Mónica Nadine Nancy Nathalie Nicole Nina Olivia Pamela Patricia Paula Pilar Rachel Rebecca Renate Rosa Ruth Sandra Sara Sharon Silvia Sofía Stephanie Susanne Sylvie Teresa Ute Valérie Véronique Victoria Virginia Agnieszka Aisha Anjali Chiara Fatima Francesca Giulia Ivana Katarzyna Leila Mariana Nadia Priya Sakura Yuki Zofia".split(),
 }
 
+# Names that are words of their own in small letters.
+WORDS = {*"brown miller walker baker taylor smith cook young king rose may will mark grace hope weber fischer becker wagner martin jack bill rich sue art frank pat".split()}
 # Words that introduce people, and words that end or are no part of a name.
 CUES = {*"dear sincerely regards signed contact attn attention author liebe lieber grüße geehrte geehrter cher chère cordialement querido querida estimado estimada atentamente уважаемый уважаемая αγαπητέ αγαπητή".split()}
 STOP = {
@@ -92,6 +96,7 @@ _UP = "A-ZÀ-ÖØ-ÞΑ-ΩΆΈ-ΊΌΎΏА-ЯЁ"
 EMAIL = re.compile(r"[\w%+-][\w.%+-]*@[\w-]+(?:\.[\w-]+)+")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 IPV4 = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)")
+IPV6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f]*:)[0-9A-Fa-f:]{3,39}(?![\w:])")
 NATIONAL = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 CARD = re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])")
 # The digit count decides, see `_is_phone`: international numbers, those after a trunk 0, blocks of 2 to 4 digits, local 3-4 ones.
@@ -102,6 +107,11 @@ PHONE = re.compile(
     r"|(?<![\w.])(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\w|[.]\d)"
     r"|(?<![\w.+])\+?\d{9,12}(?!\w)"
 )
+# What a number is that follows these words, and what is counted by one.
+_LABEL = re.compile(r"(?i)(?:invoice|order|ticket|case|ref|reference|isbn|serial|sku|article|rechnung|bestellung|facture|commande|factura|pedido)(?: (?:no|nr|number|id|nummer|n))?[.:#°]{0,2} ?#?$")
+_MONEY = re.compile(r"(?i)(?:price|cost|costs|total|sum|amount|preis|summe|prix|somme|precio|suma|[$€£])[: ]{0,2}$")
+_UNITS = re.compile(r"(?i) ?(?:units|pieces|people|euros?|eur|usd|dollars|stück|einheiten|personnes|unidades|personas|[€$£])\b")
+_THOUSANDS = re.compile(r"\d{1,3}([ .])\d{3}(?:\1\d{3})*")
 _DATE = re.compile(r"(?<!\d)(?:\d{1,2}[./-]\d{1,2}[./-](?:19|20)\d\d|(?:19|20)\d\d[./-]\d{1,2}[./-]\d{1,2})(?!\d)")
 _TITLED = "|".join(sorted(TITLES, key=len, reverse=True))
 NAME = re.compile(rf"(?<!\w)[{_UP}][\w'’-]*\.?(?: (?:(?:[{_UP}]|{_TITLED})\.(?= )|[{_UP}][\w'’-]*))+")
@@ -174,15 +184,28 @@ def _names(text: str):
     again = [w for w in found if len(w) > 2]
     if again:
         seen = {x[0] for x in spans}
-        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(again, key=len, reverse=True)))})(?!\w)", text):
+        forms = {f: w for w in again for f in (w.lower(), w.upper()) if f == w.upper() or f not in WORDS} | {w: w for w in again}
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(forms, key=len, reverse=True)))})(?!\w)", text):
             if m.start() not in seen:
-                yield m.start(), m.end(), *found[m[0]]
+                yield m.start(), m.end(), *found[forms[m[0]]]
 
 
-def _is_phone(m: re.Match) -> bool:
+def _is_phone(m: re.Match, text: str) -> bool:
+    before = text[max(0, m.start() - 24) : m.start()]
+    if m[0][0] not in "+0(" and (_LABEL.search(before) or re.match(r"(?:19|20)\d\d-\d{4}-\d{4}$", m[0])):
+        return False
+    if _THOUSANDS.fullmatch(m[0]) and (m[0].endswith("000") or _MONEY.search(before) or _UNITS.match(text, m.end())):
+        return False
     return m.lastgroup == "local" or (8 if m[0][0] == "+" else 9) <= len(_digits(m[0])) <= 15
 
 
+def _is_ipv6(text: str) -> bool:
+    try:
+        return int(ipaddress.IPv6Address(text)) > 1
+    except ValueError:
+        return False
+
+
 def _canonical(kind: str, text: str) -> str:
     if kind == "email":
         return text.casefold()
@@ -190,6 +213,8 @@ def _canonical(kind: str, text: str) -> str:
         return text.replace(" ", "")
     if kind == "ip":
         return text
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(text).exploded
     digits = _digits(text)
     return digits[1:] if kind == "phone" and len(digits) == 11 and digits[0] == "1" else digits
 
@@ -208,10 +233,14 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     kinds = [("email", EMAIL)] if "@" in text else []
     if _NUMBERS.search(text):
         kinds += [("iban", IBAN), ("ip", IPV4), ("national", NATIONAL), ("card", CARD), ("phone", PHONE)]
+    if "::" in text or text.count(":") > 6:
+        for m in IPV6.finditer(text):
+            if _is_ipv6(m[0]):
+                put(*m.span(), "ipv6", _canonical("ipv6", m[0]))
     for kind, pattern in kinds:
         # Dates are no phones, but phones may stand beside them.
         for m in pattern.finditer(_DATE.sub(lambda d: "x" * len(d[0]), text) if kind == "phone" else text):
-            if kind != "phone" or _is_phone(m):
+            if kind != "phone" or _is_phone(m, text):
                 put(*m.span(), kind, _canonical(kind, m[0]))
     for name in _names(text):
         put(*name)
@@ -265,6 +294,9 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes = DEMO_KEY) -> str
         return _new_name(*kind.split(":"), draw, attempt)
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
+    if kind == "ipv6":  # empty groups stay empty, others as long as they are
+        sizes = [len(g.lstrip("0")) for g in canon.split(":")]
+        return ":".join(f"{16 ** (n - 1) + draw.below(15 * 16 ** (n - 1)):04x}" if n else "0000" for n in sizes)
     if kind == "email":
         local, _, domain = canon.partition("@")
         host, _, top = domain.rpartition(".")
@@ -296,6 +328,10 @@ def render(kind: str, original: str, canon: str) -> str:
         return "".join(x.upper() if i < len(own) and own[i].isupper() else x for i, x in enumerate(canon))
     if kind == "ip":
         return canon
+    if kind == "ipv6":
+        new = ipaddress.IPv6Address(canon)
+        out = new.exploded if len(original) == 39 else new.compressed if "::" in original else ":".join(f"{int(g, 16):x}" for g in new.exploded.split(":"))
+        return out.upper() if original.isupper() else out
     fill = iter(canon if kind == "iban" else _digits(original)[: len(_digits(original)) - len(canon)] + canon)
     return "".join(next(fill) if (c.isalnum() if kind == "iban" else c.isdigit()) else c for c in original)
 

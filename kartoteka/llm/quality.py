@@ -17,16 +17,20 @@ from pyspark.sql import functions as F
 
 from kartoteka.llm.common import settled, words
 
-# Phrases of notices and page furniture in the languages of the corpus, in lower case.
+# Phrases of notices and page furniture in the languages of the corpus, in lower case; those of the second list are ordinary prose as well.
 BOILERPLATE = (
     "all rights reserved", "licensed under", "released under the", "terms of use", "terms of service", "privacy policy", "cookie policy", "accept cookies", "enable javascript",
-    "click here", "sign up", "log in", "subscribe to", "share on", "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "hier klicken", "cookies akzeptieren",
-    "tous droits réservés", "mentions légales", "politique de confidentialité", "conditions d'utilisation", "cliquez ici", "accepter les cookies", "todos los derechos reservados",
-    "aviso legal", "política de privacidad", "términos de uso", "haga clic aquí", "aceptar cookies",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "cookies akzeptieren",
+    "tous droits réservés", "mentions légales", "politique de confidentialité", "conditions d'utilisation", "accepter les cookies", "todos los derechos reservados",
+    "aviso legal", "política de privacidad", "términos de uso", "aceptar cookies",
 )
-#: A notice is such a phrase, as whole words, in a line of no more words than these; or a copyright sign there.
-NOTICE_WORDS = 20
-_NOTICE = r"(^|[^\p{L}\p{N}])(" + "|".join(BOILERPLATE) + r")([^\p{L}\p{N}]|$)|©|copyright \(c\)"
+CALLS = ("click here", "sign up", "log in", "subscribe to", "share on", "hier klicken", "cliquez ici", "haga clic aquí")
+#: A notice is a phrase of the first list, as whole words, or a copyright sign in a line of no more words than NOTICE_WORDS; one of the second list
+#: in a line of no more than CALL_WORDS, of which it is a good part.
+NOTICE_WORDS, CALL_WORDS = 20, 6
+_PHRASE = r"(^|[^\p{L}\p{N}])(%s)([^\p{L}\p{N}]|$)"
+_NOTICE = _PHRASE % "|".join(BOILERPLATE) + r"|©|copyright \(c\)"
+_CALL = _PHRASE % "|".join(CALLS)
 #: Symbols that prose does not need; the base count uses the same ones.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -47,7 +51,13 @@ def _count(text: Column) -> Column:
 
 
 def has_notice(text: Column) -> Column:
-    return F.rlike(F.lower(text), F.lit(_NOTICE))
+    return F.rlike(F.lower(text), F.lit(f"{_NOTICE}|{_CALL}"))
+
+
+def is_notice(line: Column) -> Column:
+    """Whether a line is a notice or a call to click, by its phrase and its length."""
+    low, n = F.lower(line), F.size(words(line))
+    return (F.rlike(low, F.lit(_NOTICE)) & (n <= NOTICE_WORDS)) | (F.rlike(low, F.lit(_CALL)) & (n <= CALL_WORDS))
 
 
 def line_fails(line: Column) -> Column:
@@ -92,7 +102,7 @@ def judge(docs: DataFrame, text: str = "text", max_lost: int = MAX_LOST) -> Data
     df = df.withColumn("n_dup_lines", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long"))
     # Lines are searched for notices only where the text has one. The test stands outside of the lambda, where it runs once.
     good = F.filter("_full", lambda x: ~line_fails(x))
-    df = df.withColumn("_good", F.when(has_notice(F.col("_t")), F.filter(good, lambda x: ~(has_notice(x) & (F.size(words(x)) <= NOTICE_WORDS)))).otherwise(good))
+    df = df.withColumn("_good", F.when(has_notice(F.col("_t")), F.filter(good, lambda x: ~is_notice(x))).otherwise(good))
     df = df.withColumn("clean_text", F.array_join("_good", "\n"))
     all_chars = F.length(F.array_join("_full", "\n"))
     df = df.withColumn("n_lines_removed", (F.size("_full") - F.size("_good")).cast("long"))
@@ -137,7 +147,8 @@ j as (
       or (len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) < {NAVIGATION_WORDS}
           and not regexp_matches(x, '[.!?:;,)"''»”…][\x20\x09-\x0D]*$'))
       or (len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) <= {NOTICE_WORDS}
-          and regexp_matches(lower(x), '{_NOTICE.replace("'", "''")}')))) as good
+          and regexp_matches(lower(x), '{_NOTICE.replace("'", "''")}'))
+      or (len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) <= {CALL_WORDS} and regexp_matches(lower(x), '{_CALL}')))) as good
   from w),
 m as (
   select doc_id, len(ws)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,

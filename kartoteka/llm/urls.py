@@ -6,7 +6,8 @@ distrust flows from hosts that the rules mostly block, along reversed links, to
 starts with a mass of one, in equal parts at its seeds, and what moves is added up until no more than TOLERANCE of it is
 still moving; after k rounds that is DAMPING ** k at most, so the number of rounds has a bound, too. A host is blocked
 where distrust is more than SHARE of its trust and distrust together and more than FLOOR of a host's equal part of the mass:
-both hold at any size of the graph, however many hosts share what a seed gives back. Edges are links from a page's
+both hold at any size of the graph, however many hosts share what a seed gives back. A host that is no seed is
+blocked only if, besides, LINKS of its own links or more lead to such hosts: one bad link among many is no reason. Edges are links from a page's
 host to another host, and a host and its parent domain in both directions (down to PARENT_LABELS labels); equal links
 count once per page.
 
@@ -35,7 +36,7 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 DAMPING, TOLERANCE = 0.85, 1e-4
-SHARE, FLOOR = 0.5, 0.01
+SHARE, FLOOR, LINKS = 0.5, 0.01, 0.25
 #: No more than TOLERANCE can be moving after so many rounds.
 ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 #: A host is a seed where more than this share of its pages is allowed, or blocked, by rules.
@@ -78,7 +79,6 @@ def propagate(graph: DataFrame, seeds: DataFrame) -> DataFrame:
     One edge table holds both flows: trust from src to dst by src's shares, distrust from dst to src by dst's. Shares are
     aggregates joined back, so a host with a third of all links is no single task. Only the mass that moved last travels.
     """
-    graph = stored(graph, "graph")
     out = graph.groupBy("src").agg(F.sum("n").alias("out"))
     back = graph.groupBy("dst").agg(F.sum("n").alias("back"))
     weighted = graph.join(out, "src").join(back, "dst")
@@ -87,7 +87,6 @@ def propagate(graph: DataFrame, seeds: DataFrame) -> DataFrame:
         F.struct(F.col("dst").alias("host"), F.col("src").alias("to"), F.lit(False).alias("good"), (F.col("n") / F.col("back")).alias("share")),
     )).alias("x")).select("x.*")
     flows = stored(flows, "flows")
-    discard(graph)
     n = seeds.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
     part = lambda c, whole: (F.col(c) * F.lit((1 - DAMPING) / max(whole or 0.0, 1.0))).alias("mass")
     start = seeds.select("host", F.explode(F.array(F.struct(F.lit(True).alias("good"), part("trust", n.t)), F.struct(F.lit(False).alias("good"), part("distrust", n.d)))).alias("x"))
@@ -117,9 +116,14 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
         (count("allow") > F.count("*") * SEED_SHARE).cast("double").alias("trust"), (count("block") > F.count("*") * SEED_SHARE).cast("double").alias("distrust")
     ), "seeds")
     hosts = seeds.count()
-    ranks = propagate(edges(ruled.select("host", "html")), seeds)
+    graph = stored(edges(ruled.select("host", "html")), "graph")
+    ranks = propagate(graph, seeds)
     doubtful = (F.col("distrust") > SHARE * (F.col("trust") + F.col("distrust"))) & (F.col("distrust") * hosts > FLOOR)
-    bad = ranks.filter(doubtful).select("host", F.lit("block").alias("by_host"))
+    reached = stored(ranks.filter(doubtful).select("host").join(seeds.filter("distrust > 0").select("host", F.lit(True).alias("seed")), "host", "left"), "reached")
+    led = graph.join(reached.select(F.col("host").alias("dst"), F.lit(True).alias("hit")), "dst", "left").groupBy(F.col("src").alias("host"))
+    led = led.agg((F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0.0)) / F.sum("n")).alias("led")).filter(F.col("led") >= LINKS)
+    bad = stored(reached.join(led, "host", "left").filter("seed or led is not null").select("host", F.lit("block").alias("by_host")), "bad")
+    discard(graph, ranks, reached)
     # Only blocked hosts travel; pages of a hot host are split by AQE.
     judged = ruled.drop("html").join(bad, "host", "left")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("by_rule", "by_host", F.lit("allow")).alias("verdict"))
@@ -158,9 +162,12 @@ walk as (
   select k + 1, dst, good, sum(share * mass) * {DAMPING} from (
     select walk.k, flows.dst, walk.good, share, mass from walk join flows on flows.src = walk.host and flows.good = walk.good where walk.k < {ROUNDS})
   group by all),
-bad as (
+reached as (
   select host from walk, many group by host, hosts
-  having sum(case when good then 0 else mass end) > {SHARE} * sum(mass) and sum(case when good then 0 else mass end) * hosts > {FLOOR})
+  having sum(case when good then 0 else mass end) > {SHARE} * sum(mass) and sum(case when good then 0 else mass end) * hosts > {FLOOR}),
+bad as (
+  select host from reached where host in (select host from seed where distrust)
+    or host in (select src from graph group by src having sum(case when dst in (select host from reached) then n else 0 end) >= {LINKS} * sum(n)))
 select page_id, host, path, rule, coalesce(by_rule, case when host in (select host from bad) then 'block' else 'allow' end) as verdict
 from ruled
 """

@@ -160,3 +160,31 @@ def test_many_entities_in_one_text():
     began = time.perf_counter()
     text = " ".join(f"a{i}@b{i}.example.com" for i in range(20_000))
     assert len(pii.detect(text)) == 20_000 and time.perf_counter() - began < 5
+
+
+def shown(text):
+    return [(text[a:b], k) for a, b, k, _ in pii.detect(text)]
+
+
+def test_repeats_in_capitals_and_small_letters():
+    assert [t for t, _ in shown("Mr. Smithson came. SMITHSON and smithson said so; Smithsonian stays.")] == ["Smithson", "SMITHSON", "smithson"]
+    assert [t for t, _ in shown("Mrs. Brown sat in the brown chair, wrote BROWN.")] == ["Brown", "BROWN"]
+    assert len({c for *_, c in pii.detect("Mr. Smithson SMITHSON smithson")}) == 1
+
+
+def test_ipv6_in_its_format():
+    text = "from 2001:db8::ff00:42:8329 or 2001:0db8:0000:0000:0000:ff00:0042:8329 at 12:30:45, a::b::c, ::1, FE80::1:AB"
+    found = [(text[a:b], k, c) for a, b, k, c in pii.detect(text)]
+    assert [t for t, *_ in found] == ["2001:db8::ff00:42:8329", "2001:0db8:0000:0000:0000:ff00:0042:8329", "FE80::1:AB"]
+    assert found[0][2] == found[1][2]  # one address, two formats
+    for t, k, c in found:
+        new = pii.render(k, t, pii.surrogate(k, c, 0))
+        assert new != t and [len(g) for g in new.split(":")] == [len(g) for g in t.split(":")] and new.isupper() == t.isupper()
+        assert pii._is_ipv6(new)
+
+
+def test_numbers_that_are_no_phones():
+    for text in ("Price 10 000 000 000 units", "invoice 2023-0456-7891", "total: 250 000 000 EUR", "order no. 4021-3345-887", "1 250 000 people came", "Rechnung 12-345-6789"):
+        assert not shown(text), text
+    for text in ("call 612 345 678", "tel 0049 30 123456", "ring +34 612 345 000 today", "his number is 555-0123"):
+        assert [k for _, k in shown(text)] == ["phone"], text

@@ -12,9 +12,12 @@ ONE_LINE = [  # clean documents of one line that hold words of notices, or insid
     "Its market share on Friday was the largest ever seen in the valley, said the owner of the small shop, and he smiled.",
     "They worked on the design up to the last day; the blog in question told the story of the house in nine parts.",
     "He had to log in the evening what he saw in the morning, as the old captain used to do on every one of his ships at sea, without fail.",
+    "She wanted to sign up for the evening class before the end of the week came.",
+    "The boy will share on the way home whatever he has found in the forest, she said.",
+    "They log in every morning at nine and read the letters of the day before lunch.",
     "Wer sich nicht anmelden will, der kann auch ohne Namen in den Saal gehen und dort bis zum Abend bleiben.",
 ]
-NOTICES = ["All rights reserved.", "© 2020 Some Company", "Licensed under CC BY-NC 4.0.", "Please log in to read on.", "Alle Rechte vorbehalten.", "Tous droits réservés.", "Todos los derechos reservados.", "COPYRIGHT (C) Some"]
+NOTICES = ["All rights reserved.", "© 2020 Some Company", "Licensed under CC BY-NC 4.0.", "Please log in to read on.", "Alle Rechte vorbehalten.", "Tous droits réservés.", "Todos los derechos reservados.", "COPYRIGHT (C) Some", "Sign up now!", "Share on Friendbook.", "Cliquez ici pour lire."]
 
 
 def words(t):
@@ -28,7 +31,8 @@ def brute(text):
     starts = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
     hit = {i + k for i in range(len(w) - 4) if starts[tuple(w[i : i + 5])] > 1 for k in range(5)}
     count = lambda x: sum(c in "#*$%&|<>" for c in x)
-    notice = lambda x: len(words(x)) <= q.NOTICE_WORDS and ("©" in x or "copyright (c)" in x.lower() or any(re.search(rf"(?<![^\W_]){re.escape(p)}(?![^\W_])", x.lower()) for p in q.BOILERPLATE))
+    holds = lambda x, phrases: any(re.search(rf"(?<![^\W_]){re.escape(p)}(?![^\W_])", x.lower()) for p in phrases)
+    notice = lambda x: len(words(x)) <= q.NOTICE_WORDS and ("©" in x or "copyright (c)" in x.lower() or holds(x, q.BOILERPLATE)) or len(words(x)) <= q.CALL_WORDS and holds(x, q.CALLS)
     bad = lambda x: count(x) * 10 > len(x) or len(x) - len(x.replace("!!", "")) >= 6 or (len(words(x)) < 3 and x.rstrip(" \t\x0b\x0c\r")[-1] not in q.CLOSING) or notice(x)
     good = [x for x in lines if not bad(x)]
     failed = len(w) < 10 or 100 * len(hit) > 20 * len(w)

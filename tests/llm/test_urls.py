@@ -69,7 +69,10 @@ def brute(rows):
             now = fresh
         rank.append(now)
     t, d = ({h: r.get(h, 0) for h in {*rank[0], *rank[1]}} for r in rank)
-    return {h for h in t if d[h] > urls.SHARE * (t[h] + d[h]) and d[h] * len(count) > urls.FLOOR}
+    reached = {h for h in t if d[h] > urls.SHARE * (t[h] + d[h]) and d[h] * len(count) > urls.FLOOR}
+    seeds = {h for h, c in count.items() if c[1] > c[2] / 2}
+    links = lambda h, to: sum(m for (a, b), m in graph.items() if a == h and (to is None or b in to))
+    return {h for h in reached if h in seeds or links(h, None) and links(h, reached) >= urls.LINKS * links(h, None)}
 
 
 def test_propagation(spark):
@@ -92,6 +95,28 @@ def test_hundreds_of_hosts_that_link_to_one_blocked_host(spark):
     assert {got[i] for i in range(401)} == {"block"} and {got[i] for i in (500, *range(600, 900))} == {"allow"}
 
 
+def few_bad_links():
+    link = lambda *hosts: " ".join(f'<a href="https://{h}/x">' for h in hosts)
+    good = [f"good{i}.com" for i in range(50)]
+    rows = [(i, f"http://{h}/", "", 0) for i, h in enumerate(good)] + [(100, "http://bad.net/es/", "", 0)]
+    return rows + [(101, "http://small.org/", link(*good, "bad.net"), 0), (102, "http://half.org/", link("good1.com", "bad.net"), 0), (103, "http://far.org/", link("half.org"), 0)]
+
+
+def test_one_bad_link_among_many_is_no_reason(spark):
+    rows = few_bad_links()
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (got[101], got[102], got[103], got[100]) == ("allow", "block", "block", "block")
+    assert brute(rows) == {"bad.net", "half.org", "far.org"}
+
+
+def test_odd_pages(spark):
+    far = "x" * 2_000_000 + '<a href="https://bad.net/">'
+    rows = [(1, "http://bad.net/es/", None, 5), (2, "http://long.org/", far, None), (3, "http://none.org/", None, 1), (None, None, None, None)]
+    names = "page_id long, url string, html string, by_rule int, host string, verdict string"
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame([(*r, "x", "y") for r in rows], names)).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow", None: "allow"}
+
+
 def test_far_links_and_rounds(spark):
     chain = [(i, f"http://c{i}.org/", f'<a href="https://c{i + 1}.org/">', 0) for i in range(15)] + [(15, "http://c15.org/", '<a href="//end.net/">', 0), (16, "http://end.net/fr/", "", 0)]
     got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(chain, SCHEMA)).collect()}
@@ -106,5 +131,5 @@ def test_sql(spark, tmp_path):
     sys.path.insert(0, str(Path(__file__).parents[1]))
     from oracle import connect, differences
 
-    spark.createDataFrame(pages(), SCHEMA).write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(pages() + few_bad_links(), SCHEMA).write.parquet(str(tmp_path / "pages.parquet"))
     assert not differences(spark, connect(tmp_path), tmp_path, lambda s, d: urls.judge(s.read.parquet(f"{d}/pages.parquet")), urls.ORACLE_SQL)
