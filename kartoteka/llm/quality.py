@@ -31,6 +31,7 @@ NOTICE_WORDS, CALL_WORDS = 20, 6
 _PHRASE = r"(^|[^\p{L}\p{N}])(%s)([^\p{L}\p{N}]|$)"
 _NOTICE = _PHRASE % "|".join(BOILERPLATE) + r"|©|copyright \(c\)"
 _CALL = _PHRASE % "|".join(CALLS)
+_EITHER = _PHRASE % "|".join(BOILERPLATE + CALLS) + r"|©|copyright \(c\)"
 #: Symbols that prose does not need; the base count uses the same ones.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -51,7 +52,7 @@ def _count(text: Column) -> Column:
 
 
 def has_notice(text: Column) -> Column:
-    return F.rlike(F.lower(text), F.lit(f"{_NOTICE}|{_CALL}"))
+    return F.rlike(F.lower(text), F.lit(_EITHER))
 
 
 def is_notice(line: Column) -> Column:
