@@ -37,6 +37,7 @@ PLACE_STOP = (
     "nogometni", "klub", "nogometna", "nogomet", "hrvatski", "gradanski", "gradski", "akademski", "radnicki", "omladinski", "sportski", "hrvatska", "udruga", "stadion", "stadium",
     "skola", "athletic",
 )
+# Registry statuses by rank.
 STATUS_RANK = {"AKTIVAN": 3, "PRESTANAK DJELOVANJA": 2, "BRISAN": 1}
 
 

@@ -12,7 +12,7 @@ GENERIC_TOKENS = (
     "nk", "hnk", "gnk", "rnk", "mnk", "onk", "snk", "znk", "hask", "hrnk", "bsk", "snm", "hnsk", "gsnk", "nogometni", "nogometna", "nogometno", "nogomet", "klub", "kluba", "sportski", "sport",
     "skolski", "skola", "udruga", "drustvo", "hrvatski", "gradanski", "gradski", "omladinski", "opcina", "grad",
 )
-#: Club prefixes as they stand in names, before folding.
+# Club prefixes as they stand in names, before folding, and a bracketed suffix.
 PREFIX = r"(?iu)^(hnk|gnk|nk|rnk|mnk|hašk|šnk|nogometni\s+klub|građanski\s+nogometni\s+klub)\s+"
 PAREN = r"\(\s*[^)]{1,12}\s*\)"
 

@@ -130,8 +130,9 @@ def canonical_url(base: Column, number: Column) -> Column:
     return F.concat(base, F.lit("/klubovi/"), number.cast("string"), F.lit("/"))
 
 
-# Bytes of a detail link's token before the number, between number and field name, and after it (in hex).
-TOKEN_HEAD, TOKEN_MIDDLE, TOKEN_FIELD = "F2070100000100010001", "000000000000000000010101", "6F69E20201"
+# Bytes of a detail link's token before the number and between number and field name (in hex), and the field's name, whose last byte has its high bit set.
+TOKEN_HEAD, TOKEN_MIDDLE, TOKEN_NAME = "F2070100000100010001", "000000000000000000010101", "oib"
+TOKEN_FIELD = TOKEN_NAME[:-1].encode().hex().upper() + f"{ord(TOKEN_NAME[-1]) | 0x80:02X}0201"
 
 
 def detail_token(number: Column, record: Column) -> Column:

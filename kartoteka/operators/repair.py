@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kartoteka.operators import resolve, state
+from kartoteka.operators.shared import versions
 
 # The columns that an orphan verdict clears. An identity drags its registry fields along, a coordinate its evidence.
 BUNDLES = {
@@ -45,11 +46,7 @@ class Store:
 
     def versions(self) -> list[str]:
         """Stamps of finished runs, oldest first."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/clubs")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = [s.getPath() for s in files.listStatus(path)] if files.exists(path) else []
-        done = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(p.getName()[2:] for p in found if p.getName().startswith("v=") and files.exists(done(p, "_SUCCESS")))
+        return versions(self.spark, f"{self.base}/clubs")
 
     def _read(self, part: str, stamp: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.base}/{part}/v={stamp}")

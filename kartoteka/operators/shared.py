@@ -25,3 +25,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def versions(spark: SparkSession, base: str) -> list[str]:
+    """Names of the finished versions below base/v=<name>, in order; a folder without its success mark is none."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    path = Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in files.listStatus(path)] if files.exists(path) else []
+    return sorted(p.getName()[2:] for p in found if p.getName().startswith("v=") and files.exists(Path(p, "_SUCCESS")))
