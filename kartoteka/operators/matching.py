@@ -113,6 +113,15 @@ def registry_match(clubs: DataFrame, registry: DataFrame, most: int = 5, score=e
     return ranked.withColumn("confidence", accepted(F.col("city") == 1, F.col("score"), F.col("status") == 3))
 
 
+def match_lists(clubs: DataFrame, matched: DataFrame) -> DataFrame:
+    """(id, part, candidates) of all clubs and their up to five registry rows: matched with the row taken, low_conf with all of them in order, nomatch with none."""
+    rows = matched.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("place", "registry_id"))).alias("c"), F.max(F.when(F.col("place") == 1, F.col("confidence"))).alias("best"))
+    ids = lambda c: F.array_join(F.transform(c, lambda x: x.registry_id.cast("string")), ",")
+    part = F.when(F.col("c").isNull(), "nomatch").when(F.col("best").isNull(), "low_conf").otherwise("matched")
+    taken = F.when(part == "matched", ids(F.slice("c", 1, 1))).when(part == "low_conf", ids(F.col("c"))).otherwise("")
+    return clubs.select("id").join(rows, "id", "left").select("id", part.alias("part"), taken.alias("candidates"))
+
+
 def unique_by_city(left: DataFrame, right: DataFrame) -> DataFrame:
     """(l_id, r_id) of rows (id, city, words) whose city has exactly one partner with no word of either side missing on the other."""
     a, b = (d.select(F.col("city").alias("_key"), F.col("id").alias(f"{n}_id"), F.col("words").alias(f"{n}_words")) for d, n in ((left, "l"), (right, "r")))
@@ -286,4 +295,4 @@ def missing_candidates(found: DataFrame, clubs: DataFrame, seeds: DataFrame) ->
     return new.join(county, "city", "left").select("id", "name", "city", "county")
 
 
-__all__ = ["best_person", "close_pairs", "margin_match", "geo_issues", "geo_suspects", "missing_candidates", "one_to_one", "prepared_clubs", "prepared_registry", "registry_match", "top_k", "truth_pick", "unique_by_city"]
+__all__ = ["best_person", "close_pairs", "margin_match", "geo_issues", "geo_suspects", "match_lists", "missing_candidates", "one_to_one", "prepared_clubs", "prepared_registry", "registry_match", "top_k", "truth_pick", "unique_by_city"]

@@ -230,6 +230,16 @@ def k12(spark, sf_dir):
     return clubs(spark, sf_dir).select("id").join(best, "id", "left").groupBy(part.alias("part")).agg(F.count("*").alias("n"))
 
 
+@query(
+    "k12_match_lists",
+    f"""with {CLUBS}, {REGISTRY}, {RANKED}, g as (select id, max(confidence) filter (place = 1) as best, string_agg(registry_id::varchar, ',' order by place) as five, max(registry_id) filter (place = 1) as one from matched where place <= 5 group by id)
+       select c.id, case when g.id is null then 'nomatch' when best is null then 'low_conf' else 'matched' end as part, case when g.id is null then '' when best is null then five else one::varchar end as candidates from clubs c left join g using (id)""",
+)
+def k12_lists(spark, sf_dir):
+    own = clubs(spark, sf_dir)
+    return matching.match_lists(own, matching.registry_match(own, registry(spark, sf_dir), 5))
+
+
 # ---- geocoders
 
 PLACE_NAMES = ("NK {}", "Stadion {}", "Jedriličarski klub {}", "FC Mladost", "Gradski park")
