@@ -21,8 +21,10 @@ def _base(c: str) -> str:
     return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
 
 
-#: Characters that decompose into one ASCII character and marks, full-width forms too (from a rule, not a list).
-_MARKED = [(chr(i), _base(chr(i))) for i in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)] if len(_base(chr(i))) == 1 and _base(chr(i)).isascii()]
+#: Blocks with characters that decompose: Latin, Greek and Cyrillic with marks, raised and lowered digits, letter-like and full-width forms.
+_BLOCKS = (range(0xA1, 0x250), range(0x370, 0x530), range(0x1E00, 0x2000), range(0x2070, 0x20A0), range(0x2100, 0x2150), range(0xFF01, 0xFF5F))
+#: Characters that decompose into one other character and marks (from a rule, not a list).
+_MARKED = [(chr(i), b) for block in _BLOCKS for i in block if len(b := _base(chr(i))) == 1 and b != chr(i) and (b.isalnum() or b.isascii() and b != " ")]
 #: Ligatures that decompose into ASCII letters.
 _JOINED = [(chr(i), _base(chr(i))) for i in range(0xFB00, 0xFB07)]
 _FROM, _TO = "".join(a for a, _ in _MARKED), "".join(b for _, b in _MARKED)

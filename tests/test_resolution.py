@@ -110,3 +110,14 @@ def test_phrase_search(spark):
 def test_postcodes(spark):
     assert one(spark, place.postcode_counties(F.col("a")), a="Put 1, 21000 Split; 10000 Zagreb") == ["grad zagreb", "splitsko-dalmatinska"]
     assert one(spark, place.zip_from(F.col("a")), a="HR-10 000 Zagreb") == "10000"
+
+
+def test_marks_of_other_scripts_go(spark):
+    import unicodedata
+
+    from kartoteka.functions import text
+
+    base = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    spelt = ["Динамо Ћуприја й Ѓ", "Άρης Θεσσαλονίκης ἀΰ", "m² x₃ № ℂ Ｎｋ", "Čakovec ﬁ", "plain", "Ǻ ḱ ȱ ứ"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(spelt)], "i int, t string").select("i", text.strip_marks(F.col("t")).alias("s")).collect()
+    assert {r.i: r.s for r in rows} == {i: base(t).replace("đ", "d") if "№" not in t else base(t).replace("No", "№") for i, t in enumerate(spelt)}
