@@ -14,6 +14,8 @@ LEGAL_SECOND = ("š. d. d.", "s. d. d.", "š.d.d.", "s.d.d.", " sdd ")
 CLUB_WORDS = r"\b(hrvatski |građanski |gradanski )?nogometni klub\b"
 SHORT_FIRST = r"\b(hnk|gnk|nk|rnk|fk|znk|mnk)\b"
 SHORT_SECOND = r"\b(hnk|gnk|nk|rnk|fk|znk|mnk|snk)\b"
+# Quotes and punctuation that registry names lose.
+QUOTES, POINTS = "[„«»`'\"]+", r"[.,;:!?/\\()\[\]{}]+"
 # Prefixes and suffixes of names in the registry and in leagues.
 REGISTRY_PREFIX = (
     r"^\s*(gradanski nogometni klub|gradski nogometni klub|hrvatski nogometni klub|hrvatski radnicki nogometni klub|hrvatski akademski nogometni klub|omladinski nogometni klub|"
@@ -70,9 +72,11 @@ def match_key(name: Column) -> Column:
 
 
 def registry_norm(c: Column) -> Column:
-    """Acronyms joined (N.K. to nk), quotes and punctuation to spaces."""
-    s = F.regexp_replace(fold(c), r"\b([a-z])\.\s?([a-z])\.(\s?([a-z])\.)?", "$1$2$4")
-    return F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))
+    """Quotes to spaces, acronyms of two or three letters joined (N.K. to nk), the punctuation of QUOTES and POINTS to spaces; hyphens stay."""
+    s = F.regexp_replace(fold(c), QUOTES, " ")
+    for letters in (2, 3):
+        s = F.regexp_replace(s, r"\b" + r"([a-z])\." * letters, "".join(f"${i + 1}" for i in range(letters)))
+    return F.trim(F.regexp_replace(F.regexp_replace(s, POINTS, " "), r"\s+", " "))
 
 
 def registry_short(norm: Column) -> Column:

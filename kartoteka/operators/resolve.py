@@ -79,18 +79,19 @@ def verdicts(scored: DataFrame) -> DataFrame:
 
 
 def with_cohorts(scored: DataFrame) -> DataFrame:
-    """Owners of one group get COHORT points in groups of exactly the same members that they did not win."""
+    """Owners of one group get COHORT points in groups of exactly the same members that they did not win; the reason is added to theirs."""
     members = scored.groupBy(*GROUP).agg(F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(38,0)")).alias("check"), F.count("*").alias("n"))
     first = verdicts(scored).join(members, GROUP)
     cohort = ["who", "check", "n"]
     owners = first.filter("verdict = 'owner'").select(*cohort, "id").distinct().withColumn("owns", F.lit(True))
     bonus = first.join(owners, [*cohort, "id"], "left")
-    more = F.when(F.col("owns") & (F.col("verdict") != "owner"), COHORT).otherwise(0)
-    return bonus.select(*GROUP, "id", "size", (F.col("score") + more).alias("score"))
+    earned = F.col("owns") & (F.col("verdict") != "owner")
+    why = F.concat_ws("; ", F.nullif("reasons", F.lit("")), F.when(earned, f"+{COHORT} owner among the same members"))
+    return bonus.select(*GROUP, "id", "size", (F.col("score") + F.when(earned, COHORT).otherwise(0)).alias("score"), why.alias("reasons"))
 
 
 def detect(entities: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """(field, key, id, size, score, verdict) of all collision groups. Scores are read several times over, so each round of them is written once."""
+    """(field, key, id, size, score, reasons, verdict) of all collision groups. Scores are read several times over, so each round of them is written once."""
     first = stored(scores(stored(groups(entities, fields), "groups")), "scores")
     return verdicts(stored(with_cohorts(first), "scores"))
 

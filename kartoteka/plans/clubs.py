@@ -159,8 +159,9 @@ def f16(spark, sf_dir):
     return leagues(spark, sf_dir).filter(names.tournament_kept(F.col("name"))).select("id")
 
 
-_acronym = lambda x: _re(x, r"\b([a-z])\.\s?([a-z])\.(\s?([a-z])\.)?", r"\1\2\4")
-NORM = lambda x: f"trim({_re(_acronym(_fold(x)), '[^a-z0-9]+', ' ')})"
+_unquoted = lambda x: _re(_fold(x), names.QUOTES.replace("'", "''"), " ")
+_acronym = lambda x: _re(_re(x, r"\b([a-z])\.([a-z])\.", r"\1\2"), r"\b([a-z])\.([a-z])\.([a-z])\.", r"\1\2\3")
+NORM = lambda x: f"trim({_re(_re(_acronym(_unquoted(x)), names.POINTS, ' '), chr(92) + 's+', ' ')})"
 SHORT = lambda x: f"trim({_re(x, names.REGISTRY_PREFIX, '', '')})"
 KEPT = lambda x: f"(contains({x}, 'nogomet') and not regexp_matches({x}, '{names.REGISTRY_SKIP}'))"
 

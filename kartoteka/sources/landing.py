@@ -40,6 +40,12 @@ def dump(spark: SparkSession, path: str, columns: list[str] | None = None) -> Da
     return df.select(*columns) if columns else df
 
 
+def persons(spark: SparkSession, path: str) -> DataFrame:
+    """(udr_id, first_name, last_name, capacity, role, place) of a dump of persons; place is their order: files by name, rows as they stand."""
+    d = dump(spark, path, ["UDR_ID", "IME", "PREZIME", "SVOJSTVO", "FUNKCIJA"]).toDF("udr_id", "first_name", "last_name", "capacity", "role")
+    return d.withColumn("place", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")))
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """One trimmed value per line, blanks and # comments dropped."""
     return spark.read.text(path).select(F.trim("value").alias("value")).filter("value <> '' and not startswith(value, '#')")

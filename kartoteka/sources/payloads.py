@@ -69,6 +69,23 @@ def request_key(kind: str, body: Column) -> Column:
     return F.left(F.sha2(F.concat(F.lit(f"{kind}|"), body), 256), F.lit(16))
 
 
+def search_key(query: Column, limit: Column) -> Column:
+    """The name under which a web search is cached: sixteen hexadecimal digits of the SHA-256 of its JSON, names in order, a space after `:` and `,`."""
+    text = F.regexp_extract(F.to_json(F.struct(query.alias("q"))), r'(?s)^\{"q":(.*)\}$', 1)
+    key = F.left(F.sha2(F.concat(F.lit('{"limit": '), limit.cast("string"), F.lit(', "query": '), text, F.lit("}")), 256), F.lit(16))
+    return F.when(query.isNotNull(), key)
+
+
+def cached_searches(requests: DataFrame, cache: DataFrame, key: str) -> DataFrame:
+    """(key, status, place, url, title) of requests (key, query, limit) against a cache (cache_key, payload): a row for each result of the answer,
+    one without a place where there is none; a null query and one that was never asked are `unasked`."""
+    asked = requests.select(key, search_key(F.col("query"), F.col("limit")).alias("cache_key"))
+    found = parsed(cache.select("cache_key", "payload")).select("cache_key", "status", F.posexplode_outer(items(F.col("v"), "$.data.web")).alias("place", "r"))
+    status = F.when(F.col("status").isNull(), "unasked").when((F.col("status") == "hit") & F.col("place").isNull(), "none").otherwise(F.col("status"))
+    joined = asked.join(found, "cache_key", "left")
+    return joined.select(key, status.alias("status"), "place", get(F.col("r"), "$.url", "string").alias("url"), get(F.col("r"), "$.title", "string").alias("title"))
+
+
 def cached_places(requests: DataFrame, cache: DataFrame, key: str, kind: str) -> DataFrame:
     """(key, status, name, lat, lng) of requests (key, body) against a cache (cache_key, payload): the first place of the answer; `unasked` if there is none."""
     asked = requests.select(key, request_key(kind, F.col("body")).alias("cache_key"))

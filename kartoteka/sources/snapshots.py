@@ -32,6 +32,33 @@ def sitemap_urls(*parts: DataFrame) -> DataFrame:
     return out.select(F.concat(F.lit("<url><loc>"), safe, F.lit("</loc></url>")).alias("entry"))
 
 
+def path_part(c: Column) -> Column:
+    """A name as part of a path: percent-encoded but for letters, digits, `-._~` and `/`."""
+    out = F.url_encode(c)
+    for coded, plain in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        out = F.replace(out, F.lit(coded), F.lit(plain))
+    return out
+
+
+def sitemap_lines(pages: DataFrame, site: str, day: str) -> DataFrame:
+    """(file, place, line) of sitemap.xml for pages (path, priority, freq), and of the robots.txt that names it.
+
+    Place orders the lines: 0 for what opens a file, 1 for entries, 2 for what closes it.
+    """
+    safe = F.replace(F.replace(F.replace(F.col("path"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    entry = F.concat(F.lit(f"<url><loc>{site}"), safe, F.lit(f"</loc><lastmod>{day}</lastmod><changefreq>"), "freq", F.lit("</changefreq><priority>"), "priority", F.lit("</priority></url>"))
+    frame = [
+        ("sitemap.xml", 0, '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), ("sitemap.xml", 2, "</urlset>"),
+        ("robots.txt", 0, "User-agent: *\nAllow: /"), ("robots.txt", 2, f"\nSitemap: {site}/sitemap.xml"),
+    ]
+    return pages.select(F.lit("sitemap.xml").alias("file"), F.lit(1).alias("place"), entry.alias("line")).unionAll(pages.sparkSession.createDataFrame(frame, "file string, place int, line string"))
+
+
+def write_lines(lines: DataFrame, path: str, *order: str) -> None:
+    """The texts of `line` in the order, ranges of it as files one after the other, in a folder per `file`."""
+    lines.repartitionByRange("file", *order).sortWithinPartitions("file", *order).select("file", "line").write.partitionBy("file").text(path)
+
+
 def geojson_feature(lat: Column, lng: Column, **properties: Column) -> Column:
     geometry = F.struct(F.lit("Point").alias("type"), F.array(lng, lat).alias("coordinates"))
     return F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*[v.alias(k) for k, v in properties.items()]).alias("properties")))
