@@ -41,5 +41,36 @@ def dark_lightness(luminance_at, start: float = 0.45, step: float = 0.05, floor:
     return F.coalesce(F.filter(ladder, lambda x: luminance_at(x) < most)[0], F.lit(floor))
 
 
+def hsl(r: Column, g: Column, b: Column) -> tuple[Column, Column, Column]:
+    """Hue in degrees, saturation and lightness of 0 to 1."""
+    top, low = F.greatest(r, g, b) / 255.0, F.least(r, g, b) / 255.0
+    light, span = (top + low) / 2, top - low
+    return hue(r, g, b), F.when(span == 0, 0.0).when(light <= 0.5, span / F.nullif(top + low, F.lit(0.0))).otherwise(span / F.nullif(2.0 - top - low, F.lit(0.0))), light
+
+
+def from_hsl(h: Column, s: Column, light: Column) -> tuple[Column, Column, Column]:
+    """Red, green and blue of 0 to 255, halves to even."""
+    width = s * F.least(light, 1 - light)
+
+    def channel(turn: int) -> Column:
+        k = F.pmod(turn + h / 30, F.lit(12.0))
+        return F.bround((light - width * F.greatest(F.lit(-1.0), F.least(k - 3, 9 - k, F.lit(1.0)))) * 255, 0).cast("int")
+
+    return channel(0), channel(8), channel(4)
+
+
+def ensure_dark(r: Column, g: Column, b: Column, most: float = 0.6, start: float = 0.45, step: float = 0.05, floor: float = 0.15) -> Column:
+    """(r, g, b) as it is if its luminance is under `most`, else the same hue at the first lightness from `start` downwards where that holds."""
+    h, s, _ = hsl(r, g, b)
+    own = F.struct(r.cast("int").alias("r"), g.cast("int").alias("g"), b.cast("int").alias("b"))
+
+    def darker(x: Column) -> Column:
+        light = dark_lightness(lambda at: luminance(*from_hsl(x.h, x.s, at)), start, step, floor, most)
+        return F.transform(F.array(light), lambda at: F.struct(*[c.alias(n) for c, n in zip(from_hsl(x.h, x.s, at), "rgb", strict=True)]))[0]
+
+    # As a variable, hue and saturation are worked out once.
+    return F.when(luminance(r, g, b) < most, own).otherwise(F.transform(F.array(F.struct(h.alias("h"), s.alias("s"))), darker)[0])
+
+
 def largest_size(side: Column) -> Column:
     return F.array_max(F.filter(F.array(*map(F.lit, SIZES)), lambda s: s <= side))

@@ -22,6 +22,18 @@ def markdown_section(md: Column, heading: str) -> Column:
     return F.nullif(F.trim(F.regexp_extract(md, rf"(?s)(?:^|\n)#+ {heading}[^\n]*\n(.*?)(?:\n#|$)", 1)), F.lit(""))
 
 
+def contact_blocks(md: Column) -> Column:
+    """(contact, websites): what stands under the headings of contact data and of websites, up to the next heading of the second level; null without one."""
+    part = lambda heading: F.nullif(F.regexp_extract(md, rf"(?s)##\s*{heading}(.*?)(?=\n##\s|\z)", 1), F.lit(""))
+    return F.struct(part("Contact info").alias("contact"), part(r"Websites?\s*(?:and social[^\n]*)?").alias("websites"))
+
+
+def merged_json_lists(*lists: Column) -> Column:
+    """JSON arrays of texts as one, sorted, each text once; null, empty and broken ones count as empty."""
+    none = F.expr("array() :: array<string>")
+    return F.to_json(F.array_sort(F.array_distinct(F.flatten(F.array(*[F.array_compact(F.coalesce(F.from_json(x, "array<string>"), none)) for x in lists])))))
+
+
 def numbered_fields(text: Column) -> Column:
     """`1. label value 2. label value` as an array of fields."""
     return F.filter(F.split(text, r"(?:^|\s)(?=[0-9]{1,2}\.\s)"), lambda x: F.trim(x) != "")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,21 +24,36 @@ def _base(c: str) -> str:
 
 
 #: Blocks with characters that decompose: Latin, Greek and Cyrillic with marks, raised and lowered digits, letter-like and full-width forms.
-_BLOCKS = (range(0xA1, 0x250), range(0x370, 0x530), range(0x1E00, 0x2000), range(0x2070, 0x20A0), range(0x2100, 0x2150), range(0xFF01, 0xFF5F))
+_BLOCKS = (range(0xA1, 0x300), range(0x370, 0x530), range(0x1E00, 0x2000), range(0x2070, 0x20A0), range(0x2100, 0x2150), range(0xFF01, 0xFF5F))
 #: Characters that decompose into one other character and marks (from a rule, not a list).
 _MARKED = [(chr(i), b) for block in _BLOCKS for i in block if len(b := _base(chr(i))) == 1 and b != chr(i) and (b.isalnum() or b.isascii() and b != " ")]
-#: Ligatures that decompose into ASCII letters.
-_JOINED = [(chr(i), _base(chr(i))) for i in range(0xFB00, 0xFB07)]
+#: Characters that decompose into several (fractions, ligatures, digraphs, signs, dots) or into a space, by the same rule; half-width and presentation forms of other scripts are left out.
+_SEVERAL = {chr(i): _base(chr(i)) for block in (range(0xA0, 0x300), range(0x370, 0x530), range(0x1E00, 0x2190), range(0x2460, 0x24EB), range(0x3200, 0x3400), range(0xFB00, 0xFB07)) for i in block}
 _FROM, _TO = "".join(a for a, _ in _MARKED), "".join(b for _, b in _MARKED)
+_SEVERAL = {a: b for a, b in _SEVERAL.items() if a != b and a not in _FROM}
+
+
+def _ranges(chars: list[str]) -> str:
+    """The inside of a character class for these, neighbours as ranges."""
+    codes, out = sorted(map(ord, chars)), []
+    for c in codes:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(rf"\u{a:04X}-\u{b:04X}" for a, b in out)
+
+
+_RARE = "[\u0300-\u036F" + _ranges(list(_SEVERAL)) + "]"
+_SEVERAL_JSON = json.dumps(_SEVERAL, ensure_ascii=False)
 
 
 def _plain(c: Column, more: str = "", to: str = "") -> Column:
-    """Marked letters by a table; texts with combining marks or ligatures, which are few, once more."""
+    """Marked letters by a table; texts with combining marks or characters that become several, which are few, once more by character."""
     s = F.translate(c, more + _FROM, to + _TO)
-    rare = F.regexp_replace(s, "[\u0300-\u036F]", "")
-    for a, b in _JOINED:
-        rare = F.replace(rare, F.lit(a), F.lit(b))
-    return F.when(F.rlike(s, F.lit("[\u0300-\u036F\uFB00-\uFB06]")), rare).otherwise(s)
+    known = F.from_json(F.lit(_SEVERAL_JSON), "map<string,string>")
+    each = F.transform(F.split(F.regexp_replace(s, "[\u0300-\u036F]", ""), ""), lambda x: F.coalesce(F.try_element_at(known, x), x))
+    return F.when(F.rlike(s, F.lit(_RARE)), F.array_join(each, "")).otherwise(s)
 
 
 def deburr(c: Column) -> Column:
@@ -135,6 +152,18 @@ def prefix_match(a: Column, b: Column, n: int = 6) -> Column:
     return (F.least(F.length(a), F.length(b)) >= n) & (F.left(a, F.lit(n)) == F.left(b, F.lit(n)))
 
 
+def same_place(a: Column, b: Column) -> Column:
+    """Whether two place names share a word, or the first six letters of one."""
+    return F.exists(place_tokens(a), lambda x: F.exists(place_tokens(b), lambda y: (x == y) | prefix_match(x, y)))
+
+
+def any_like(c: Column, patterns: tuple[str, ...] | list[str]) -> Column:
+    """Whether a text is like any of the patterns, in either case of A-Z; null is like none. The text is lowered once, and plain `%x%` patterns become searches without a regular expression."""
+    low = F.lower(c)
+    hits = [low.like(p.lower()) for p in patterns]
+    return F.coalesce(reduce(lambda a, b: a | b, hits), F.lit(False)) if hits else F.lit(False)
+
+
 def is_blank(c: Column, kind: str) -> Column:
     """Null, whitespace, or integer 0."""
     return c.isNull() | ((F.trim(c) == "") if kind == "string" else (c == 0) if kind in ("int", "bigint") else F.lit(False))

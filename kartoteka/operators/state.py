@@ -108,6 +108,17 @@ def cascade_delete(children: DataFrame, deleted: DataFrame, key: str) -> DataFra
     return children.join(deleted.select(key), key, "left_anti")
 
 
+def scoped(todo: DataFrame, key: str, done: DataFrame | None = None, refresh: bool = False, only: list | None = None, missing: tuple[str, ...] = (), limit: int | None = None) -> DataFrame:
+    """The rows that a run works on: not those done before (unless refreshed), only the ids named, only rows that lack one of the columns `missing` (null or empty), the first `limit` by key."""
+    if done is not None and not refresh:
+        todo = todo.join(done.select(key).distinct(), key, "left_anti")
+    if only is not None:
+        todo = todo.filter(F.col(key).isin(only))
+    if missing:
+        todo = todo.filter(F.exists(F.array(*[F.col(c).cast("string") for c in missing]), lambda x: F.coalesce(x == "", F.lit(True))))
+    return todo if limit is None else todo.orderBy(key).limit(limit)
+
+
 def add_missing_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
 

@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-from kartoteka.plans import catalog, clubs, relational, reports, resolution, scalars  # noqa: E402, F401  they register their queries
+from kartoteka.plans import catalog, clubs, inputs, relational, reports, resolution, scalars  # noqa: E402, F401  they register their queries

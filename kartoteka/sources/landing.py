@@ -9,29 +9,38 @@ from pyspark.sql import types as T
 EXTRACTION = T.StructType([T.StructField(n, T.IntegerType() if n in ("stadium_capacity", "founded_year") else T.StringType()) for n in (
     "email", "phone", "address", "website", "facebook_url", "instagram_url", "twitter_url", "president_name", "stadium_name", "stadium_capacity", "founded_year", "city")])
 TEAM = "team struct<id:long,shortName:string,foundationDateTimestamp:long,venue:struct<name:string,capacity:int,city:struct<name:string>,venueCoordinates:struct<latitude:double,longitude:double>>>"
-FEATURES = "elements array<struct<type:string,id:long,center:struct<lat:double,lon:double>,tags:map<string,string>>>"
+FEATURES = "elements array<struct<type:string,id:long,lat:double,lon:double,center:struct<lat:double,lon:double>,tags:map<string,string>>>"
 
 
-def cached_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One payload per file."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def cached_json(spark: SparkSession, path: str, schema: str, by_line: bool = False) -> DataFrame:
+    """One payload per file, or per line of files that were packed together, which Spark can split."""
+    return spark.read.schema(schema).option("multiLine", not by_line).json(path)
 
 
-def teams(spark: SparkSession, path: str) -> DataFrame:
+def teams(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
     """(team_id, short_name, founded, venue, capacity, city, lat, lng) from team payloads."""
-    t = cached_json(spark, path, TEAM).select("team.*")
+    t = cached_json(spark, path, TEAM, by_line).select("team.*")
     return t.select(
         F.col("id").alias("team_id"), F.col("shortName").alias("short_name"), F.year(F.timestamp_seconds("foundationDateTimestamp")).alias("founded"), F.col("venue.name").alias("venue"),
         F.col("venue.capacity").alias("capacity"), F.col("venue.city.name").alias("city"), F.col("venue.venueCoordinates.latitude").alias("lat"), F.col("venue.venueCoordinates.longitude").alias("lng"),
     )
 
 
-def features(spark: SparkSession, path: str) -> DataFrame:
-    """(kind, osm_type, osm_id, lat, lng, sport, surface, capacity, tags) from geodata payloads."""
-    e = cached_json(spark, path, FEATURES).select(F.explode("elements").alias("e")).select("e.*")
+def features(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+    """(kind, osm_type, osm_id, lat, lng, sport, surface, capacity, tags) from geodata payloads; a centre counts before an own point."""
+    e = cached_json(spark, path, FEATURES, by_line).select(F.explode("elements").alias("e")).select("e.*")
     tag = lambda k: F.try_element_at("tags", F.lit(k))
+    at = lambda c: F.coalesce(F.nullif(F.col(f"center.{c}"), F.lit(0.0)), F.col(c))
     kind = F.when(tag("leisure") == "stadium", "stadium").otherwise("pitch")
-    return e.select(kind.alias("kind"), F.col("type").alias("osm_type"), F.col("id").alias("osm_id"), F.col("center.lat").alias("lat"), F.col("center.lon").alias("lng"), tag("sport").alias("sport"), tag("surface").alias("surface"), tag("capacity").try_cast("int").alias("capacity"), "tags")
+    return e.select(kind.alias("kind"), F.col("type").alias("osm_type"), F.col("id").alias("osm_id"), at("lat").alias("lat"), at("lon").alias("lng"), tag("sport").alias("sport"), tag("surface").alias("surface"), tag("capacity").try_cast("int").alias("capacity"), "tags")
+
+
+def grounds(found: DataFrame) -> DataFrame:
+    """Features that are stadiums, or pitches for football, and have a place; only stadiums keep a capacity. Of a repeated (type, id) one stays."""
+    sport = F.coalesce(F.col("sport"), F.lit(""))
+    pitch = (F.try_element_at("tags", F.lit("leisure")) == "pitch") & (sport.contains("soccer") | sport.contains("football"))
+    kept = found.filter((F.col("kind") == "stadium") | pitch).dropna(subset=["lat", "lng"])
+    return kept.withColumn("capacity", F.when(F.col("kind") == "stadium", F.col("capacity"))).dropDuplicates(["osm_type", "osm_id"])
 
 
 def dump(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kartoteka.operators.shared import versions
+
 
 def compact_json(*columns: Column | str) -> Column:
     """An object without nulls; wrap texts in nullif(x, '') to drop empty ones."""
@@ -71,3 +73,18 @@ def manifest(counts: dict[str, int], generated_at: str, version: int = 1) -> str
 def versioned_path(base: str, stamp: str) -> str:
     """A new folder for every snapshot; nothing is overwritten in place."""
     return f"{base}/v={stamp}"
+
+
+def rebuild(df: DataFrame, base: str) -> DataFrame:
+    """A derived table dropped and built again: written to a new version below base, which is read from then on; older versions go once it is finished.
+
+    A run that breaks off leaves the version before it in place.
+    """
+    spark = df.sparkSession
+    before = versions(spark, base)
+    df.write.parquet(versioned_path(base, f"{len(before) and int(before[-1]) + 1:010d}"))
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    for old in before:
+        path = Path(versioned_path(base, old))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return spark.read.schema(df.schema).parquet(versioned_path(base, versions(spark, base)[-1]))
