@@ -58,6 +58,8 @@ EXTRA = (
 RULES = BASE + EXTRA
 #: Matches walked at once; unseen blobs (some 200 bytes each) that are broadcast.
 GROUP, BROADCAST_BLOBS = 256, 100_000
+#: Bits of the bitmap that tells most seen blobs from unseen ones where these are many: 16 MB in all, in rows of MAP_BITS (fixed by Spark's bitmap functions).
+FILTER_BITS, MAP_BITS = 1 << 27, 1 << 15
 LEDGER_SCHEMA = "blob string, rule string, spans array<struct<start:int,kind:string,end:int>>"
 
 
@@ -112,7 +114,8 @@ def unseen(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...
     """(blob, text, todo) of blobs with at least one pair that the ledger lacks; each text once.
 
     A short list of unseen blobs (the usual run) is broadcast, so seen texts never leave their scan. Beyond BROADCAST_BLOBS
-    texts are dealt by blob, one for each blob and partition, and meet the list there.
+    a bitmap of the unseen ones' hashes is, of FILTER_BITS whatever their number; texts that may be unseen are dealt by
+    blob, one for each blob and partition, and meet the list there.
     """
     keys = F.array(*[F.lit(r.key) for r in rules])
     texts = versions.select("blob", "text")
@@ -126,7 +129,17 @@ def unseen(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...
     )
     if todo.count() <= BROADCAST_BLOBS:
         return texts.join(F.broadcast(todo), "blob").groupBy("blob").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
-    return texts.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
+    return _maybe_in(texts, todo).groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
+
+
+def _maybe_in(texts: DataFrame, listed: DataFrame) -> DataFrame:
+    """The texts whose blob is listed, and a few others: a bitmap over hashes, 4 KB a row, is broadcast."""
+    slot = F.pmod(F.xxhash64("blob"), F.lit(FILTER_BITS))
+    at = {"_part": F.floor(slot / MAP_BITS), "_bit": F.pmod(slot, F.lit(MAP_BITS))}
+    maps = listed.withColumns(at).groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    byte = F.conv(F.hex(F.expr("substring(_map, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    near = texts.withColumns(at).join(F.broadcast(maps), "_part")
+    return near.filter(byte.bitwiseAND(F.pow(F.lit(2), F.pmod("_bit", F.lit(8))).cast("int")) != 0).select(*texts.columns)
 
 
 def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from kartoteka.llm import secrets
 
 SCHEMA = "doc_id long, text string, blob int"
@@ -68,3 +70,24 @@ def test_history_scans_each_pair_once(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert secrets.report(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_bitmap_keeps_all_listed(spark):
+    from pyspark.sql import functions as F
+
+    texts = spark.range(4000).select(F.sha2(F.col("id").cast("string"), 256).alias("blob"), F.col("id").cast("string").alias("text"))
+    listed = texts.filter("cast(text as int) % 3 = 0").select("blob")
+    for n, bits in ((1334, secrets.FILTER_BITS), (4000, secrets.MAP_BITS)):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(secrets, "FILTER_BITS", bits)
+            near = secrets._maybe_in(texts, listed)
+            assert near.columns == texts.columns and near.join(listed, "blob", "left_semi").count() == 1334 <= near.count() <= n
+    assert secrets._maybe_in(texts, listed.limit(0)).count() == 0
+
+
+def test_many_unseen_blobs_give_the_same(spark, monkeypatch):
+    rows = [(i, f"password = abcdef{i % 40}" if i % 3 else None) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few = sorted(map(tuple, secrets.report(docs).collect()))
+    monkeypatch.setattr(secrets, "BROADCAST_BLOBS", 0)
+    assert sorted(map(tuple, secrets.report(docs).collect())) == few
