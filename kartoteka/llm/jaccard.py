@@ -7,9 +7,10 @@ In each run a set walks down a path: at every level it chooses the token that a
 two sets with similarity J choose the same with probability J. A bucket (sets with one path) of at most SMALL sets is
 compared by brute force; a larger one splits on another token, down to DEPTH levels, and what is then still large (a
 large group of near copies) is compared in blocks of some BLOCK_BYTES of sets, each two blocks once, a tile of TILE sets
-at a time: what a task holds is bounded by bytes, and a set travels once per block, not once per partner. Hot buckets
-are dealt over SALTS tasks where their sizes are joined back. Runs repeat until a pair at the threshold is met with probability
-RECALL. Buckets with the same members as one of an earlier run are not compared again, and a pair counts in the first
+at a time: what a task holds is bounded by bytes, and a set travels once per block, not once per partner. Sizes of
+buckets are joined back by a shuffle, whose hot keys Spark's skewed joins split; most sets are alone in their bucket, and
+a bitmap of fixed size keeps these out of it, so nothing that grows with the sets passes through the driver. Runs repeat
+until a pair at the threshold is met with probability RECALL. Buckets with the same members as one of an earlier run are not compared again, and a pair counts in the first
 run that brings it together, so links are counted once and no pair is ever emitted: a bucket gives, for each member,
 its links and the smallest member it is connected with.
 
@@ -35,10 +36,12 @@ SHINGLE = 5
 #: The threshold as a fraction: similarity >= NUM / DEN.
 NUM, DEN = 4, 5
 SMALL, DEPTH = 256, 3
-#: Bytes of the sets of a block (one set may be larger), sets compared at once, tasks a bucket is dealt over.
-BLOCK_BYTES, TILE, SALTS = 8 << 20, 512, 16
-#: Buckets whose sizes (some 40 bytes each) are broadcast.
-BROADCAST_BUCKETS = 500_000
+#: Bytes of the sets of a block (one set may be larger), sets compared at once.
+BLOCK_BYTES, TILE = 8 << 20, 512
+#: Buckets whose sizes (some 150 bytes each where they are broadcast) go to all tasks.
+BROADCAST_BUCKETS = 20_000
+#: Bits of the bitmap that tells buckets of one set from others: 8 MB in all, in rows of MAP_BITS (fixed by Spark's bitmap functions).
+FILTER_BITS, MAP_BITS = 1 << 26, 1 << 15
 RECALL = 0.9999
 #: Rounds of the components loop; min labels with pointer jumping need about log2 of the longest chain.
 ROUNDS = 60
@@ -106,14 +109,22 @@ def representatives(rows: DataFrame) -> DataFrame:
     return rows.join(classes, "rid").select("rid", "doc_id", "tkey", "print", "bytes", "copies", "paths")
 
 
-def _back(rows: DataFrame, few: DataFrame, how: str = "inner", most: int | None = None) -> DataFrame:
-    """rows joined with `few`, one row per (run, term): broadcast where counting shows that it is short. Beyond that both sides are dealt by a salt, so a bucket of a third of all sets is no single task."""
+def _back(rows: DataFrame, few: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with `few`, one row per (run, term): broadcast where counting shows that it is short, else by a shuffle."""
     few = stored(few, "buckets")
-    if few.count() <= (BROADCAST_BUCKETS if most is None else most):
+    if few.count() <= BROADCAST_BUCKETS:
         return rows.join(F.broadcast(few), ["run", "term"], how)
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
-    every = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return dealt.join(every, ["run", "term", "_salt"], how).drop("_salt")
+    return (_maybe_in(rows, few) if how == "inner" else rows).join(few.hint("merge"), ["run", "term"], how)
+
+
+def _maybe_in(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """The rows whose (run, term) is listed, and a few others: a bitmap over hashes, 4 KB a row, is broadcast."""
+    slot = F.pmod(F.xxhash64("run", "term"), F.lit(FILTER_BITS))
+    at = {"_part": F.floor(slot / MAP_BITS), "_bit": F.pmod(slot, F.lit(MAP_BITS))}
+    maps = listed.withColumns(at).groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    byte = F.conv(F.hex(F.expr("substring(_map, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    near = rows.withColumns(at).join(F.broadcast(maps), "_part")
+    return near.filter(byte.bitwiseAND(F.pow(F.lit(2), F.pmod("_bit", F.lit(8))).cast("int")) != 0).select(*rows.columns)
 
 
 def buckets(reps: DataFrame, n_runs: int, depth: int, small: int = SMALL) -> DataFrame:
@@ -123,10 +134,10 @@ def buckets(reps: DataFrame, n_runs: int, depth: int, small: int = SMALL) -> Dat
     for level in range(depth):
         at = todo.withColumn("term", F.get("p", F.lit(level)))
         sizes = at.groupBy("run", "term").agg(F.count("*").alias("size"), F.sum("bytes").alias("weight")).filter("size > 1")
-        found = _back(at, sizes).select("rid", "bytes", "run", "term", "size", "weight", "p")
-        last = level == depth - 1
-        found = stored(found, f"paths{level}") if not last else found
-        done.append((found if last else found.filter(F.col("size") <= small)).select("rid", "bytes", "run", "term", "size", "weight"))
+        deeper = F.when((F.col("size") > small) & F.lit(level < depth - 1), F.col("p")).alias("p")
+        # Written in any case: a join that only a write follows can be split where a bucket is hot.
+        found = stored(_back(at, sizes).select("rid", "bytes", "run", "term", "size", "weight", deeper), f"paths{level}")
+        done.append((found if level == depth - 1 else found.filter(F.col("size") <= small)).select("rid", "bytes", "run", "term", "size", "weight"))
         todo = found.filter(F.col("size") > small).select("rid", "bytes", "run", "p")
     out = done[0]
     for d in done[1:]:

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kartoteka.llm import jaccard as j
 
@@ -114,3 +115,18 @@ def test_hot_repeated_row(spark):
     got = {(r.doc_id, r.class_id, r.n_links) for r in j.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert got == {(1, 1, 500), (2, 1, 500), (3, 3, 0)} or got == {(1, 1, 499), (2, 2, 0), (3, 3, 0)}
     assert j.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() in (2, 3)
+
+
+def test_lists_that_grow_are_not_broadcast(spark):
+    """Sizes of 60,000 buckets meet their sets by a shuffle: the driver holds a bitmap of fixed size, and no row is lost."""
+    few = spark.range(60_000).select((F.col("id") % 13).cast("int").alias("run"), F.col("id").alias("term"), F.lit(2).alias("size"))
+    rows = spark.range(400_000).select(F.col("id").alias("rid"), (F.col("id") % 13).cast("int").alias("run"), F.col("id").alias("term"))
+    for how, n in (("inner", 60_000), ("left", 400_000)):
+        met = j._back(rows, few, how)
+        got = met.agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.sum(F.when(F.col("size").isNotNull(), F.col("rid"))).alias("rid")).first()
+        assert tuple(got) == (n, 120_000, 60_000 * 59_999 // 2)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "term" in line]
+    near = j._maybe_in(rows, few)
+    assert near.columns == rows.columns and near.filter("term < 60000").count() == 60_000 and near.count() < 62_000
+    assert j._maybe_in(rows, few.limit(0)).count() == 0
