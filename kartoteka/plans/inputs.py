@@ -164,10 +164,10 @@ def s04(spark, sf_dir):
 
 @query("s11_csv_dump", "select doc_id::varchar as doc_id, md5(text) as digest, length(text)::int as n, source from documents")
 def s11(spark, sf_dir):
-    """Whole texts, quotes and line breaks included, as a CSV dump with a header, read back without a bound on a field's size."""
+    """Whole texts, quotes, blanks and line breaks included, as a CSV dump with a header, read back without a bound on a field's size."""
     path = _folder(spark, "dump")
-    table(spark, sf_dir, "documents").select("doc_id", "text", "source").write.option("header", True).option("escape", '"').option("quoteAll", True).option("lineSep", "\n").csv(path)
-    d = landing.dump(spark, path, ["doc_id", "text", "source"])
+    snapshots.write_dump(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), path)
+    d = landing.restored(spark, path, ["doc_id", "text", "source"])
     return d.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("n"), "source")
 
 

@@ -49,6 +49,13 @@ def dump(spark: SparkSession, path: str, columns: list[str] | None = None) -> Da
     return df.select(*columns) if columns else df
 
 
+def restored(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The columns, as texts, of what snapshots.write_dump wrote, all of its values as they were."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "nullValue": "\\N", "emptyValue": "", "lineSep": "\n"}
+    df = spark.read.options(header=True, multiLine=True, escape='"', maxCharsPerColumn=-1, **kept).schema(", ".join(f"`{c}` string" for c in columns)).csv(path)
+    return df.select(*[F.when(F.startswith(c, F.lit("\\")), F.substr(c, F.lit(2))).otherwise(F.col(c)).alias(c) for c in columns])
+
+
 def persons(spark: SparkSession, path: str) -> DataFrame:
     """(udr_id, first_name, last_name, capacity, role, place) of a dump of persons; place is their order: files by name, rows as they stand."""
     d = dump(spark, path, ["UDR_ID", "IME", "PREZIME", "SVOJSTVO", "FUNKCIJA"]).toDF("udr_id", "first_name", "last_name", "capacity", "role")

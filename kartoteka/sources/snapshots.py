@@ -20,6 +20,13 @@ def write_csv(df: DataFrame, path: str, empty: bool = False) -> None:
     (df.na.fill("") if empty else df).write.option("header", True).option("nullValue", "").csv(path)
 
 
+def write_dump(df: DataFrame, path: str) -> None:
+    """All values as quoted texts of a CSV that landing.restored reads back unchanged: null is \\N, a text that starts with a backslash gets one more; blanks, empty texts and line ends of any kind stay."""
+    told = lambda c: F.coalesce(F.when(F.startswith(c, F.lit("\\")), F.concat(F.lit("\\"), c)).otherwise(c), F.lit("\\N"))
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "", "lineSep": "\n"}
+    df.select(*[told(F.col(c).cast("string")).alias(c) for c in df.columns]).write.options(header=True, escape='"', quoteAll=True, **kept).csv(path)
+
+
 def write_documents(df: DataFrame, path: str, key: str) -> None:
     """One JSON document per key, in folders by key."""
     df.write.partitionBy(key).json(path)

@@ -113,3 +113,15 @@ def test_constant_reaches_the_scan(spark):
 
     plan = registry.QUERIES["j03_constant_side"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(o_orderpriority,1-URGENT\)", plan)
+
+
+def test_csv_dump_keeps_every_text(spark, tmp_path):
+    from oracle import connect, differences
+
+    from kartoteka.plans import registry
+
+    odd = [None, "", " ", " lead", "trail\t", "a\r\nb", "a\rb", "\n", "\r", '"', 'a"b', '",', "\\", "a\\", '\\"', "\\N", "\\\\N", "#c", "﻿x", "a\x00b", "null", "\x85", "🎉x" * 20000]
+    docs = [(i * 4 + j, t, s) for i, t in enumerate(odd) for j, s in enumerate(("s", None, "", " x\r\n"))] + [(None, "n", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    name = "s11_csv_dump"
+    assert not differences(spark, connect(tmp_path), tmp_path, registry.QUERIES[name], registry.ORACLES[name])
