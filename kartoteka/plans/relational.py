@@ -299,10 +299,8 @@ def w02(spark, sf_dir):
        select user_id, event_type from r where k = 1 and (next is null or s - next >= 0.5)""",
 )
 def w04(spark, sf_dir):
-    t = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.sum("value").alias("s"))
-    w = Window.partitionBy("user_id").orderBy(F.desc("s"), "event_type")
-    r = t.withColumns({"k": F.row_number().over(w), "next": F.lead("s").over(w)})
-    return r.filter("k = 1 and (next is null or s - next >= 0.5)").select("user_id", "event_type")
+    t = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.sum("value").alias("s"), coverage.exact_sum("value").alias("exact"))
+    return coverage.clear_winner(t, "user_id", "event_type", 0.5)
 
 
 @query("w05_strict_maximum", """with t as (select user_id, event_type, count(*) as n from events group by 1, 2), m as (select user_id, max(n) as top from t group by 1)

@@ -67,3 +67,30 @@ def test_better_on_the_border(spark, tmp_path):
     spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
     name = "e17_upgrade_if_better"
     assert not differences(spark, connect(tmp_path), tmp_path, registry.QUERIES[name], registry.ORACLES[name])
+
+
+def test_margin_on_the_border_is_exact(spark, tmp_path):
+    import random
+    from decimal import Decimal
+
+    from oracle import connect, differences
+
+    from kartoteka.plans import registry
+
+    deal, events, kept = random.Random(4), [], set()
+    for user in range(300):
+        a = [Decimal(deal.randrange(1, 20000)) / 100 for _ in range(12)]
+        margin = Decimal(50 - user % 2) / 100  # .50 or .49
+        b = [*a[:11], a[11] - margin]
+        deal.shuffle(a)
+        events += [(user, "a", float(x)) for x in a] + [(user, "b", float(x)) for x in b]
+        kept |= {user} if margin >= Decimal("0.5") else set()
+    put = lambda rows, path: spark.createDataFrame(rows, "user_id long, event_type string, value double").write.parquet(str(path / "events.parquet"))
+    put(events, tmp_path)
+    name = "w04_margin_winner"
+    assert {(r.user_id, r.event_type) for r in registry.QUERIES[name](spark, str(tmp_path)).collect()} == {(u, "a") for u in kept}
+    # Values that are no decimals, and none at all: as in SQL.
+    odd = [float("nan"), float("inf"), float("-inf"), None, 1e300, 1e-300, 0.1 + 0.2, 5.0, -5.0]
+    (tmp_path / "odd").mkdir()
+    put([(i * 10 + j, t, v) for i, x in enumerate(odd) for j, y in enumerate(odd) for t, v in (("a", x), ("b", y), ("b", 1.0))], tmp_path / "odd")
+    assert not differences(spark, connect(tmp_path / "odd"), tmp_path / "odd", registry.QUERIES[name], registry.ORACLES[name])
