@@ -66,3 +66,24 @@ def test_nearest_at_any_radius(spark, most_m):
 def test_reach_over_a_long_chain(spark):
     edges = spark.range(80).selectExpr("id as src", "id + 1 as dst")
     assert graph.reach(edges, spark.range(1).selectExpr("id as node")).count() == 81
+
+
+def test_equal_rows_are_judged_once(spark):
+    frame = lambda r: spark.createDataFrame(r, "id long, words array<string>, city string")
+    kind = lambda i: (["a b", "a c", "d", "a d e"][i % 4].split(), "xy"[i % 3 > 0]) if i % 7 else ([], None)
+    right = [(i, *kind(i)) for i in range(60)]
+    left = right[::5]
+
+    def score(a, b):
+        shared = set(a[1]) & set(b[1])
+        return len(shared) + 0.5 * (a[2] == b[2]) + 0.5 * (set(a[1]) <= set(b[1])) + 0.5 * (set(b[1]) <= set(a[1])) if shared else 0
+
+    pairs = [(a[0], b[0], score(a, b)) for a in left for b in right if a[0] != b[0] and score(a, b)]
+    overlap = F.arrays_overlap("l_words", "r_words")
+    two = sorted(p for a in left for p in sorted((p for p in pairs if p[0] == a[0]), key=lambda p: (-p[2], p[1]))[:2])
+    assert sorted(tuple(r) for r in resolve.best_two(frame(left), frame(right), overlap, resolve.overlap_score()).collect()) == two
+    # 400 million pairs of rows, four of kinds.
+    many = spark.range(20_000).select("id", F.array(F.lit("hot"), (F.col("id") % 2).cast("string")).alias("words"), F.lit("x").alias("city"))
+    best = resolve.best_two(many, many, overlap, resolve.overlap_score())
+    got = sorted((r.l_id, r.r_id, r.score) for r in best.filter("l_id in (0, 1, 2, 5)").collect())
+    assert got == [(0, 2, 3.5), (0, 4, 3.5), (1, 3, 3.5), (1, 5, 3.5), (2, 0, 3.5), (2, 4, 3.5), (5, 1, 3.5), (5, 3, 3.5)]
