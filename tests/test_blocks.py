@@ -80,6 +80,8 @@ def test_equal_rows_are_judged_once(spark):
 
     pairs = [(a[0], b[0], score(a, b)) for a in left for b in right if a[0] != b[0] and score(a, b)]
     overlap = F.arrays_overlap("l_words", "r_words")
+    got = resolve.candidates(frame(left), frame(right), overlap, apart=True, score=resolve.overlap_score())
+    assert sorted(tuple(r) for r in got.collect()) == sorted(pairs)
     two = sorted(p for a in left for p in sorted((p for p in pairs if p[0] == a[0]), key=lambda p: (-p[2], p[1]))[:2])
     assert sorted(tuple(r) for r in resolve.best_two(frame(left), frame(right), overlap, resolve.overlap_score()).collect()) == two
     # 400 million pairs of rows, four of kinds.
