@@ -148,3 +148,30 @@ def test_pairs_of_sixteen_words_do_not_grow_with_the_square(spark):
         return matching.registry_pairs(a, b, 5).count() / a.count()
 
     assert made(1200) < 2.5 * made(300)
+
+
+def noted(monkeypatch):
+    """Rows of the tables that matching stores, by name."""
+    seen, put = {}, matching.stored
+
+    def kept(df, name):
+        out = put(df, name)
+        seen.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(matching, "stored", kept)
+    return seen
+
+
+def test_one_partner_by_rare_words(spark, monkeypatch):
+    r = random.Random(3)
+    row = lambda i: (i, r.choice(["x", "y", None]), r.choice([None, [], r.sample("abcdefg", r.randint(1, 5)), r.sample("abc", 2)]))
+    left, right = [row(i) for i in range(150)], [row(i) for i in range(40)]
+    left += [(1000 + i, "z", ["q", "r"]) for i in range(300)]
+    right += [(1000, "z", ["q"]), *[(2000 + i, "z", ["s", "t"]) for i in range(300)]]
+    fits = lambda a, b: a[1] and a[1] == b[1] and set(a[2] or []) & set(b[2] or []) and (set(a[2]) <= set(b[2]) or set(b[2]) <= set(a[2]))
+    met = {a[0]: [b[0] for b in right if fits(a, b)] for a in left}
+    seen = noted(monkeypatch)
+    frame = lambda rows: spark.createDataFrame(rows, "id long, city string, words array<string>")
+    assert {tuple(x) for x in matching.unique_by_city(frame(left), frame(right)).collect()} == {(i, v[0]) for i, v in met.items() if len(v) == 1}
+    assert seen["kinds"][0] < 150 and seen["kinds"][1] < 45
