@@ -175,3 +175,15 @@ def test_one_partner_by_rare_words(spark, monkeypatch):
     frame = lambda rows: spark.createDataFrame(rows, "id long, city string, words array<string>")
     assert {tuple(x) for x in matching.unique_by_city(frame(left), frame(right)).collect()} == {(i, v[0]) for i, v in met.items() if len(v) == 1}
     assert seen["kinds"][0] < 150 and seen["kinds"][1] < 45
+
+
+def test_points_of_one_place_are_measured_once(spark, monkeypatch):
+    r = random.Random(5)
+    spots = [(45 + r.randrange(4) * 0.0007, 16 + r.randrange(3) * 0.0009) for _ in range(60)]
+    rows = [(i, *spots[i]) for i in r.sample(range(60), 60)] + [(70, None, 16.0), (71, 45.0, None), (72, 0.0, -180.0), (73, -0.0, 180.0)]
+    seen = noted(monkeypatch)
+    frame = lambda rows: spark.createDataFrame(rows, "id long, lat double, lng double")
+    got = sorted((x.id, x.near_id, round(x.metres, 3)) for x in matching.close_pairs(frame(rows), 120.0).collect())
+    far = frame(rows[:60]).alias("a").crossJoin(frame(rows[:60]).alias("b")).filter("a.id < b.id").select(F.col("a.id"), F.col("b.id"), F.round(matching.place.haversine_m(F.col("a.lat"), F.col("a.lng"), F.col("b.lat"), F.col("b.lng")), 3))
+    assert got == sorted([*(tuple(x) for x in far.collect() if x[2] <= 120), (72, 73, 0.0)])
+    assert seen["near_places"][0] < 150
