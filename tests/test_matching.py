@@ -163,6 +163,22 @@ def noted(monkeypatch):
     return seen
 
 
+def test_copies_of_clubs_and_registry_rows_are_matched_once(spark, monkeypatch):
+    clubs, registry = football(60, 5)
+    shift = lambda rows, n: [(r[0] + 1000 * k, *r[1:]) for k in range(n) for r in rows]
+    frames = lambda n: (spark.createDataFrame(shift(clubs, n), "id long, name string, city string, county string"), spark.createDataFrame(shift(registry, n), "id long, naziv string, seat string, county string, status string"))
+    once = {}
+    for r in matching.registry_match(*frames(1), 60).collect():
+        once.setdefault(r.id, []).append((-r.city, -r.overlap, -r.status, -r.score, r.registry_id))
+    seen = noted(monkeypatch)
+    got = {}
+    for r in sorted(matching.registry_match(*frames(6), 5).collect(), key=lambda r: r.place):
+        got.setdefault(r.id, []).append(r.registry_id)
+    want = {i: [x[4] for x in sorted((*x[:4], x[4] + 1000 * k) for x in rows for k in range(6))[:5]] for i, rows in once.items()}
+    assert got == {i + 1000 * k: v for i, v in want.items() for k in range(6)}
+    assert seen["profiles"][0] <= 62 and seen["forms"][0] <= 62 and seen["registry_kinds"][0] <= 61
+
+
 def test_one_partner_by_rare_words(spark, monkeypatch):
     r = random.Random(3)
     row = lambda i: (i, r.choice(["x", "y", None]), r.choice([None, [], r.sample("abcdefg", r.randint(1, 5)), r.sample("abc", 2)]))
