@@ -147,3 +147,17 @@ def test_gradients_move_every_weight(spark, monkeypatch):
             other[r, c] += step
             ends.append(m.run(before | {"weights": other}, *own).sum() * math.log(10))
         assert abs((ends[1] - ends[0]) / 0.1 - slope[r, c]) < 0.05 * abs(slope[r, c]) + 0.05
+
+
+def test_gradients_go_over_all_training_texts(spark, monkeypatch):
+    texts = [(f"word{i % 7} word{i % 5} and w{i}",) for i in range(80)]
+    docs = spark.createDataFrame(texts, "text string").selectExpr("row_number() over (order by text) as doc_id", "text")
+    seen, summed = [], m._summed
+
+    def noted(d, make):
+        seen.append(d.count())
+        return summed(d, make)
+
+    monkeypatch.setattr(m, "_summed", noted)
+    m.score(docs, docs).count()
+    assert len(seen) == 3 and seen[0] + seen[1] == seen[2] == 80
